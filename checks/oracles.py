@@ -146,6 +146,10 @@ def _snapshot(states: list[str]) -> str:
     )
 
 
+CTES["replayed"] = (
+    "select * from keyed where batch_no in (3, 6) qualify row_number() over"
+    f" (partition by {KEY} order by {LATEST}) = 1"
+)
 CTES["silver"] = "select * from state6"
 CTES["snapshot"] = _snapshot(["state2", "state4", "state6"])
 CTES["delivered_snapshot"] = _snapshot(["delivery0", "delivery1", "delivery2"])
@@ -402,10 +406,9 @@ ORACLES: dict[str, str] = {
     " 'missing_key_' || cast(position as varchar)) as k from position_of)) group by 1",
     "silver_upsert": f"select {shown(STATE)} from state3",
     "content_changed": f"select s.{KEY}, ({' or '.join(f's.{c} is distinct from i.{c}' for c in DIFF)})"
-    f" as changed from state2 s join newest i on s.{KEY} = i.{KEY} where i.batch_no = 3",
-    "upsert_outcomes": f"select i.{KEY}, {_OUTCOME} as outcome from"
-    f" (select * from keyed where batch_no in (3, 6) qualify row_number() over"
-    f" (partition by {KEY} order by {LATEST}) = 1) i left join state2 s on s.{KEY} = i.{KEY}",
+    f" as changed from state2 s join replayed i on s.{KEY} = i.{KEY}",
+    "upsert_outcomes": f"select i.{KEY}, {_OUTCOME} as outcome from replayed i"
+    f" left join state2 s on s.{KEY} = i.{KEY}",
     "rebuild_silver": f"select {shown(STATE)} from state6",
     "backfill_key": f"select db_id, {KEY} from legacy_keyed",
     "distinct_on_cleanup": f"select db_id, {KEY}, {VERSION} from legacy where {KEY} is null"
@@ -527,5 +530,23 @@ ORACLES["recent_runs"] = (
 )
 
 
+_DELIVERED_FACT = FACT + LOOKUP.format("delivered_snapshot")
+for _dim in DIMS:
+    CTES[f"delivered_{_dim}"] = _dimension(_dim, "delivery2")
+    _DELIVERED_FACT = _DELIVERED_FACT.replace(
+        f"left join {_dim} on", f"left join delivered_{_dim} {_dim} on"
+    )
+CTES["delivered_fact"] = _DELIVERED_FACT
+ORACLES |= {
+    "stream_source": "select case when kind = 'empty' then '' else raw_json end as value"
+    f" from ({BRONZE_SOURCE})",
+    "stream_available_now": "select 'stream0_' || case when batch_no < 3 then '0'"
+    " when batch_no < 6 then '1' else '2' end as _batch_id, count(*) as messages"
+    " from feed group by 1",
+    "stream_to_silver": f"select {shown(STATE)} from delivery2",
+    "warehouse_run": f"select {shown(FACT_COLUMNS)} from delivered_fact",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: statement(sql) for name, sql in ORACLES.items()}

@@ -28,7 +28,10 @@ from noticehouse.operators import (
     star,
 )
 from noticehouse.session import apply_runtime_conf, scratch_path
+from noticehouse.plans.warehouse_run import run_warehouse
 from noticehouse.sources import messages as msg
+from noticehouse.sources.store import Store
+from noticehouse.streaming import ingest
 
 BATCH = ("batch_no",)
 SNAPSHOT_AFTER = (2, 4, 6)
@@ -269,6 +272,13 @@ def _stored_and_incoming(spark, sf_dir):
     return stored, incoming.drop(*BATCH)
 
 
+def _stored_and_replayed(spark, sf_dir):
+    """State after batches 0-2, and the newest rows of batch 3 and the replay."""
+    stored, _ = _stored_and_incoming(spark, sf_dir)
+    replayed = rows(spark, sf_dir).where(F.col("batch_no").isin(3, feed.REPLAY))
+    return stored, dedup.latest_versions(replayed, SPEC).drop(*BATCH)
+
+
 @query
 def silver_upsert(spark, sf_dir):
     stored, incoming = _stored_and_incoming(spark, sf_dir)
@@ -277,7 +287,7 @@ def silver_upsert(spark, sf_dir):
 
 @query
 def content_changed(spark, sf_dir):
-    stored, incoming = _stored_and_incoming(spark, sf_dir)
+    stored, incoming = _stored_and_replayed(spark, sf_dir)
     same_key = F.col(f"s.{SPEC.key}") == F.col(f"i.{SPEC.key}")
     return (
         stored.alias("s")
@@ -288,9 +298,7 @@ def content_changed(spark, sf_dir):
 
 @query
 def upsert_outcomes(spark, sf_dir):
-    stored, _ = _stored_and_incoming(spark, sf_dir)
-    replayed = rows(spark, sf_dir).where("batch_no in (3, 6)")
-    incoming = dedup.latest_versions(replayed, SPEC).drop(*BATCH)
+    stored, incoming = _stored_and_replayed(spark, sf_dir)
     return merge.upsert_outcomes(stored, incoming, SPEC).select(SPEC.key, "outcome")
 
 
@@ -348,7 +356,7 @@ def backfill_silver(spark, sf_dir):
 def snapshots(built: Layers) -> DataFrame:
     """The snapshot taken after three of the batches."""
     first, *later = SNAPSHOT_AFTER
-    taken = history.first_snapshot(
+    taken = history.open_versions(
         history.snapshot_source(built.silver(first), SPEC), SPEC
     )
     for batch in later:
@@ -691,3 +699,81 @@ def audit_log(spark, sf_dir):
 @query
 def recent_runs(spark, sf_dir):
     return reports.recent_runs(_audit(spark, sf_dir))
+
+
+# --- streams: three deliveries to a landing folder, one run after each ------------
+
+
+DELIVERIES = (range(0, 3), range(3, 6), range(6, 7))
+
+
+def _deliver(spark, sf_dir, landing: str, batches: range, file_format="parquet") -> None:
+    delivered = feed.messages(spark, sf_dir, batches)
+    msg.write_messages(delivered, landing, file_format)
+
+
+@query
+def stream_source(spark, sf_dir):
+    """Messages that went through a landing folder and the stream source."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "landed")
+    for batches in DELIVERIES:
+        _deliver(spark, sf_dir, landing, batches, "text")
+    (
+        msg.landing_stream(spark, landing)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{out}-checkpoint")
+        .trigger(availableNow=True)
+        .start(out)
+        .awaitTermination()
+    )
+    return spark.read.parquet(out)
+
+
+def _streamed(spark, sf_dir, step: Callable) -> Store:
+    store = Store(spark, scratch_path(spark, "streamed"), SPEC, compact_every=2)
+    landing = store.path("landing")
+    for number, batches in enumerate(DELIVERIES):
+        _deliver(spark, sf_dir, landing, batches)
+        step(store, msg.landing_stream(spark, landing, "parquet"), number)
+    return store
+
+
+@query
+def stream_available_now(spark, sf_dir):
+    """What each run took: a run resumes where the last one stopped."""
+
+    def land(store, messages, number):
+        def process(batch, batch_id):
+            here = store.within(batch.sparkSession)
+            ingest.land_batch(here, batch, batch_id, "stream0", stamp(batch_id))
+
+        (
+            messages.writeStream.foreachBatch(process)
+            .option("checkpointLocation", store.checkpoint(0))
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+
+    store = _streamed(spark, sf_dir, land)
+    return store.bronze().groupBy(bronze.BATCH).agg(F.count("*").alias("messages"))
+
+
+@query
+def stream_to_silver(spark, sf_dir):
+    def run(store, messages, number):
+        ingest.ingest_available(store, messages, clock=stamp)
+
+    return _streamed(spark, sf_dir, run).silver()
+
+
+@query
+def warehouse_run(spark, sf_dir):
+    """The fact after three whole runs."""
+
+    def run(store, messages, number):
+        run_warehouse(
+            store, messages, f"run-{number}", clock=stamp, raise_on_failure=False
+        )
+
+    return _streamed(spark, sf_dir, run).gold()[SPEC.fact.name]

@@ -24,7 +24,7 @@ def snapshot_source(
     )
 
 
-def _opened(source: DataFrame, spec: FeedSpec) -> DataFrame:
+def open_versions(source: DataFrame, spec: FeedSpec) -> DataFrame:
     """Source rows as open versions, valid from their own stamp."""
     stamp = F.col(spec.updated_at)
     return source.withColumns(
@@ -37,10 +37,6 @@ def _opened(source: DataFrame, spec: FeedSpec) -> DataFrame:
     )
 
 
-def first_snapshot(source: DataFrame, spec: FeedSpec) -> DataFrame:
-    return _opened(source, spec)
-
-
 def take_snapshot(history: DataFrame, source: DataFrame, spec: FeedSpec) -> DataFrame:
     """The history after one more look at the source.
 
@@ -65,7 +61,7 @@ def take_snapshot(history: DataFrame, source: DataFrame, spec: FeedSpec) -> Data
         source.join(known, key, "left")
         .where(F.col("_since").isNull() | (F.col(stamp) > F.col("_since")))
         .drop("_since")
-        .transform(_opened, spec)
+        .transform(open_versions, spec)
     )
     return closed.unionByName(kept).unionByName(opened)
 

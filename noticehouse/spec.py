@@ -96,3 +96,32 @@ class FeedSpec:
         return tuple(
             c for c in self.silver_columns if c not in (self.version, self.payload)
         )
+
+    def _silver_type(self, field: T.StructField) -> T.DataType:
+        if field.name in self.timestamp_fields:
+            return T.TimestampType()
+        if field.name in self.date_fields:
+            return T.DateType()
+        return T.StringType() if field.name in self.array_fields else field.dataType
+
+    @cached_property
+    def silver_schema(self) -> T.StructType:
+        """Silver as stored: the write set, the key and the two stamps."""
+        types = {self.silver_name(f.name): self._silver_type(f) for f in self.schema}
+        columns = {
+            **{c: types.get(c, T.StringType()) for c in (*self.silver_columns, self.key)},
+            self.inserted_at: T.TimestampType(),
+            self.updated_at: T.TimestampType(),
+        }
+        return T.StructType([T.StructField(c, t) for c, t in columns.items()])
+
+    @cached_property
+    def bronze_schema(self) -> T.StructType:
+        silver = self.silver_schema
+        names = (self.key, self.api_id, *self.key_fields, self.version, self.event_time)
+        return (
+            T.StructType([silver[n] for n in names])
+            .add("raw_json", T.StringType())
+            .add("_ingested_at", T.TimestampType())
+            .add("_batch_id", T.StringType())
+        )

@@ -8,6 +8,8 @@ import uuid
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Results depend on the zone; the rest lets Spark re-plan at run time: merge
 # small shuffle partitions, split skewed ones, pick broadcasts by measured size.
@@ -21,6 +23,13 @@ RUNTIME_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Fixed when the session starts. Generated code is kept for reuse, and columns do
+# not record the Python line they were made on, which costs driver time.
+STATIC_CONF = {
+    "spark.sql.codegen.cache.maxEntries": "2000",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def apply_runtime_conf(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
@@ -34,7 +43,7 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **STATIC_CONF, **conf}.items():
         builder = builder.config(key, str(value))
     return apply_runtime_conf(builder.getOrCreate())
 
@@ -69,3 +78,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
+
+
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema, as a plan the optimizer sees through."""
+    nulls = (F.lit(None).cast(f.dataType).alias(f.name) for f in schema)
+    return spark.range(0).select(*nulls)

@@ -24,30 +24,24 @@ from noticehouse.operators.cursor import DEFAULT_CURSOR
 from noticehouse.operators.dedup import top_row
 from noticehouse.operators.merge import DIGEST
 from noticehouse.operators.rebuild import VALID_TO
+from noticehouse.session import empty
 from noticehouse.spec import FeedSpec
 
 SEQ = "seq"
 # Batch numbers of one checkpoint; a new checkpoint starts at the next multiple.
 BATCHES_PER_STREAM = 1_000_000_000
 
-AUDIT_SCHEMA = T.StructType.fromJson(
-    {
-        "type": "struct",
-        "fields": [
-            {"name": name, "type": kind, "nullable": True, "metadata": {}}
-            for name, kind in {
-                "dag_run_id": "string",
-                "started_at": "timestamp",
-                "ended_at": "timestamp",
-                "duration_seconds": "double",
-                "status": "string",
-                "bronze_row_count": "long",
-                "silver_row_count": "long",
-                "gold_row_count": "long",
-                "details": "string",
-            }.items()
-        ],
-    }
+AUDIT_SCHEMA = (
+    T.StructType()
+    .add("dag_run_id", "string")
+    .add("started_at", "timestamp")
+    .add("ended_at", "timestamp")
+    .add("duration_seconds", "double")
+    .add("status", "string")
+    .add("bronze_row_count", "long")
+    .add("silver_row_count", "long")
+    .add("gold_row_count", "long")
+    .add("details", "string")
 )
 
 
@@ -82,7 +76,7 @@ class Store:
 
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         found = self._find(path, schema)
-        return self.spark.createDataFrame([], schema) if found is None else found
+        return empty(self.spark, schema) if found is None else found
 
     def _batches(self, layer: str, schema: T.StructType) -> DataFrame:
         return self._read(self.path(layer), T.StructType([*schema]).add(SEQ, "long"))
@@ -92,8 +86,8 @@ class Store:
         df.write.mode("overwrite").parquet(self.batch_path(layer, seq))
 
     def commit(self, layer: str, seq: int) -> None:
-        entry = self.spark.createDataFrame([(seq,)], f"{SEQ} long")
-        entry.coalesce(1).write.mode("append").parquet(self.path("ledger", layer))
+        entry = self.spark.range(seq, seq + 1, 1, 1).toDF(SEQ)
+        entry.write.mode("append").parquet(self.path("ledger", layer))
 
     def last(self, layer: str) -> int | None:
         """Number of the newest complete batch of a layer."""
@@ -122,7 +116,7 @@ class Store:
         """Current state with content digests, as it was before a batch."""
         upto = self.last("silver") if before is None else before - 1
         if upto is None:
-            return self.spark.createDataFrame([], self._stored)
+            return empty(self.spark, self._stored)
         base = self.last("base")
         if base is None or base > upto:
             return self.newest_changes(None, upto)
@@ -148,8 +142,7 @@ class Store:
 
     def snapshot(self) -> DataFrame:
         """SCD2 history: append-only versions with their intervals."""
-        empty = self.spark.createDataFrame([], self.spec.silver_schema)
-        schema = self.versions(empty).schema
+        schema = self.versions(empty(self.spark, self.spec.silver_schema)).schema
         upto = self.last("snapshot")
         versions = self._batches("snapshot", schema)
         versions = versions.where(F.col(SEQ) <= (-1 if upto is None else upto)).drop(SEQ)
@@ -189,8 +182,8 @@ class Store:
 
     def save_cursor(self, value: str) -> None:
         number = (self._cursors().agg(F.max(SEQ)).first()[0] or 0) + 1
-        entry = self.spark.createDataFrame([(number, value)], f"{SEQ} long, cursor string")
-        entry.coalesce(1).write.mode("append").parquet(self.path("cursor"))
+        entry = self.spark.range(number, number + 1, 1, 1).toDF(SEQ)
+        entry.withColumn("cursor", F.lit(value)).write.mode("append").parquet(self.path("cursor"))
 
     # --- SQL ------------------------------------------------------------------------
 

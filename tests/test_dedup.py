@@ -1,0 +1,53 @@
+from pyspark.sql import functions as F
+
+from noticehouse.operators import dedup
+
+COLUMNS = "deduplication_key string, numero_version int, date_publication timestamp, api_id int, raw_data string"
+
+
+def newest(spark, spec, *rows):
+    df = spark.createDataFrame(rows, COLUMNS.replace(" timestamp", " string"))
+    df = df.withColumn("date_publication", F.col("date_publication").cast("timestamp"))
+    return dedup.latest_versions(df, spec)
+
+
+def test_version_then_date_then_id(spark, spec):
+    found = newest(
+        spark, spec,
+        ("v", 1, "2026-01-03", 1, "a"), ("v", 3, "2026-01-01", 1, "b"), ("v", None, "2026-01-09", 9, "c"),
+        ("d", 1, None, 9, "a"), ("d", 1, "2026-01-01", 1, "b"),
+        ("i", 1, "2026-01-01", None, "a"), ("i", 1, "2026-01-01", 4, "b"),
+        ("t", 1, "2026-01-01", 4, "b"), ("t", 1, "2026-01-01", 4, "c"),
+        ("n", None, None, None, None),
+    )
+    rows = {r.deduplication_key: r.raw_data for r in found.collect()}
+    assert rows == {"v": "b", "d": "b", "i": "b", "t": "c", "n": None}
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark, spec):
+    df = spark.range(0, 30_000, 1, 8).selectExpr(
+        "case when id % 3 = 0 then 'hot' else 'k' || id end as deduplication_key",
+        "cast(id % 7 as int) as numero_version",
+        "cast(null as timestamp) as date_publication",
+        "cast(id as int) as api_id",
+        "cast(id as string) as raw_data",
+    )
+    found = dedup.latest_versions(df, spec)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+    assert found.count() == 20_001
+    hot = found.where("deduplication_key = 'hot'").first()
+    best = max((i % 7, i) for i in range(0, 30_000, 3))
+    assert (hot.numero_version, hot.api_id) == best
+
+
+def test_keep_last_occurrence(spark):
+    df = spark.createDataFrame(
+        [("same", 0, 1), ("other", 1, 1), ("same", 2, 2), ("same", 3, None)],
+        "k string, position int, numero_version int",
+    )
+    rows = dedup.keep_last(df, "k", "position").orderBy("first_position").collect()
+    assert [(r.k, r.position, r.numero_version) for r in rows] == [
+        ("same", 3, None),
+        ("other", 1, 1),
+    ]

@@ -17,6 +17,7 @@ from noticehouse.session import spread
 
 BATCHES = 7
 REPLAYED, REPLAY = 0, 6
+POSITIONS = 10_000_000_000_000  # order numbers per batch in an arrival position
 
 _PUBLISHED = (
     "(o_orderdate + interval '20' year + interval '1' second * (o_orderkey % 86399))"

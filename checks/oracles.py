@@ -146,10 +146,11 @@ def _snapshot(states: list[str]) -> str:
     )
 
 
-CTES["replayed"] = (
-    "select * from keyed where batch_no in (3, 6) qualify row_number() over"
+CTES["late"] = (
+    "select * from keyed where batch_no >= 3 qualify row_number() over"
     f" (partition by {KEY} order by {LATEST}) = 1"
 )
+CTES["upserted"] = _merge("state2", "late", stamp(3))
 CTES["silver"] = "select * from state6"
 CTES["snapshot"] = _snapshot(["state2", "state4", "state6"])
 CTES["delivered_snapshot"] = _snapshot(["delivery0", "delivery1", "delivery2"])
@@ -252,14 +253,14 @@ CTES["per_day"] = (
 )
 CTES["legacy"] = (
     f"select * exclude ({KEY}), case when api_id % 4 <> 0 then {KEY} end as {KEY},"
-    f" cast(api_id as bigint) as db_id, {stamp('batch_no')} as inserted_at"
-    " from keyed where batch_no in (1, 2)"
+    f" batch_no * {feed.POSITIONS} + api_id as db_id, {stamp('batch_no')} as inserted_at"
+    " from keyed"
 )
 CTES["legacy_keyed"] = (
     f"select * replace (coalesce({KEY}, rappel_guid, numero_fiche, cast(api_id as varchar))"
     f" as {KEY}) from legacy"
 )
-CTES["position_of"] = "select *, batch_no * 10000000000 + o_orderkey as position from notice"
+CTES["position_of"] = f"select *, batch_no * {feed.POSITIONS} + o_orderkey as position from notice"
 _STATE_OF_STEP = (
     "case when event_type = 'error' and value < 1 then 'failed'"
     " when event_type = 'view' and value < 1 then 'skipped' else 'success' end"
@@ -395,7 +396,7 @@ ORACLES: dict[str, str] = {
     " else rappel_guid end as guid from position_of)",
     "parse_publication": f"select id, batch_no, text, cast({_PUBLICATION_VALUE} as varchar)"
     f" as published from (select id, batch_no, {_PUBLICATION_TEXT} as text from notice)",
-    "latest_versions": f"select {shown(SILVER)}, {KEY}, batch_no from keyed where batch_no < 6"
+    "latest_versions": f"select {shown(SILVER)}, {KEY}, batch_no from keyed"
     f" qualify row_number() over (partition by {KEY} order by {LATEST}) = 1",
     "dedup_keep_last": "select k as producer_key, max(position) as position,"
     " min(position) as first_position, arg_max(id, position) as id,"
@@ -404,10 +405,10 @@ ORACLES: dict[str, str] = {
     " (select *, max(position) over (partition by k) as last from"
     " (select *, coalesce(rappel_guid, numero_fiche, cast(nullif(id, 0) as varchar),"
     " 'missing_key_' || cast(position as varchar)) as k from position_of)) group by 1",
-    "silver_upsert": f"select {shown(STATE)} from state3",
+    "silver_upsert": f"select {shown(STATE)} from upserted",
     "content_changed": f"select s.{KEY}, ({' or '.join(f's.{c} is distinct from i.{c}' for c in DIFF)})"
-    f" as changed from state2 s join replayed i on s.{KEY} = i.{KEY}",
-    "upsert_outcomes": f"select i.{KEY}, {_OUTCOME} as outcome from replayed i"
+    f" as changed from state2 s join late i on s.{KEY} = i.{KEY}",
+    "upsert_outcomes": f"select i.{KEY}, {_OUTCOME} as outcome from late i"
     f" left join state2 s on s.{KEY} = i.{KEY}",
     "rebuild_silver": f"select {shown(STATE)} from state6",
     "backfill_key": f"select db_id, {KEY} from legacy_keyed",
@@ -418,11 +419,11 @@ ORACLES: dict[str, str] = {
     " cast(date_publication as varchar) as date_publication,"
     " case when db_id % 7 <> 0 then raw_data else '{}' end as raw_json,"
     " cast(inserted_at as varchar) as _ingested_at, 'backfill_dev' as _batch_id from legacy",
-    "backfill_silver": f"select {shown(STATE)} from state0 union all select"
+    "backfill_silver": f"select {shown(STATE)} from state2 union all select"
     f" {shown([*SILVER, KEY, 'inserted_at'])}, cast(inserted_at as varchar) from"
     f" (select distinct on ({KEY}) * from legacy_keyed"
     f" order by {KEY}, {VERSION} desc nulls last, db_id desc) l"
-    f" where {KEY} not in (select {KEY} from state0)",
+    f" where {KEY} not in (select {KEY} from state2)",
     "scd2_snapshot": f"select {shown([*STATE, 'dbt_scd_id', 'dbt_updated_at', 'dbt_valid_from', 'dbt_valid_to'])}"
     " from snapshot",
     "scd2_intervals": f"select {KEY}, {VERSION}, cast(dbt_valid_from as varchar) as valid_from,"

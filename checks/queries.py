@@ -141,7 +141,7 @@ def rows(spark: SparkSession, sf_dir: str, batches: range | None = None) -> Data
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Notices as records in arrival order, the replayed batch last."""
     notices = feed.records(spark, sf_dir).where("kind = 'notice'")
-    position = F.col("batch_no") * 10_000_000_000 + F.col("o_orderkey")
+    position = F.col("batch_no") * feed.POSITIONS + F.col("o_orderkey")
     return notices.withColumn("position", position)
 
 
@@ -252,8 +252,7 @@ def parse_publication(spark, sf_dir):
 
 @query
 def latest_versions(spark, sf_dir):
-    first_run = rows(spark, sf_dir, range(feed.REPLAY))
-    return dedup.latest_versions(first_run, SPEC)
+    return dedup.latest_versions(rows(spark, sf_dir), SPEC)
 
 
 @query
@@ -265,18 +264,15 @@ def dedup_keep_last(spark, sf_dir):
     )
 
 
-def _stored_and_incoming(spark, sf_dir):
-    """State after batches 0-2, and the newest rows of batch 3."""
-    stored = rebuild.rebuild_silver(rows(spark, sf_dir, range(3)), SPEC, "batch_no", stamp())
-    incoming = dedup.latest_versions(rows(spark, sf_dir, range(3, 4)), SPEC)
-    return stored, incoming.drop(*BATCH)
+EARLY, LATE = range(0, 3), range(3, feed.BATCHES)
 
 
-def _stored_and_replayed(spark, sf_dir):
-    """State after batches 0-2, and the newest rows of batch 3 and the replay."""
-    stored, _ = _stored_and_incoming(spark, sf_dir)
-    replayed = rows(spark, sf_dir).where(F.col("batch_no").isin(3, feed.REPLAY))
-    return stored, dedup.latest_versions(replayed, SPEC).drop(*BATCH)
+def _stored_and_incoming(spark, sf_dir):
+    """State after the first batches, and the newest rows of all others."""
+    early = rows(spark, sf_dir, EARLY)
+    stored = rebuild.rebuild_silver(early, SPEC, "batch_no", stamp())
+    incoming = dedup.latest_versions(rows(spark, sf_dir, LATE), SPEC)
+    return stored, incoming.drop(*BATCH)
 
 
 @query
@@ -287,7 +283,7 @@ def silver_upsert(spark, sf_dir):
 
 @query
 def content_changed(spark, sf_dir):
-    stored, incoming = _stored_and_replayed(spark, sf_dir)
+    stored, incoming = _stored_and_incoming(spark, sf_dir)
     same_key = F.col(f"s.{SPEC.key}") == F.col(f"i.{SPEC.key}")
     return (
         stored.alias("s")
@@ -298,7 +294,7 @@ def content_changed(spark, sf_dir):
 
 @query
 def upsert_outcomes(spark, sf_dir):
-    stored, incoming = _stored_and_replayed(spark, sf_dir)
+    stored, incoming = _stored_and_incoming(spark, sf_dir)
     return merge.upsert_outcomes(stored, incoming, SPEC).select(SPEC.key, "outcome")
 
 
@@ -310,9 +306,9 @@ def rebuild_silver(spark, sf_dir):
 
 def _legacy(spark, sf_dir):
     """A legacy table: typed rows, keys partly missing, duplicates, insert time."""
-    return rows(spark, sf_dir, range(1, 3)).withColumns(
+    return rows(spark, sf_dir).withColumns(
         {
-            "db_id": F.col("api_id").cast("bigint"),
+            "db_id": F.col("batch_no") * feed.POSITIONS + F.col("api_id"),
             SPEC.inserted_at: stamp(),
             SPEC.key: F.when(F.col("api_id") % 4 != 0, F.col(SPEC.key)),
         }
@@ -341,9 +337,8 @@ def backfill_bronze(spark, sf_dir):
 
 @query
 def backfill_silver(spark, sf_dir):
-    stored = rebuild.rebuild_silver(
-        rows(spark, sf_dir, range(1)), SPEC, "batch_no", stamp()
-    )
+    early = rows(spark, sf_dir, EARLY)
+    stored = rebuild.rebuild_silver(early, SPEC, "batch_no", stamp())
     legacy = dedup.drop_duplicate_keys(
         dedup.backfill_key(_legacy(spark, sf_dir), SPEC), SPEC, "db_id"
     )

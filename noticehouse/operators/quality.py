@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -41,20 +41,58 @@ def duplicate_counts(df: DataFrame, table: str, column: str) -> DataFrame:
     )
 
 
-def orphan_counts(child: DataFrame, parent: DataFrame, rule: Relationship) -> DataFrame:
-    """How many child rows point nowhere. Child keys are counted first, so the
-    anti join sees each value once."""
-    return (
-        child.where(F.col(rule.column).isNotNull())
-        .groupBy(F.col(rule.column).alias(rule.field))
+def orphan_counts(tables: Mapping[str, DataFrame], rules: Sequence[Relationship]) -> DataFrame:
+    """How many rows of one child table point nowhere, for all its rules at once.
+
+    One scan turns the child's keys into (rule, value) pairs and counts them
+    inside the map tasks; the anti join then meets each value once, so a hot key
+    weighs no more than a rare one.
+    """
+    (child,) = {rule.child for rule in rules}
+    keys = F.array(
+        *(
+            F.struct(F.lit(i).alias("rule"), F.col(r.column).cast("string").alias("value"))
+            for i, r in enumerate(rules)
+        )
+    )
+    counted = (
+        tables[child]
+        .select(F.inline(keys))
+        .where("value is not null")
+        .groupBy("rule", "value")
         .agg(F.count("*").alias("_n"))
-        .join(parent.select(rule.field), rule.field, "left_anti")
-        .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))
+    )
+    known = union_all(
+        [
+            tables[r.parent].select(
+                F.lit(i).alias("rule"), F.col(r.field).cast("string").alias("value")
+            )
+            for i, r in enumerate(rules)
+        ]
+    )
+    orphans = counted.join(known, ["rule", "value"], "left_anti")
+    found = orphans.groupBy("rule").agg(F.sum("_n").alias("_failures"))
+    listed = F.array(
+        *(
+            F.struct(
+                F.lit(i).alias("rule"),
+                F.lit(r.child).alias("table_name"),
+                F.lit(r.column).alias("column_name"),
+                F.lit(r.parent).alias("parent_table"),
+            )
+            for i, r in enumerate(rules)
+        )
+    )
+    return (
+        tables[child]
+        .sparkSession.range(1)
+        .select(F.inline(listed))
+        .join(found, "rule", "left")
         .select(
-            F.lit(rule.child).alias("table_name"),
-            F.lit(rule.column).alias("column_name"),
-            F.lit(rule.parent).alias("parent_table"),
-            "failures",
+            "table_name",
+            "column_name",
+            "parent_table",
+            F.coalesce("_failures", F.lit(0)).alias("failures"),
         )
     )
 
@@ -102,10 +140,7 @@ def run_tests(silver: DataFrame, gold: dict[str, DataFrame], spec: FeedSpec) ->
         for table, column in unique_columns(spec).items()
     ]
     doubles.append(duplicate_counts(silver, "silver", spec.key))
-    orphans = [
-        orphan_counts(gold[rule.child], gold[rule.parent], rule).drop("parent_table")
-        for rule in relationships(spec)
-    ]
+    orphans = [orphan_counts(gold, relationships(spec)).drop("parent_table")]
     named = {"not_null": nulls, "unique": doubles, "relationships": orphans}
     return union_all(
         [

@@ -63,3 +63,14 @@ def replay_bronze(bronze: DataFrame, batch: str, ordered: bool = True) -> DataFr
 
 def write_messages(messages: DataFrame, path: str, file_format: str = "text") -> None:
     messages.select("value").write.format(file_format).mode("append").save(path)
+
+
+def send_to_topic(messages: DataFrame, servers: str, topic: str) -> None:
+    """Messages to a topic; needs the same connector package as the source."""
+    (
+        messages.select("value")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .save()
+    )

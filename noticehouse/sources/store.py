@@ -3,7 +3,9 @@
 Bronze and the silver change sets are append-only folders, one per batch. The
 current state is the last full copy of silver (``base``) without the keys that
 changed since, plus the newest change of those. So a batch writes what it
-changed and never rewrites silver; a full copy is made every few batches.
+changed and never rewrites silver. A full copy is made once the changes since
+the last one weigh enough against it, so copying costs a constant share of the
+rows written, whatever the size of silver.
 
 A batch that runs again overwrites its own folder. ``ledger`` rows mark what is
 complete, and readers look no further.
@@ -51,6 +53,7 @@ class Store:
     root: str
     spec: FeedSpec
     compact_every: int = 16
+    compact_share: float = 0.1
 
     def within(self, spark: SparkSession) -> Store:
         return replace(self, spark=spark)
@@ -134,11 +137,18 @@ class Store:
         self.commit("base", seq)
 
     def compact_if_due(self, seq: int) -> None:
-        since = self.last("base")
+        """Copy after some batches, when they hold a share of the last copy's
+        rows. Row counts come from the files' footers."""
+        base = self.last("base")
         sets = self.spark.read.schema(f"{SEQ} long").parquet(self.path("ledger", "silver"))
-        fresh = sets if since is None else sets.where(F.col(SEQ) > since)
-        if fresh.distinct().count() >= self.compact_every:
-            self.compact(seq)
+        fresh = sets if base is None else sets.where(F.col(SEQ) > base)
+        if fresh.distinct().count() < self.compact_every:
+            return
+        if base is not None:
+            copied = self._read(self.batch_path("silver/base", base), self._stored).count()
+            if self.changes(base, seq).count() < self.compact_share * copied:
+                return
+        self.compact(seq)
 
     def snapshot(self) -> DataFrame:
         """SCD2 history: append-only versions with their intervals."""

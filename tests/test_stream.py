@@ -178,3 +178,15 @@ def test_replays(store, messages, spec):
     ingest.ingest_batch(store, batch, 0, "run", stamp(0))
     assert [r.value for r in msg.replay(store.silver(), spec).collect()] == [payload(1, 2)]
     assert msg.replay_bronze(store.bronze(), SEQ).count() == 3
+
+
+def test_copies_of_silver_wait_for_enough_changes(spark, spec, messages, tmp_path):
+    store = Store(spark, str(tmp_path / "w"), spec, compact_every=1, compact_share=0.5)
+    ingest.ingest_batch(store, messages(*(payload(i) for i in range(10))), 0, "run", stamp(0))
+    assert store.last("base") == 0
+    ingest.ingest_batch(store, messages(*(payload(i, 2) for i in range(4))), 1, "run", stamp(1))
+    assert store.last("base") == 0
+    ingest.ingest_batch(store, messages(payload(3, 3), payload(11)), 2, "run", stamp(2))
+    assert store.last("base") == 2
+    versions = {r.api_id: r.numero_version for r in store.silver().collect()}
+    assert versions == {i: 2 if i < 3 else 1 for i in (*range(10), 11)} | {3: 3}

@@ -40,5 +40,5 @@ def content_digest(columns: Iterable[str]) -> Column:
     agree, so a merge can compare content by reading one narrow column. JSON
     text keeps values apart: strings are quoted and nulls are left out.
     """
-    fields = [F.col(c).cast("string").alias(c) for c in columns]
-    return F.sha2(F.to_json(F.struct(*fields)), 256)
+    fields = ", ".join(f"cast(`{c}` as string) as `{c}`" for c in columns)
+    return F.expr(f"sha2(to_json(struct({fields})), 256)")

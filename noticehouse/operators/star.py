@@ -74,15 +74,26 @@ def lookup(facts: DataFrame, members: DataFrame, dim: DimSpec) -> DataFrame:
     return facts.join(renamed, condition, "left").drop(*extra)
 
 
+def own_key(facts: DataFrame, dim: DimSpec) -> DataFrame:
+    """Add the key the row's own attributes hash to: what a lookup would find in
+    a dimension made from these very rows, without the join."""
+    key = surrogate_key(*map(F.col, dim.columns))
+    return facts.withColumn(dim.key, F.when(F.col(dim.required).isNotNull(), key))
+
+
 def with_fallback(dim: DimSpec) -> Column:
     """Foreign key, with the unknown member where the lookup found nothing."""
     return F.coalesce(F.col(dim.key), unknown_key(dim.name)).alias(dim.key)
 
 
 def fact(
-    snapshot: DataFrame, members: Mapping[str, DataFrame], spec: FeedSpec
+    snapshot: DataFrame, members: Mapping[str, DataFrame] | None, spec: FeedSpec
 ) -> DataFrame:
-    """One row per version of a notice."""
+    """One row per version of a notice.
+
+    Without ``members`` the dimensions are taken to come from this snapshot
+    itself; every attribute is then found, and nothing needs to be joined.
+    """
     shape = spec.fact
     items, item_count = shape.array_count
     end, duration = shape.duration
@@ -98,7 +109,7 @@ def fact(
         *attributes,
     )
     for dim in shape.dims:
-        rows = lookup(rows, members[dim.name], dim)
+        rows = own_key(rows, dim) if members is None else lookup(rows, members[dim.name], dim)
     return rows.select(
         shape.key,
         *shape.carried,

@@ -55,10 +55,11 @@ def replay(silver: DataFrame, spec: FeedSpec, ordered: bool = True) -> DataFrame
 
 
 def replay_bronze(bronze: DataFrame, batch: str, ordered: bool = True) -> DataFrame:
-    """Every stored message, in batch order."""
-    return (bronze.orderBy(batch) if ordered else bronze).select(
-        F.col("raw_json").alias("value")
-    )
+    """Every stored message, in batch order; within a batch in the order of a
+    hash, so that a large batch is sorted by many tasks."""
+    if ordered:
+        bronze = bronze.orderBy(batch, F.xxhash64("raw_json"))
+    return bronze.select(F.col("raw_json").alias("value"))
 
 
 def write_messages(messages: DataFrame, path: str, file_format: str = "text") -> None:

@@ -72,3 +72,20 @@ def test_audit_row(spark):
     assert (row.bronze_row_count, row.gold_row_count) == (10, None)
     assert row.details == '{"bronze":10,"silver":5,"gold":null}'
     assert reports.recent_runs(audit.audit_rows(runs, ended, counts)).count() == 1
+
+
+def test_a_hot_moment_is_sorted_by_many_tasks(spark):
+    df = spark.range(0, 20_000, 1, 4).selectExpr(
+        "id", "case when id % 3 = 0 then timestamp_ntz'2026-02-01' else timestamp_ntz'2026-02-01'"
+        " + make_dt_interval(0, 0, 0, id - 10000) end as at",
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = cursor.incremental(df, F.col("at"), "2026-01-01")
+        parts = found.select("at", F.spark_partition_id().alias("p")).where(
+            "at = timestamp_ntz'2026-02-01'"
+        )
+        assert parts.select("p").distinct().count() > 1
+        assert found.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -68,6 +68,13 @@ def test_vanished_attribute_falls_to_unknown(silver, spec, spark):
     assert {r.marque_key for r in fact.collect()} == {unknown}
 
 
+def test_own_keys_are_the_lookups_where_nothing_vanished(silver, gold, spec):
+    snapshot = history.open_versions(history.snapshot_source(silver, spec), spec)
+    direct = star.fact(snapshot, None, spec)
+    assert sorted(direct.collect(), key=str) == sorted(gold["fact"].collect(), key=str)
+    assert "Join" not in direct._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lookup_matches_nulls(gold, silver):
     found = star.lookup(silver, gold["dim_risque"], RISK)
     assert found.count() == 3

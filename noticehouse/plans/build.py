@@ -30,17 +30,19 @@ def pull_records(
 ) -> str:
     """Land the records newer than the cursor, then move the cursor.
 
-    The cursor moves only after the write: a failed pull is pulled again, and
-    the overlap makes repeats normal.
+    The next cursor is read before the write, so it never passes a record that
+    came in between, and saved after it: a failed pull is pulled again. The
+    overlap makes repeats normal.
     """
     spec = store.spec
     published = parse_publication(F.col(spec.event_time))
-    fresh = cursor.newer_than(records, published, store.cursor())
+    since = store.cursor()
+    fresh = cursor.newer_than(records, published, since)
+    moved = cursor.next_cursor(fresh, published, since).first()[0]
     keyed = with_producer_key(fresh, spec, position)
     kept = keep_last(keyed, "producer_key", position)
     body = envelope(kept.select(*spec.schema.names), spec, fetched_at)
     write_messages(kept.select(body.alias("value")), landing, file_format)
-    moved = cursor.next_cursor(fresh, published, store.cursor()).first()[0]
     store.save_cursor(moved)
     return moved
 

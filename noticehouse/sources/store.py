@@ -92,9 +92,11 @@ class Store:
         entry = self.spark.range(seq, seq + 1, 1, 1).toDF(SEQ)
         entry.write.mode("append").parquet(self.path("ledger", layer))
 
-    def last(self, layer: str) -> int | None:
+    def last(self, layer: str, upto: int | None = None) -> int | None:
         """Number of the newest complete batch of a layer."""
         entries = self._read(self.path("ledger", layer), T.StructType().add(SEQ, "long"))
+        if upto is not None:
+            entries = entries.where(F.col(SEQ) <= upto)
         return entries.agg(F.max(SEQ)).first()[0]
 
     # --- layers ----------------------------------------------------------------
@@ -120,8 +122,8 @@ class Store:
         upto = self.last("silver") if before is None else before - 1
         if upto is None:
             return empty(self.spark, self._stored)
-        base = self.last("base")
-        if base is None or base > upto:
+        base = self.last("base", upto)
+        if base is None:
             return self.newest_changes(None, upto)
         newest = self.newest_changes(base, upto)
         copy = self._read(self.batch_path("silver/base", base), self._stored)

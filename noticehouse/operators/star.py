@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticehouse.functions.dates import date_key, days_between
@@ -38,7 +38,7 @@ def dimension(staged: DataFrame, dim: DimSpec) -> DataFrame:
     return known.unionByName(unknown_member(staged.sparkSession, dim))
 
 
-def unknown_member(spark, dim: DimSpec) -> DataFrame:
+def unknown_member(spark: SparkSession, dim: DimSpec) -> DataFrame:
     def value(column: str) -> Column:
         label = UNKNOWN_LABEL if column == dim.label else None
         return F.lit(label).cast("string").alias(column)
@@ -60,18 +60,17 @@ def lookup(facts: DataFrame, members: DataFrame, dim: DimSpec) -> DataFrame:
     broadcasts a dimension by its measured size; a larger one is a shuffle join,
     whose hot partitions adaptive execution splits on the fact side.
     """
+    theirs = {c: f"_{dim.key}_{out}" for c, out in dim.columns.items()}
     renamed = members.select(
-        dim.key, *(F.col(out).alias(f"_{dim.key}_{out}") for out in dim.columns.values())
+        dim.key, *(F.col(out).alias(theirs[c]) for c, out in dim.columns.items())
     )
-    match = [
-        F.col(c).eqNullSafe(F.col(f"_{dim.key}_{out}")) for c, out in dim.columns.items()
-    ]
-    # The required attribute is never null in a dimension. Saying so as a plain
-    # equality gives the join an ordinary key; it changes no match.
-    required = F.col(dim.required) == F.col(f"_{dim.key}_{dim.label}")
-    extra = [f"_{dim.key}_{out}" for out in dim.columns.values()]
-    condition = [required, *(m for m, c in zip(match, dim.columns) if c != dim.required)]
-    return facts.join(renamed, condition, "left").drop(*extra)
+
+    def matches(column: str) -> Column:
+        mine, other = F.col(column), F.col(theirs[column])
+        # Never null in a dimension: plain equality finds the same rows.
+        return mine == other if column == dim.required else mine.eqNullSafe(other)
+
+    return facts.join(renamed, list(map(matches, dim.columns)), "left").drop(*theirs.values())
 
 
 def own_key(facts: DataFrame, dim: DimSpec) -> DataFrame:

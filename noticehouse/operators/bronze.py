@@ -13,6 +13,7 @@ from noticehouse.functions.payload import EMPTY_OBJECT, message_text, parse_payl
 from noticehouse.operators.clean import RAW
 from noticehouse.spec import FeedSpec
 
+# Names of the bronze stamps.
 BATCH = "_batch_id"
 INGESTED = "_ingested_at"
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from noticehouse.operators.rebuild import VALID_FROM, VALID_TO
 from noticehouse.spec import FeedSpec
 
+# Names of the snapshot's other columns.
 ROW_ID = "dbt_scd_id"
 UPDATED = "dbt_updated_at"
 

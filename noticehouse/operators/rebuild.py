@@ -14,6 +14,7 @@ from noticehouse.operators.dedup import latest_versions
 from noticehouse.operators.merge import DIGEST, with_digest
 from noticehouse.spec import FeedSpec
 
+# Names of the snapshot's interval columns.
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from noticehouse.functions.keys import UNKNOWN_LABEL
 from noticehouse.spec import DimSpec, FeedSpec
 
+# Fixed value: name of the count column in the reports.
 COUNT = "nb_rappels"
 
 

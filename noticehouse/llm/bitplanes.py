@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from noticehouse.llm.common import stage, text_bytes
+from noticehouse.llm.common import stage, text_bytes, write_file
 from noticehouse.llm.tokens import encoder, slices
 from noticehouse.session import scratch_path
 
@@ -178,17 +178,6 @@ class FileReader:
             start += count
 
 
-def write_file(folder: str, name: str, data: bytes) -> None:
-    """Through Arrow's file systems, so the folder may be a local path or a URI."""
-    from pyarrow import fs
-
-    uri = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
-    system, path = fs.FileSystem.from_uri(uri)
-    system.create_dir(path, recursive=True)
-    with system.open_output_stream(f"{path}/{name}") as out:
-        out.write(data)
-
-
 def write_token_files(
     docs: DataFrame,
     folder: str,

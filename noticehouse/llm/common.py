@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import importlib
+import io
+import zipfile
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +18,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def write_file(folder: str, name: str, data: bytes) -> None:
+    """Through Arrow's file systems, so the folder may be a local path or a URI."""
+    from pyarrow import fs
+
+    uri = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+    system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(path, recursive=True)
+    with system.open_output_stream(f"{path}/{name}") as out:
+        out.write(data)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed."""
+    _ship(spark, spark.sparkContext.applicationId)
+
+
+@cache
+def _ship(spark: SparkSession, application: str) -> None:
+    root = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    folder = scratch_path(spark, "package")
+    write_file(folder, f"{root.name}.zip", packed.getvalue())
+    spark.sparkContext.addPyFile(f"{folder}/{root.name}.zip")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 

@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticehouse.llm import bitplanes, packing
-from noticehouse.llm.common import table, tokenizer_file
+from noticehouse.llm import bitplanes, packing, simhash
+from noticehouse.llm.common import ship_package, table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
-    return run
+    @wraps(run)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = shipped
+    return shipped
 
 
 @query
@@ -37,3 +43,10 @@ def op6_packing(spark, sf_dir):
 def op10_bit_planes(spark, sf_dir):
     read = bitplanes.token_files(table(spark, sf_dir, "documents"), tokenizer_file())
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op4_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")

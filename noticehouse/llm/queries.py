@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticehouse.llm import bitplanes, packing, simhash
+from noticehouse.llm import bitplanes, decontaminate, langid, packing, quality, simhash
 from noticehouse.llm.common import ship_package, table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +45,25 @@ def op10_bit_planes(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op2_language(spark, sf_dir):
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op8_string_tiling(spark, sf_dir):
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

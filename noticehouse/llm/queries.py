@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticehouse.llm import bitplanes, decontaminate, langid, packing, quality, simhash
+from noticehouse.llm import bitplanes, decontaminate, langid, packing, quality, simhash, toxicity
 from noticehouse.llm.common import ship_package, table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op10_bit_planes(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_language(spark, sf_dir):
     return langid.identify_languages(table(spark, sf_dir, "documents"))

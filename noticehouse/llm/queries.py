@@ -8,7 +8,16 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticehouse.llm import bitplanes, decontaminate, langid, packing, quality, simhash, toxicity
+from noticehouse.llm import (
+    bitplanes,
+    decontaminate,
+    html_text,
+    langid,
+    packing,
+    quality,
+    simhash,
+    toxicity,
+)
 from noticehouse.llm.common import ship_package, table, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +34,11 @@ def query(run: Query) -> Query:
     return shipped
 
 
+@query
+def op5_page_differencing(spark, sf_dir):
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_packing(spark, sf_dir):
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file())

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticehouse.llm import (
+    ann,
     bitplanes,
     decontaminate,
     html_text,
@@ -76,6 +77,11 @@ def op4_simhash(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query
+def op7_prefix_forest(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op8_string_tiling(spark, sf_dir):
     return decontaminate.contaminated(

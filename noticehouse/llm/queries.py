@@ -14,6 +14,7 @@ from noticehouse.llm import (
     decontaminate,
     html_text,
     langid,
+    lm_score,
     packing,
     quality,
     simhash,
@@ -70,6 +71,11 @@ def op2_language(spark, sf_dir):
     return langid.identify_languages(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_stupid_backoff(spark, sf_dir):
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))

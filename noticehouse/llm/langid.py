@@ -202,8 +202,10 @@ def learn_languages(
     return tuple((lang, b" ".join(t)[:most]) for lang, t in sorted(texts.items()))
 
 
-def with_language(docs: DataFrame, training: tuple[tuple[str, bytes], ...]) -> DataFrame:
-    """Documents with a column ``language`` of ``lang_pred``, ``score`` (how much
+def with_language(
+    docs: DataFrame, training: tuple[tuple[str, bytes], ...], name: str = "language"
+) -> DataFrame:
+    """Documents with a column (replaced if there is one) of ``lang_pred``, ``score`` (how much
     better than the second best, 0 to 1) and ``bits``.
 
     A null text or one without a letter is ``und`` with score 0, as is any text
@@ -216,7 +218,7 @@ def with_language(docs: DataFrame, training: tuple[tuple[str, bytes], ...]) -> D
         return pd.DataFrame(found, columns=RESULT.names)
 
     udf = F.pandas_udf(identify, RESULT)
-    return docs.withColumn("language", udf(F.col("text")))
+    return docs.withColumn(name, udf(F.col("text")))
 
 
 def _parts(texts: list[str | None], chars: int = 4 << 20) -> Iterator[list[str | None]]:
@@ -244,7 +246,7 @@ def identify_languages(docs: DataFrame, parts: int = 4, held_out: int = 2) -> Da
 
 def keep_identified(docs: DataFrame, most_bits: float = MOST_BITS) -> DataFrame:
     """The documents in one of the languages learnt from the documents themselves."""
-    found = with_language(docs, learn_languages(docs))
-    known = F.col("language.lang_pred") != UNKNOWN
-    kept = found.where(known & (F.col("language.bits") <= most_bits))
-    return kept.drop("language")
+    held = "__language"
+    found = with_language(docs, learn_languages(docs), held)
+    known = F.col(f"{held}.lang_pred") != UNKNOWN
+    return found.where(known & (F.col(f"{held}.bits") <= most_bits)).drop(held)

@@ -201,7 +201,7 @@ def drop_near_duplicates(
     marked = near_duplicates(docs, shingle, wide_radius).select("doc_id", "component_id")
     marked = stage(marked, "near-duplicates")
     gone = marked.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
+    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     again = marked.groupBy("doc_id").count().where("doc_id is not null and count > 1")
     again = stage(again.select("doc_id"), "repeated-ids")
     if not again.head(1):
@@ -214,4 +214,5 @@ def drop_near_duplicates(
         .select("doc_id", "row.*")
         .select(docs.columns)
     )
-    return kept.join(again, "doc_id", "left_anti").unionByName(once)
+    single = kept.join(again, "doc_id", "left_anti").select(docs.columns)
+    return single.unionByName(once)

@@ -432,8 +432,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25
     return tuple(map(float, w))
 
 
-def with_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
-    """Documents with a column ``toxicity``: ``score``, number of ``hits``, and the
+def with_toxicity(docs: DataFrame, model: ToxicModel, name: str = "toxicity") -> DataFrame:
+    """Documents with a column (replaced if there is one) of ``score``, number of ``hits``, and the
     ``worst`` hit's term. A null text is empty and has no hit."""
 
     def score(texts: pd.Series) -> pd.DataFrame:
@@ -442,7 +442,7 @@ def with_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
             rows += judge.score(all_texts[a:b])
         return pd.DataFrame(rows, columns=RESULT.names)
 
-    return docs.withColumn("toxicity", F.pandas_udf(score, RESULT)(F.col("text")))
+    return docs.withColumn(name, F.pandas_udf(score, RESULT)(F.col("text")))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0) -> DataFrame:

@@ -273,10 +273,11 @@ def scorer(model: ToxicModel) -> Scorer:
     return _SCORERS[model]
 
 
-def _family(words: set[str]) -> int:
-    """The same for copies, and mostly for texts that differ in few longer words."""
-    longer = [w for w in words if len(w) > 5] or [""]
-    return int.from_bytes(min(map(xxhash.xxh64_digest, longer))) >> 1
+def _family(words: list[str]) -> int:
+    """The same for copies, and mostly for texts that differ in few words: the least
+    hash of two words in a row."""
+    pairs = {" ".join(p) for p in zip(words, words[1:])} or {" ".join(words)}
+    return int.from_bytes(min(map(xxhash.xxh64_digest, pairs))) >> 1
 
 
 def _terms_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -284,11 +285,11 @@ def _terms_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for label, body in zip(batch["label"], batch["body"]):
-            words = set(body.decode("utf-8", "replace").lower().split())
+            words = body.decode("utf-8", "replace").lower().split()
             clean = {w.strip(EDGES) for w in words}
             terms = {w for w in clean if len(w) > 2}
             terms |= {w[:n] + "*" for w in clean for n in STEMS if len(w) > n}
-            rows.append((label, _family(clean), sorted(terms)))
+            rows.append((label, _family(words), sorted(terms)))
         yield pd.DataFrame(rows, columns=["label", "family", "terms"])
 
 
@@ -346,7 +347,7 @@ def fit_toxicity(
 ) -> ToxicModel:
     """Fit on at most ``most`` labelled documents that are not held out. Without
     both labels the model knows the labels' mean only."""
-    texts = stage(labelled_texts(docs, labels, "toxic", parts, held_out, most), "toxic-sample")
+    texts = stage(labelled_texts(docs, labels, "toxic", parts, held_out, most), "toxic-sample", 64 * most)
     counts = texts.agg(F.count("*").alias("n"), F.sum("label").alias("pos")).head()
     terms = learn_lexicon(texts)
     draft = ToxicModel(0.0, tuple((t, 0, 0.0) for t in sorted(terms)), ())

@@ -1,0 +1,104 @@
+import random
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from noticehouse.llm import decontaminate
+from noticehouse.llm.decontaminate import Benchmark, contaminated, words_of
+
+ITEM = "the quick brown fox jumps over the lazy dog and then it sleeps all day long in peace"
+
+
+def brute_tiles(doc, item, least):
+    """Greedy string tiling by its definition."""
+    doc_marks, item_marks, tiles = set(), set(), []
+    while True:
+        best = None
+        for d in range(len(doc)):
+            for t in range(len(item)):
+                n = 0
+                while (
+                    d + n < len(doc) and t + n < len(item) and doc[d + n] == item[t + n]
+                    and d + n not in doc_marks and t + n not in item_marks
+                ):
+                    n += 1
+                if n >= least and (best is None or n > best[2]):
+                    best = (d, t, n)
+        if best is None:
+            return sorted(tiles)
+        d, t, n = best
+        doc_marks.update(range(d, d + n))
+        item_marks.update(range(t, t + n))
+        tiles.append(best)
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.sampled_from("abcd"), max_size=40), st.lists(st.sampled_from("abc"), min_size=3, max_size=25)
+)
+def test_tiles_equal_the_definition(doc, item):
+    index = Benchmark([(1, " ".join(item))], 3)
+    found = [m[4] for m in index.matches(" ".join(doc), 1e-9)]
+    expected = brute_tiles(doc, item, 3)
+    assert found == ([expected] if expected else [])
+
+
+def test_reordered_passages_are_caught():
+    words = ITEM.split()
+    moved = "so " + " ".join(words[9:]) + " and before that " + " ".join(words[:9])
+    ((key, share, size, tiled, tiles),) = Benchmark([(3, ITEM)]).matches(moved, 0.5)
+    assert (key, share, size, tiled, len(tiles)) == (3, 1.0, len(words), len(words), 2)
+
+
+def test_threshold():
+    half = " ".join(ITEM.split()[:9])
+    index = Benchmark([(3, ITEM)])
+    assert list(index.matches(half, 0.5)) and not list(index.matches(half, 0.6))
+    assert not list(index.matches("the quick brown fox", 0.0))
+
+
+def test_documents_and_items(spark, documents, clashing):
+    items = spark.createDataFrame(
+        [(1, ITEM), (2, "too short item"), (3, None), (4, ""), (5, ITEM), (None, "seven other words stand in this item")],
+        "item_id bigint, text string",
+    )
+    docs = documents(
+        f"Well! {ITEM.upper()}.", None, "", "nothing to see here at all", f"x {ITEM} y {ITEM}",
+        (None, "so seven other words stand in this item"), (0, ITEM), **clashing,
+    )
+    found = contaminated(docs, items).collect()
+    got = sorted(((r["doc_id"], r["item_id"], r["coverage"]) for r in found), key=str)
+    assert got == sorted(
+        [(0, 1, 1.0), (0, 5, 1.0), (4, 1, 1.0), (4, 5, 1.0), (None, None, 1.0), (0, 1, 1.0), (0, 5, 1.0)],
+        key=str,
+    )
+    kept = decontaminate.decontaminate(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 2, 3, None]
+
+
+def test_blocks_change_nothing(spark, documents):
+    chance = random.Random(2)
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join(chance.choices(words, k=12)) for _ in range(30)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id bigint, text string")
+    docs = documents(*(f"{a} and {b}" for a, b in zip(texts, texts[1:])))
+
+    def rows(chars):
+        found = contaminated(docs, items, block_chars=chars).collect()
+        return sorted((r["doc_id"], r["item_id"], r["tiled_words"]) for r in found)
+
+    assert rows(1 << 20) == rows(300) and len(rows(300)) >= 58
+
+
+@pytest.mark.parametrize("empty", ["docs", "items"])
+def test_empty_tables(spark, documents, empty):
+    items = spark.createDataFrame([] if empty == "items" else [(1, ITEM)], "item_id bigint, text string")
+    docs = documents(*([] if empty == "docs" else [ITEM]))
+    assert contaminated(docs, items).collect() == []
+    assert decontaminate.decontaminate(docs, items).count() == docs.count()
+
+
+def test_words():
+    assert words_of("It's ÉTÉ, x_1!\n") == ["it", "s", "été", "x_1"]
+    assert words_of(None) == []

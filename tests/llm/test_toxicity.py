@@ -1,0 +1,118 @@
+import random
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from noticehouse.llm import toxicity
+from noticehouse.llm.toxicity import Lexicon, Scorer, ToxicModel, edits_allowed
+
+WORDS = "river houses garden people walking summer evening winter morning carpet window yellow table".split()
+BAD = ["gritwad", "snorkhead", "blimpo"]
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for k, x in enumerate(a, 1):
+        last, row[0] = row[0], k
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.lists(st.text("abc", min_size=3, max_size=11), min_size=1, max_size=6), st.text("abcd", max_size=13)
+)
+def test_automaton_equals_edit_distance(terms, word):
+    near = [(distance(word, t), t) for t in set(terms)]
+    near = sorted((d, t) for d, t in near if d <= edits_allowed(t))
+    expected = (near[0][1], near[0][0]) if near else None
+    assert Lexicon(sorted(set(terms))).match(word) == expected
+
+
+def test_beginnings():
+    lexicon = Lexicon(["vequ*", "vequa", "idiotic"])
+    assert lexicon.match("vequoix") == ("vequ*", 0)
+    assert lexicon.match("vequa") == ("vequa", 0)
+    assert lexicon.match("vequ") is None or lexicon.match("vequ")[1] == 1
+    assert lexicon.match("idi0tic") == ("idiotic", 1)
+    assert Lexicon([]).matches({"a"}) == {}
+
+
+def corpus(spark, documents, n=400, **columns):
+    chance, texts, labels = random.Random(8), [], []
+    for k in range(n):
+        words = chance.choices(WORDS, k=chance.randint(20, 60)) + [f"rare{k}x"]
+        toxic = chance.random() < 0.25
+        if toxic:
+            for _ in range(chance.randint(1, 3)):
+                bad = chance.choice(BAD)
+                if chance.random() < 0.2:
+                    bad = bad.replace("i", "1", 1)
+                words.insert(chance.randrange(len(words)), bad + chance.choice(["", ".", "!"]))
+        chance.shuffle(words)
+        texts.append(" ".join(words).capitalize())
+        labels.append((k, int(toxic)))
+    labels_df = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    return documents(*texts, **columns), labels_df, dict(labels)
+
+
+def test_held_out_accuracy(spark, documents, clashing):
+    docs, labels, truth = corpus(spark, documents, **clashing)
+    rows = toxicity.score_toxicity(docs, labels).collect()
+    held = [r for r in rows if r["held_out"]]
+    assert len(rows) == len(truth) and len(held) > 50
+    assert all(r["predicted"] == truth[r["doc_id"]] for r in held)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+
+
+@pytest.fixture(scope="module")
+def model():
+    terms = [(t, d, 6.0 - d) for t in BAD for d in range(edits_allowed(t) + 1)]
+    return ToxicModel(-4.0, tuple(terms), ())
+
+
+def test_misspelt_terms(model):
+    scores = [s for s, _, _ in Scorer(model).score(["you snorkheed!", "GR1TWAD", "blimp", "a carpet"])]
+    assert scores[0] > 0.9 and scores[1] > 0.9 and scores[3] < 0.1
+
+
+def test_quotations_are_not_abuse(model):
+    judge = Scorer(model)
+    (abuse, *_), (quoted, *_) = judge.score(
+        ["you are a snorkhead and always will be", 'he said the word "snorkhead" was new to him']
+    )
+    assert abuse > 0.9 and quoted < 0.3
+
+
+def test_a_late_hit_in_a_long_text_counts(model):
+    assert Scorer(model).score(["carpet " * 200_000 + "snorkhead"])[0][0] > 0.5
+
+
+def test_copies_teach_once(spark, documents):
+    """A word of one much copied toxic text is no term."""
+    docs, labels, _ = corpus(spark, documents)
+    copied = "lampshade " + " ".join(WORDS) + " lampshade blimpo"
+    copies = documents(*((1000 + k, copied) for k in range(60)))
+    marks = spark.range(1000, 1060).selectExpr("id as doc_id", "1 as toxic")
+    found = toxicity.fit_toxicity(docs.unionByName(copies), labels.unionByName(marks))
+    terms = {t for t, _, _ in found.terms}
+    assert terms & set(BAD) and not any(t.startswith("lamp") for t in terms)
+
+
+def test_odd_rows_and_labels(spark, documents):
+    docs = documents("some text", None, "", (None, "no id"), (0, "some text"))
+    labels = spark.createDataFrame([(0, 1), (0, 0), (None, 1), (5, None)], "doc_id bigint, toxic int")
+    rows = toxicity.score_toxicity(docs, labels).collect()
+    assert len(rows) == 5 and len({r["score"] for r in rows}) == 1
+    none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    assert {r["score"] for r in toxicity.score_toxicity(docs, none).collect()} == {0.5}
+    assert toxicity.score_toxicity(documents(), labels).collect() == []
+
+
+def test_held_out_labels_are_not_used(spark, documents):
+    docs, labels, _ = corpus(spark, documents)
+    turned = labels.selectExpr(
+        "doc_id", "if(crc32(cast(cast(doc_id as string) as binary)) % 5 = 0, 1 - toxic, toxic) as toxic"
+    )
+    assert toxicity.fit_toxicity(docs, labels) == toxicity.fit_toxicity(docs, turned)

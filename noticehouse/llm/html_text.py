@@ -52,8 +52,8 @@ ASIDE_WORDS = frozenset(
 )
 #: Lines of an article, other lines, and lines set apart.
 MAIN, OTHER, APART = 0, 1, 2
-#: Pages whose other lines agree to this share of characters are copies.
-COPY = 0.5
+#: Pages that share this much of their characters are copies.
+COPY = 0.9
 
 #: Text and kind of a line.
 Line = tuple[str, int]
@@ -71,7 +71,7 @@ def _apart(name: str, tag: str, in_article: bool) -> bool:
 
 def lines_of(page: str) -> list[Line]:
     """The blocks of a page in order, references decoded and white space single."""
-    parts = TAG.split(RAW.sub(" ", page))
+    parts = TAG.split(RAW.sub("", page))
     open_: list[tuple[str, int]] = []
     kind, found, held = OTHER, [], []
 
@@ -172,7 +172,7 @@ class Page:
         self.texts = [t for t, _ in self.lines]
 
     def copies(self, other: Page) -> bool:
-        """Whether two pages are mostly the same where neither marks an article."""
+        """Whether nearly all the page's text is the other's too."""
         shared = shared_lines(self.texts, other.texts)
         own = [k for k, (_, kind) in enumerate(self.lines) if kind != APART]
         size = sum(len(self.texts[k]) for k in own)

@@ -73,7 +73,8 @@ def search_shard(
     keys, wanted = forest.keys(rows), forest.keys(queries, queries=True)
     order = np.argsort(keys, axis=0, kind="stable")
     sorted_keys = np.take_along_axis(keys, order, axis=0)
-    enough = min(ascent, forest.trees) * len(rows)
+    # One tree at least then holds as many rows as are wanted.
+    enough = min(max(ascent * len(rows), forest.trees * most), forest.trees * len(rows))
     low = np.zeros((len(queries), forest.trees), np.int64)
     high = np.zeros_like(low)
     todo = np.arange(len(queries))
@@ -141,18 +142,19 @@ def nearest(
     rows = stage(_valid(vectors).select("vec_id", "v", *key), "vectors")
     keys = ["k1", "k2"]
     ids = rows.select("vec_id", *keys).distinct()
-    classes = stage(
-        rows.groupBy(*keys).agg(F.min("vec_id").alias("class_id"), F.first("v").alias("v")),
-        "vector-classes",
-    )
-    class_of = stage(ids.join(classes.select(*keys, "class_id"), keys).drop(*keys), "vector-class")
+    size = rows.count()
+    distinct = rows.groupBy(*keys).agg(F.min("vec_id").alias("class_id"), F.first("v").alias("v"))
+    classes = stage(distinct, "vector-classes", 4 * size)
+    numbered = ids.join(classes.select(*keys, "class_id"), keys).drop(*keys)
+    class_of = stage(numbered, "vector-class", size)
     firsts = Window.partitionBy("class_id").orderBy("vec_id")
     members = (
         class_of.withColumn("n", F.row_number().over(firsts))
         .where(F.col("n") <= count + 1)
         .drop("n")
     )
-    queries = stage(class_of.where(query_ids).withColumnRenamed("vec_id", "query_id"), "queries")
+    looking_for = class_of.where(query_ids).withColumnRenamed("vec_id", "query_id")
+    queries = stage(looking_for, "queries", size)
     asked = queries.select("class_id").distinct()
     stats = classes.agg(
         F.count("*").alias("n"),

@@ -46,13 +46,20 @@ def _ship(spark: SparkSession, application: str) -> None:
     spark.sparkContext.addPyFile(f"{folder}/{root.name}.zip")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a narrow table that one task writes.
+TASK_ROWS = 1 << 16
+
+
+def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     What follows re-reads it after a lost executor, and Python work before it
-    runs once.
+    runs once. For a narrow table whose ``rows`` are known or bounded, tasks are
+    joined so that a small one does not become many tiny files.
     """
     path = scratch_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(1 + rows // TASK_ROWS)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

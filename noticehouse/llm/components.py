@@ -43,6 +43,6 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     before = None
     while (now := _signature(links)) != before and now[0]:
         before = now
-        links = stage(_small_star(_large_star(links)), "links")
+        links = stage(_small_star(_large_star(links)), "links", 2 * now[0])
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -30,9 +30,10 @@ BITS = 64
 SEED = 42
 SHINGLE = 3
 RADIUS = 2
-#: Bits by which fingerprints of texts with four fifths of their 5-word shingles
-#: in common mostly differ at most; see the README for measured recall.
-WIDE_RADIUS = 6
+#: Fingerprints of texts with four fifths of their 5-word shingles in common mostly
+#: differ in 8 bits or fewer. Masks for 6 find all up to 6 and part of 7 and 8, in
+#: each of two fingerprints; see the README for measured recall.
+WIDE_RADIUS, WIDE_BITS = 6, 8
 #: Hashes expanded to single bits at once.
 HASHES_AT_ONCE = 1 << 16
 
@@ -41,21 +42,23 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
-    """The SimHash of a text's word shingles, repeats included; 0 without words.
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 of a text's word shingles, repeats included.
 
     ASCII letters are lower-cased; words end at ASCII white space. Fewer words
-    than a shingle are one shingle. A bit is 1 if set in over half the hashes.
+    than a shingle are one shingle; no words are none.
     """
     words = text.lower().split()
-    if not words:
-        return 0
     if len(words) <= shingle:
-        grams = [b" ".join(words)]
+        grams = [b" ".join(words)] if words else []
     else:
         grams = map(b" ".join, zip(*(words[k:] for k in range(shingle))))
     hash64 = xxhash.xxh64_intdigest
-    hashes = np.fromiter((hash64(g, SEED) for g in grams), "<u8")
+    return np.fromiter((hash64(g, SEED) for g in grams), "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A bit is 1 if set in over half the hashes; 0 without any."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), HASHES_AT_ONCE):
         octets = hashes[at : at + HASHES_AT_ONCE].view(np.uint8).reshape(-1, 8)
@@ -64,18 +67,36 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """The SimHash of a text's word shingles; 0 without words."""
+    return majority(shingle_hashes(text, shingle))
+
+
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the hashes, for a second fingerprint whose bits err on their own."""
+    x = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp`` (signed 64-bit) of whole texts; null text is empty."""
+    """``doc_id``, ``fp`` and a second ``fp2`` (signed 64-bit) of whole texts; a null
+    text is empty."""
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [signed(fingerprint(text, shingle)) for text in batch["body"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": found})
+            rows = []
+            for text in batch["body"]:
+                hashes = shingle_hashes(text, shingle)
+                rows.append((signed(majority(hashes)), signed(majority(mixed(hashes)))))
+            made = pd.DataFrame(rows, columns=["fp", "fp2"])
+            made.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
+            yield made.astype({"doc_id": "Int64"})
 
     bodies = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("body")
     )
-    return bodies.mapInPandas(compute, "doc_id bigint, fp bigint")
+    return bodies.mapInPandas(compute, "doc_id bigint, fp bigint, fp2 bigint")
 
 
 def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
@@ -130,9 +151,9 @@ def links_within_two(values: DataFrame) -> DataFrame:
     )
 
 
-def links_to_leaders(values: DataFrame, radius: int) -> DataFrame:
-    """Links ``a``, ``b`` of values of ``fp`` within the radius, each to the
-    smallest and the largest of a bucket they share.
+def links_to_leaders(values: DataFrame, value: str, radius: int, within: int) -> DataFrame:
+    """Links ``a``, ``b`` of values of ``fp`` whose ``value`` shares a bucket with the
+    bucket's smallest or largest and differs from it in ``within`` bits or fewer.
 
     Two or three values in a bucket are compared in full. In a larger bucket two
     values may be linked through others only, or in another of the tables; for an
@@ -143,23 +164,25 @@ def links_to_leaders(values: DataFrame, radius: int) -> DataFrame:
             *(
                 F.struct(
                     F.lit(k).alias("mask"),
-                    F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"),
+                    F.col(value).bitwiseAND(F.lit(signed(m))).alias("key"),
                 )
                 for k, m in enumerate(covering_masks(radius))
             )
         )
     )
-    rows = values.select("fp", tables.alias("t")).select("fp", "t.mask", "t.key")
+    member = F.struct(F.col(value).alias("value"), "fp")
+    rows = values.select(member.alias("m"), tables.alias("t")).select("m", "t.mask", "t.key")
     leaders = (
         rows.groupBy("mask", "key")
-        .agg(F.min("fp").alias("least"), F.max("fp").alias("most"))
-        .where("least < most")
+        .agg(F.min("m").alias("least"), F.max("m").alias("most"))
+        .where("least.fp <> most.fp")
     )
     pairs = rows.join(leaders, ["mask", "key"]).select(
-        F.col("fp").alias("a"), F.explode(F.array("least", "most")).alias("b")
+        "m", F.explode(F.array("least", "most")).alias("leader")
     )
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).between(1, radius)
-    return pairs.where(near)
+    near = F.bit_count(F.col("m.value").bitwiseXOR(F.col("leader.value"))) <= within
+    linked = pairs.where(near & (F.col("m.fp") != F.col("leader.fp")))
+    return linked.select(F.col("m.fp").alias("a"), F.col("leader.fp").alias("b"))
 
 
 def near_duplicates(
@@ -167,20 +190,25 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id``: the smallest document id reachable
     over links between fingerprints that differ in 2 bits or fewer, and, with a
-    ``wide_radius``, also over links to bucket leaders within that radius.
+    ``wide_radius``, also over links to bucket leaders by either fingerprint.
 
     Texts without words share fingerprint 0. Equal ids with different texts keep
     a row each. Null ids count as larger than any other; a component of nothing
     else has a null id. An empty table gives no row.
     """
-    marked = stage(fingerprints(docs, shingle), "fingerprints")
-    classes = stage(
-        marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprint-classes"
-    )
+    prints = fingerprints(docs, shingle)
+    marked = stage(prints if wide_radius else prints.drop("fp2"), "fingerprints")
+    rows = marked.count()
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
+    classes = stage(least, "fingerprint-classes", rows)
     links = links_within_two(classes.select("fp"))
     if wide_radius:
-        links = links.unionByName(links_to_leaders(classes.select("fp"), wide_radius))
-    members = stage(components(links, "a", "b"), "components")
+        seconds = stage(marked.select("fp", "fp2").distinct(), "second-fingerprints", rows)
+        for value in ("fp", "fp2"):
+            values = classes.select("fp") if value == "fp" else seconds
+            found = links_to_leaders(values, value, wide_radius, WIDE_BITS)
+            links = links.unionByName(stage(found.distinct(), "leader-links"))
+    members = stage(components(links, "a", "b"), "components", rows)
     roots = classes.join(members.withColumnRenamed("node", "fp"), "fp")
     ids = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
     found = roots.select("fp", "root").join(ids, "root").select("fp", "component_id")
@@ -199,11 +227,11 @@ def drop_near_duplicates(
     stays. Rows without an id cannot be told apart and stay.
     """
     marked = near_duplicates(docs, shingle, wide_radius).select("doc_id", "component_id")
-    marked = stage(marked, "near-duplicates")
+    marked = stage(marked, "near-duplicates", docs.count())
     gone = marked.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     again = marked.groupBy("doc_id").count().where("doc_id is not null and count > 1")
-    again = stage(again.select("doc_id"), "repeated-ids")
+    again = stage(again.select("doc_id"), "repeated-ids", marked.count())
     if not again.head(1):
         return kept
     others = [c for c in docs.columns if c != "doc_id"]

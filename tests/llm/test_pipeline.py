@@ -1,0 +1,77 @@
+import random
+
+import duckdb
+import numpy as np
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from noticehouse.llm.common import tokenizer_file
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_stages_over_the_small_tables(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    columns, kept = docs.columns, {None: {r["doc_id"]: r["text"] for r in docs.collect()}}
+    for k, (name, step) in enumerate(corpus_pipeline.STAGES):
+        step(spark, docs, SMALL).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if k < 4:
+            assert docs.columns == columns
+            kept[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
+    names = list(kept)
+    for before, after in zip(names, names[1:]):
+        assert kept[after].items() <= kept[before].items()
+    labels = dict(duckdb.sql(f"select doc_id, quality from '{SMALL}/labels.parquet'").fetchall())
+    wrong = [i for i in kept[None] if i in labels and (i in kept["quality"]) != bool(labels[i])]
+    assert len(wrong) <= 0.05 * len(labels)
+    # Exact copies: one of each stays.
+    texts = [t for t in kept["near_duplicates"].values()]
+    assert len(set(texts)) == len(texts) and set(texts) <= set(kept["language"].values())
+    items = [t for (t,) in duckdb.sql(f"select text from '{SMALL}/benchmark.parquet'").fetchall()]
+    held = {i for i, t in kept["near_duplicates"].items() if any(x in t for x in items)}
+    assert held and held.isdisjoint(kept["decontamination"])
+    assert len(kept["near_duplicates"]) - len(kept["decontamination"]) <= 2 * len(held)
+    library = Tokenizer.from_file(tokenizer_file())
+    pieces = {}
+    for p in docs.collect():
+        pieces.setdefault(p["doc_id"], []).append((p["start"], p["ids"]))
+    assert pieces.keys() == kept["decontamination"].keys()
+    for i, own in pieces.items():
+        ids = np.frombuffer(b"".join(x for _, x in sorted(own)), "<u4").tolist()
+        assert ids == library.encode(kept["decontamination"][i] or "", add_special_tokens=False).ids + [2]
+
+
+def test_near_copies_and_clean_documents(documents, spark):
+    chance = random.Random(6)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    originals = [chance.choices(words, k=chance.randint(150, 500)) for _ in range(60)]
+    rows, copies = [], set()
+    for k, text in enumerate(originals):
+        rows.append((10 * k, " ".join(text)))
+        if k % 3 == 0:
+            changed = list(text)
+            for at in chance.sample(range(len(text)), len(text) // 100):
+                changed[at] = chance.choice(words)
+            rows.append((10 * k + 1, " ".join(changed)))
+            copies.add(10 * k + 1)
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents(*rows), SMALL)
+    ids = {r["doc_id"] for r in kept.collect()}
+    assert {i for i, _ in rows} - copies <= ids
+    assert len(copies & ids) <= 0.15 * len(copies)
+
+
+def test_odd_tables(documents, spark):
+    empty = documents()
+    for _, step in corpus_pipeline.STAGES:
+        assert step(spark, empty, SMALL).collect() == []
+
+
+def test_registry():
+    names = [n for n in entry.queries() if n.startswith("op")]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality", "language", "near_duplicates", "decontamination", "packing",
+    ]
+    assert "op3_stupid_backoff" in entry.oracle_sql() and "pipeline" in entry.queries()

@@ -74,8 +74,8 @@ def test_links_equal_brute_force(spark):
     found = {r["node"]: r["root"] for r in components(links, "a", "b").collect()}
     expected = brute_components(signed, 2)
     assert {v: found.get(v, v) for v in signed} == expected
-    for row in simhash.links_to_leaders(df, 6).collect():
-        assert 1 <= ((row["a"] ^ row["b"]) & (2**64 - 1)).bit_count() <= 6
+    for row in simhash.links_to_leaders(df, "fp", 3, 5).collect():
+        assert 1 <= ((row["a"] ^ row["b"]) & (2**64 - 1)).bit_count() <= 5
 
 
 @settings(max_examples=8, deadline=None)

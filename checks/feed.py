@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticehouse.feeds.recall_notice import FIELDS
-from noticehouse.session import spread
 
 BATCHES = 7
 REPLAYED, REPLAY = 0, 6
@@ -26,7 +25,7 @@ _GROUP = "cast(o_orderkey - o_orderkey % 10 as string)"
 _DAY = "cast(cast({} as date) as string)"
 
 RECORD = {
-    "id": "cast(o_orderkey % 2000000000 as int)",
+    "id": "cast(o_orderkey as int)",  # fails on a feed beyond the type
     "rappel_guid": f"case when o_orderkey % 11 = 0 then null else 'G' || {_GROUP} end",
     "numero_fiche": f"case when o_orderkey % 22 = 0 then null else 'S' || {_GROUP} end",
     "numero_version": "case when o_orderkey % 17 = 0 then null"
@@ -90,6 +89,27 @@ def _json_member(name: str) -> str:
     return f"""'"{name}": ' || coalesce({text}, 'null')"""
 
 
+# Ways to write a publication date; the last of each pair is what it should mean.
+_AT, _DAY_OF = "date_publication", "substr(date_publication, 1, 10)"
+_BASIC_DAY, _CLOCK = f"replace({_DAY_OF}, '-', '')", "substr(date_publication, 12, 8)"
+PUBLICATION_FORMS = (
+    _DAY_OF,
+    f"replace({_AT}, '+00:00', 'Z')",
+    f"{_DAY_OF} || ' (reporté)'",
+    _BASIC_DAY,
+    f"{_BASIC_DAY} || 'T' || replace({_CLOCK}, ':', '') || 'Z'",
+    f"{_DAY_OF} || 'T' || replace({_CLOCK}, ':', '')",
+    f"{_DAY_OF} || ' ' || {_CLOCK} || '+02:00'",
+    f"{_DAY_OF} || 'T' || {_CLOCK} || ' Europe/Paris'",
+    f"{_DAY_OF} || 'T' || substr({_AT}, 12, 5) || '-0130'",
+    f"{_DAY_OF} || 'T' || {_CLOCK} || ',5'",
+)
+PUBLICATION_TEXT = (
+    "case id % 10 "
+    + " ".join(f"when {k} then {form}" for k, form in enumerate(PUBLICATION_FORMS))
+    + " end"
+)
+
 VALUE = "'{' || " + " || ', ' || ".join(map(_json_member, FIELDS)) + " || '}'"
 BROKEN_VALUE = "'not-json{{{' || cast(o_orderkey as string)"
 
@@ -113,7 +133,9 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         f" 'batch_no', cast({batch} as int)) end"
         for kind, cond, batch in _ROWS
     )
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"), "o_orderkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    # Making messages is CPU-bound: at any size the orders are dealt over all cores.
+    orders = orders.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
     return (
         orders.selectExpr("*", f"inline(filter(array({copies}), x -> x is not null))")
         .selectExpr("batch_no", "o_orderkey", "kind", *_select(RECORD))

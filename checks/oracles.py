@@ -13,19 +13,37 @@ from checks import feed
 
 # Column roles, spelled out here so that the checks do not lean on
 # the spec they check.
-TEXT = (
-    "nature_juridique_rappel categorie_produit sous_categorie_produit marque_produit"
-    " libelle modeles_ou_references conditionnements temperature_conservation"
-    " marque_salubrite informations_complementaires zone_geographique_de_vente"
-    " distributeurs motif_rappel risques_encourus preconisations_sanitaires"
-    " description_complementaire_risque conduites_a_tenir_par_le_consommateur"
-    " modalites_de_compensation informations_complementaires_publiques"
-).split()
-VERBATIM = (
-    "rappel_guid numero_fiche numero_contact liens_vers_les_images"
-    " lien_vers_la_liste_des_produits lien_vers_la_liste_des_distributeurs"
-    " lien_vers_affichette_pdf lien_vers_la_fiche_rappel"
-).split()
+TEXT = [
+    "nature_juridique_rappel",
+    "categorie_produit",
+    "sous_categorie_produit",
+    "marque_produit",
+    "libelle",
+    "modeles_ou_references",
+    "conditionnements",
+    "temperature_conservation",
+    "marque_salubrite",
+    "informations_complementaires",
+    "zone_geographique_de_vente",
+    "distributeurs",
+    "motif_rappel",
+    "risques_encourus",
+    "preconisations_sanitaires",
+    "description_complementaire_risque",
+    "conduites_a_tenir_par_le_consommateur",
+    "modalites_de_compensation",
+    "informations_complementaires_publiques",
+]
+VERBATIM = [
+    "rappel_guid",
+    "numero_fiche",
+    "numero_contact",
+    "liens_vers_les_images",
+    "lien_vers_la_liste_des_produits",
+    "lien_vers_la_liste_des_distributeurs",
+    "lien_vers_affichette_pdf",
+    "lien_vers_la_fiche_rappel",
+]
 TIMES = ["date_publication", "raw_ingested_at_utc"]
 DATES = [
     "date_debut_commercialisation",
@@ -34,14 +52,30 @@ DATES = [
 ]
 END_FIELD, END = "date_date_fin_commercialisation", "date_fin_commercialisation"
 KEY, VERSION = "deduplication_key", "numero_version"
-STAGED = (
-    "deduplication_key api_id rappel_guid numero_fiche numero_version date_publication"
-    " categorie_produit sous_categorie_produit marque_produit libelle"
-    " modeles_ou_references identification_produits distributeurs motif_rappel"
-    " risques_encourus description_complementaire_risque preconisations_sanitaires"
-    " date_debut_commercialisation date_fin_commercialisation"
-    " date_de_fin_de_la_procedure_de_rappel zone_geographique_de_vente silver_updated_at"
-).split()
+STAGED = [
+    "deduplication_key",
+    "api_id",
+    "rappel_guid",
+    "numero_fiche",
+    "numero_version",
+    "date_publication",
+    "categorie_produit",
+    "sous_categorie_produit",
+    "marque_produit",
+    "libelle",
+    "modeles_ou_references",
+    "identification_produits",
+    "distributeurs",
+    "motif_rappel",
+    "risques_encourus",
+    "description_complementaire_risque",
+    "preconisations_sanitaires",
+    "date_debut_commercialisation",
+    "date_fin_commercialisation",
+    "date_de_fin_de_la_procedure_de_rappel",
+    "zone_geographique_de_vente",
+    "silver_updated_at",
+]
 MOMENTS = {*TIMES, *DATES, END, "inserted_at", "silver_updated_at"}
 MOMENTS |= {"dbt_valid_from", "dbt_valid_to", "dbt_updated_at", "valid_from", "valid_to"}
 
@@ -242,11 +276,24 @@ FACT = (
     " s.dbt_valid_to as valid_to, s.dbt_valid_to is null as is_current "
 )
 CTES["fact"] = FACT + LOOKUP.format("snapshot")
-FACT_COLUMNS = (
-    f"fact_rappel_key {KEY} numero_fiche rappel_guid {VERSION} date_key produit_key"
-    " marque_key risque_key distributeur_key nb_produits_identifies"
-    " jours_procedure_rappel valid_from valid_to is_current"
-).split()
+# The fact's columns.
+FACT_COLUMNS = [
+    "fact_rappel_key",
+    "deduplication_key",
+    "numero_fiche",
+    "rappel_guid",
+    "numero_version",
+    "date_key",
+    "produit_key",
+    "marque_key",
+    "risque_key",
+    "distributeur_key",
+    "nb_produits_identifies",
+    "jours_procedure_rappel",
+    "valid_from",
+    "valid_to",
+    "is_current",
+]
 CTES["per_day"] = (
     f"select {DAY.format('date_publication')} as date_key, count(*) as notices"
     " from silver group by 1"
@@ -324,14 +371,12 @@ CTES["bronze"] = (
     f" raw_json, 'run_' || cast(batch_no as varchar) as _batch_id, batch_no from ({BRONZE_SOURCE})"
 )
 
-_PUBLICATION_TEXT = (
-    "case id % 3 when 0 then substr(date_publication, 1, 10)"
-    " when 1 then replace(date_publication, '+00:00', 'Z')"
-    " else substr(date_publication, 1, 10) || ' (reporté)' end"
-)
+_PUBLISHED = _time("date_publication")
 _PUBLICATION_VALUE = (
-    "case when id % 3 = 1 then try_cast(replace(replace(text, 'Z', ''), 'T', ' ') as timestamp)"
-    " else try_cast(substr(text, 1, 10) as timestamp) end"
+    f"case when {_PUBLISHED} is null then null when id % 10 in (0, 2, 3, 7) then"
+    f" date_trunc('day', {_PUBLISHED}) when id % 10 = 6 then {_PUBLISHED} - interval 2 hour"
+    f" when id % 10 = 8 then date_trunc('minute', {_PUBLISHED}) + interval 90 minute"
+    f" when id % 10 = 9 then {_PUBLISHED} + interval 500 millisecond else {_PUBLISHED} end"
 )
 _OUTCOME = (
     f"case when s.{KEY} is null then 'inserted' when s.{VERSION} is null"
@@ -394,8 +439,8 @@ ORACLES: dict[str, str] = {
     " cast(nullif(id, 0) as varchar), 'missing_key_' || cast(position as varchar))"
     " as producer_key from (select *, case when o_orderkey % 12 = 0 then ''"
     " else rappel_guid end as guid from position_of)",
-    "parse_publication": f"select id, batch_no, text, cast({_PUBLICATION_VALUE} as varchar)"
-    f" as published from (select id, batch_no, {_PUBLICATION_TEXT} as text from notice)",
+    "parse_publication": f"select id, batch_no, {feed.PUBLICATION_TEXT} as text,"
+    f" cast({_PUBLICATION_VALUE} as varchar) as published from notice",
     "latest_versions": f"select {shown(SILVER)}, {KEY}, batch_no from keyed"
     f" qualify row_number() over (partition by {KEY} order by {LATEST}) = 1",
     "dedup_keep_last": "select k as producer_key, max(position) as position,"
@@ -422,7 +467,7 @@ ORACLES: dict[str, str] = {
     "backfill_silver": f"select {shown(STATE)} from state2 union all select"
     f" {shown([*SILVER, KEY, 'inserted_at'])}, cast(inserted_at as varchar) from"
     f" (select distinct on ({KEY}) * from legacy_keyed"
-    f" order by {KEY}, {VERSION} desc nulls last, db_id desc) l"
+    f" order by {KEY}, {VERSION} desc nulls last, inserted_at desc, raw_data desc) l"
     f" where {KEY} not in (select {KEY} from state2)",
     "scd2_snapshot": f"select {shown([*STATE, 'dbt_scd_id', 'dbt_updated_at', 'dbt_valid_from', 'dbt_valid_to'])}"
     " from snapshot",
@@ -478,12 +523,15 @@ ORACLES: dict[str, str] = {
     f" as next_cursor from (select {_time('date_publication')} as t from notice)",
     "incremental_filter": "select event_id, cast(ts as varchar) as ts, user_id, event_type, value,"
     " props from events where ts > timestamp '2024-01-03' order by ts",
-    "cursor_advance": "select '1900-01-01' as cursor, pulled, case when pulled < 5000"
-    " then 'exhausted' when next <= '1900-01-01' then 'stuck' else 'advanced' end as status,"
-    " case when pulled < 5000 then '1900-01-01' else next end as next_cursor from"
-    " (select count(*) as pulled, strftime(cast(max(ts) as date) - interval 1 day, '%Y-%m-%d')"
-    " as next from (select ts from events where ts > timestamp '1900-01-01'"
-    " order by ts limit 5000))",
+    "cursor_advance": "with recursive source as (select list(ts order by ts) as all_ts from events),"
+    " pages(cursor, pulled, next) as (select '1900-01-01', 0::bigint, '1900-01-01'"
+    " union all select next, len(page), strftime(cast(page[-1] as date) - interval 1 day,"
+    " '%Y-%m-%d') from (select next, list_filter(all_ts, lambda t: t > cast(next as timestamp))[:5000]"
+    " as page from pages, source where (pulled = 0 and cursor = next)"
+    " or (pulled = 5000 and next > cursor)))"
+    " select cursor, pulled, case when pulled < 5000 then 'exhausted' when next <= cursor"
+    " then 'stuck' else 'advanced' end as status, case when pulled < 5000 then cursor else next end"
+    " as next_cursor from pages where pulled > 0",
     "test_not_null": " union all ".join(
         [
             *(_nulls(t, c) for t, c in TABLE_KEYS.items()),
@@ -514,8 +562,10 @@ ORACLES: dict[str, str] = {
         ]
     ),
     "test_silver_key": _doubles("silver", KEY),
-    "audit_counts": "select 'bronze' as layer, count(*) as row_count from feed union all"
-    " select 'silver', count(*) from silver union all select 'gold', null",
+    "audit_counts": "select moment, layer, case layer when 'bronze' then bronze when 'silver'"
+    " then silver when 'gold' then case moment when 'after' then gold end end as row_count"
+    " from dated_counts cross join (select unnest(['before', 'after']) as moment)"
+    " cross join (select unnest(['bronze', 'silver', 'gold']) as layer)",
     "run_status": f"select dag_run_id, case when count(*) filter"
     " (task_id % 10 <> 0 and state in ('failed', 'upstream_failed')) > 0 then 'failed'"
     " when count(*) filter (task_id % 10 <> 0 and state <> 'success') = 0 then 'success'"
@@ -531,6 +581,17 @@ ORACLES["recent_runs"] = (
 )
 
 
+CTES["dated"] = "select * replace (0 as batch_no) from keyed where date_publication is not null"
+CTES["dated_counts"] = (
+    f"select count(*) as bronze, count(distinct {KEY}) as silver,"
+    f" count(distinct {KEY}) as gold from dated"
+)
+CTES["delivered_counts"] = " union all ".join(
+    f"select {n} as delivery, (select count(*) from feed where batch_no < {upto}) as bronze,"
+    f" (select count(*) from delivery{n}) as silver, (select count(*) from (select distinct {KEY},"
+    f" silver_updated_at from ({' union all '.join(f'select * from delivery{k}' for k in range(n + 1))}))) as gold"
+    for n, upto in enumerate((3, 6, 7))
+)
 _DELIVERED_FACT = FACT + LOOKUP.format("delivered_snapshot")
 for _dim in DIMS:
     CTES[f"delivered_{_dim}"] = _dimension(_dim, "delivery2")
@@ -545,7 +606,15 @@ ORACLES |= {
     " when batch_no < 6 then '1' else '2' end as _batch_id, count(*) as messages"
     " from feed group by 1",
     "stream_to_silver": f"select {shown(STATE)} from delivery2",
-    "warehouse_run": f"select {shown(FACT_COLUMNS)} from delivered_fact",
+    "warehouse_fact": f"select {shown(FACT_COLUMNS)} from delivered_fact",
+    "warehouse_run": "select run_id, step, case when tidy or step <> 'tests' then 'success'"
+    " else 'failed' end as state, case when not tidy and step = 'tests'"
+    " then 'not_null fact_rappel.date_key' end as failure,"
+    " case when tidy then 'success' else 'failed' end as status, bronze as bronze_row_count,"
+    " silver as silver_row_count, gold as gold_row_count from"
+    " (select 'dated-0' as run_id, true as tidy, * from dated_counts union all"
+    " select 'all-' || cast(delivery as varchar), false, bronze, silver, gold from delivered_counts)"
+    " cross join (select unnest(['ingest', 'snapshot', 'gold', 'tests']) as step)",
 }
 
 

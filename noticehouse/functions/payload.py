@@ -34,11 +34,11 @@ def differs(left: Iterable[Column], right: Iterable[Column]) -> Column:
 
 
 def content_digest(columns: Iterable[str]) -> Column:
-    """SHA-256 of the named columns.
+    """SHA-256 of the named columns, as 32 bytes.
 
     Two rows agree on all columns (null equal to null) exactly when the digests
     agree, so a merge can compare content by reading one narrow column. JSON
     text keeps values apart: strings are quoted and nulls are left out.
     """
     fields = ", ".join(f"cast(`{c}` as string) as `{c}`" for c in columns)
-    return F.expr(f"sha2(to_json(struct({fields})), 256)")
+    return F.expr(f"unhex(sha2(to_json(struct({fields})), 256))")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 # First cursor, overlap between pulls, rows a source gives at most.
@@ -14,7 +14,6 @@ PULL_LIMIT = 10_000
 
 EXHAUSTED = "exhausted"
 ADVANCED = "advanced"
-UNDATED = "undated"
 STUCK = "stuck"
 
 
@@ -69,7 +68,6 @@ def pull_status(
     full = F.col("pulled") >= limit
     status = (
         F.when(~full, EXHAUSTED)
-        .when(F.col("_next").isNull(), UNDATED)
         .when(F.col("_next") <= cursor, STUCK)
         .otherwise(ADVANCED)
     )
@@ -90,6 +88,15 @@ class Advance:
 def advance(records: DataFrame, moment: Column, cursor: str, **limits: int) -> Advance:
     """The next cursor of a capped pull; raises when it would not advance."""
     row = pull_status(records, moment, cursor, **limits).first()
-    if row.status in (STUCK, UNDATED):
+    if row.status == STUCK:
         raise CursorStuck(f"pull from {cursor} is {row.status} after {row.pulled} rows")
     return Advance(row.next_cursor, row.status == ADVANCED)
+
+
+def pages(records: DataFrame, moment: Column, cursor: str, **limits: int) -> list[Row]:
+    """The status rows of a capped pull from its first page to its last, or to the
+    one where it is stuck."""
+    found = [pull_status(records, moment, cursor, **limits).first()]
+    while found[-1].status == ADVANCED:
+        found.append(pull_status(records, moment, found[-1].next_cursor, **limits).first())
+    return found

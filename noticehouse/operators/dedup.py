@@ -37,16 +37,16 @@ def latest_versions(
 
 def keep_last(records: DataFrame, key: str, position: str) -> DataFrame:
     """Last occurrence of each key, with the position of its first occurrence:
-    an ordered dictionary's rule. Sort by ``first_<position>`` to get its order."""
-    row = F.struct(*records.columns)
-    return (
-        records.groupBy(F.col(key).alias("_key"))
-        .agg(
-            F.max_by(row, F.col(position)).alias("_row"),
-            F.min(position).alias(f"first_{position}"),
-        )
-        .select("_row.*", f"first_{position}")
+    an ordered dictionary's rule. Sort by ``first_<position>`` to get its order.
+
+    Only narrow columns are hashed and only one wide row per key and task moves.
+    """
+    firsts = records.groupBy(F.col(key).alias("_key")).agg(
+        F.min(position).alias(f"first_{position}")
     )
+    last = top_row(records, [key], [F.col(position).desc()])
+    joined = last.join(firsts, F.col(key).eqNullSafe(F.col("_key")))
+    return joined.select(*records.columns, f"first_{position}")
 
 
 def backfill_key(df: DataFrame, spec: FeedSpec) -> DataFrame:
@@ -57,13 +57,17 @@ def backfill_key(df: DataFrame, spec: FeedSpec) -> DataFrame:
     )
 
 
-def drop_duplicate_keys(df: DataFrame, spec: FeedSpec, row_id: str) -> DataFrame:
-    """Keep the newest version (then the newest row) of each key.
+def drop_duplicate_keys(
+    df: DataFrame, spec: FeedSpec, row_id: str | None = None
+) -> DataFrame:
+    """Keep the newest version (then the newest row) of each key. Without a
+    ``row_id`` the newest row is the one inserted last, then the larger payload.
 
     Rows with a null key are no duplicates of each other; they bypass the
     shuffle instead of meeting in one partition.
     """
     key = F.col(spec.key)
-    order = [F.col(spec.version).desc_nulls_last(), F.col(row_id).desc()]
+    newest = [row_id] if row_id else [spec.inserted_at, spec.payload]
+    order = [F.col(c).desc_nulls_last() for c in (spec.version, *newest)]
     keyed = top_row(df.where(key.isNotNull()), [spec.key], order)
     return keyed.unionByName(df.where(key.isNull()))

@@ -43,28 +43,29 @@ def take_snapshot(history: DataFrame, source: DataFrame, spec: FeedSpec) -> Data
 
     A new key opens a row. A newer stamp closes the open row at that stamp and
     opens another. The same stamp does nothing, and a key that is gone stays
-    open. Closed rows pass through without a shuffle; open rows and source hold
-    one row per key.
+    open. History and source are read once and joined once: only open rows meet the
+    source, and each row or pair gives one row or two.
     """
-    still_open = history.where(F.col(VALID_TO).isNull())
-    closed = history.where(F.col(VALID_TO).isNotNull())
-    key, stamp = spec.key, spec.updated_at
-
-    seen = source.select(key, F.col(stamp).alias("_seen"))
-    is_newer = F.col("_seen") > F.col(VALID_FROM)
-    kept = (
-        still_open.join(seen, key, "left")
-        .withColumn(VALID_TO, F.when(is_newer, F.col("_seen")))
-        .select(*history.columns)
-    )
-    known = still_open.select(key, F.col(VALID_FROM).alias("_since"))
-    opened = (
-        source.join(known, key, "left")
-        .where(F.col("_since").isNull() | (F.col(stamp) > F.col("_since")))
-        .drop("_since")
-        .transform(open_versions, spec)
+    key = spec.key
+    opened = open_versions(source, spec).select(*history.columns)
+    old, new = (lambda c: F.col(f"h.{c}")), (lambda c: F.col(f"s.{c}"))
+    newer = new(VALID_FROM) > old(VALID_FROM)
+    kept = [
+        (F.when(newer, new(VALID_FROM)).otherwise(old(c)) if c == VALID_TO else old(c)).alias(c)
+        for c in history.columns
+    ]
+    rows = F.array_compact(
+        F.array(
+            F.when(old(VALID_FROM).isNotNull(), F.struct(*kept)),
+            F.when(
+                new(VALID_FROM).isNotNull() & (old(VALID_FROM).isNull() | newer),
+                F.struct(*(new(c).alias(c) for c in history.columns)),
+            ),
+        )
     )
-    return closed.unionByName(kept).unionByName(opened)
+    meets = (old(key) == new(key)) & old(VALID_TO).isNull()
+    joined = history.alias("h").join(opened.alias("s"), meets, "full_outer")
+    return joined.select(F.inline(rows))
 
 
 def intervals_from_versions(versions: DataFrame, spec: FeedSpec) -> DataFrame:

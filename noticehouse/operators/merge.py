@@ -5,10 +5,13 @@ Both sides hold one row per key, so no key can be hot here.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticehouse.functions.payload import content_digest, differs
+from noticehouse.operators.dedup import drop_duplicate_keys
 from noticehouse.spec import FeedSpec
 
 INSERTED = "inserted"
@@ -20,6 +23,8 @@ IGNORED_SAME = "ignored_same"
 EFFECTIVE = (INSERTED, UPDATED_NEWER, UPDATED_CONTENT, UPDATED_UNVERSIONED)
 
 DIGEST = "_content_digest"
+# Fixed value: the batch that legacy rows are put under.
+BACKFILL = "backfill_dev"
 
 
 def with_digest(df: DataFrame, spec: FeedSpec) -> DataFrame:
@@ -65,17 +70,19 @@ def upsert_outcomes(
 ) -> DataFrame:
     """Incoming rows with their class and the stored ``inserted_at``.
 
-    Reads four narrow columns of the stored side when it carries digests. The
-    stored rows are cut down to the incoming keys first: with a small batch that
-    is a broadcast, and a large state is never shuffled.
+    Reads four narrow columns of the stored side when it carries digests; a stored
+    row without one counts as different. The stored rows are cut down to the
+    incoming keys first: with a small batch that is a broadcast, and a large state
+    is never shuffled.
     """
     key, version = spec.key, spec.version
     if DIGEST in stored.columns:
         incoming = incoming if DIGEST in incoming.columns else with_digest(incoming, spec)
-        content, changed = [DIGEST], F.col(f"s.{DIGEST}") != F.col(f"i.{DIGEST}")
+        same = F.col(f"s.{DIGEST}").eqNullSafe(F.col(f"i.{DIGEST}"))
+        content, changed = [DIGEST], ~same
     else:
         content, changed = list(spec.diff_columns), content_changed(spec)
-    columns = dict.fromkeys([key, version, spec.inserted_at, *content])
+    columns = merge_columns(spec, content)
     hits = stored.select(*columns).join(incoming.select(key), key, "left_semi")
     same_key = F.col(f"s.{key}") == F.col(f"i.{key}")
     return (
@@ -95,6 +102,17 @@ def upsert_outcomes(
     )
 
 
+def merge_columns(spec: FeedSpec, content: Sequence[str] = (DIGEST,)) -> list[str]:
+    """What a merge needs to know of a stored row."""
+    return list(dict.fromkeys([spec.key, spec.version, spec.inserted_at, *content]))
+
+
+def overlay(stored: DataFrame, changes: DataFrame, spec: FeedSpec) -> DataFrame:
+    """The whole state: stored rows whose key did not change, and the changes."""
+    untouched = stored.join(changes.select(spec.key), spec.key, "left_anti")
+    return untouched.select(*changes.columns).unionByName(changes)
+
+
 def upsert_changes(
     stored: DataFrame,
     incoming: DataFrame,
@@ -116,36 +134,6 @@ def upsert_changes(
     )
 
 
-def upsert(
-    stored: DataFrame,
-    incoming: DataFrame,
-    spec: FeedSpec,
-    now: Column,
-    strict_noop: bool = False,
-) -> DataFrame:
-    """The whole state after the batch, in one join: for full rewrites."""
-    key, version = spec.key, spec.version
-    s, i = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"i.{c}"))
-    verdict = outcome(
-        s(key).isNull(), s(version), i(version), content_changed(spec), strict_noop
-    )
-    wins = i(key).isNotNull() & verdict.isin(*EFFECTIVE)
-    written = [
-        F.when(F.col("_wins"), i(c)).otherwise(s(c)).alias(c)
-        for c in (*spec.silver_columns, key)
-    ]
-    stamps = [
-        F.coalesce(s(spec.inserted_at), now).alias(spec.inserted_at),
-        F.when(F.col("_wins"), now).otherwise(s(spec.updated_at)).alias(spec.updated_at),
-    ]
-    return (
-        stored.alias("s")
-        .join(incoming.alias("i"), s(key) == i(key), "full_outer")
-        .withColumn("_wins", wins)
-        .select(*written, *stamps)
-    )
-
-
 def backfill_bronze(legacy: DataFrame, spec: FeedSpec) -> DataFrame:
     """Rows of a legacy current-state table as bronze rows."""
     return legacy.select(
@@ -156,19 +144,26 @@ def backfill_bronze(legacy: DataFrame, spec: FeedSpec) -> DataFrame:
         spec.event_time,
         F.coalesce(F.col(spec.payload), F.lit("{}")).alias("raw_json"),
         F.col(spec.inserted_at).alias("_ingested_at"),
-        F.lit("backfill_dev").alias("_batch_id"),
+        F.lit(BACKFILL).alias("_batch_id"),
     )
 
 
 def backfill_silver(stored: DataFrame, legacy: DataFrame, spec: FeedSpec) -> DataFrame:
     """Add legacy rows whose key silver does not have; stored keys stay untouched.
 
-    Null keys conflict with nothing, so they are all added.
+    Of legacy rows with one key the newest version is added. Null keys conflict
+    with nothing, so they are all added.
     """
     columns = [*spec.silver_columns, spec.key, spec.inserted_at, spec.updated_at]
-    added = (
-        legacy.join(stored.select(spec.key), spec.key, "left_anti")
+    return stored.select(*columns).unionByName(
+        backfilled(stored, legacy, spec).select(*columns)
+    )
+
+
+def backfilled(stored: DataFrame, legacy: DataFrame, spec: FeedSpec) -> DataFrame:
+    """The rows that a backfill adds."""
+    return (
+        drop_duplicate_keys(legacy, spec)
+        .join(stored.select(spec.key), spec.key, "left_anti")
         .withColumn(spec.updated_at, F.col(spec.inserted_at))
-        .select(*columns)
     )
-    return stored.select(*columns).unionByName(added)

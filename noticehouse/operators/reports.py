@@ -84,19 +84,18 @@ def history_browse(
 ) -> DataFrame:
     """Versions with the latest validity, with the labels of some dimensions.
 
-    The fact is scanned once: its first ``top`` rows, and no more, come to the
-    driver. Each dimension is cut to their keys before it is joined, so it is
-    never shuffled either.
+    One plan: the fact's first ``top`` rows are a top-k, and each dimension is cut to
+    their keys by a broadcast of at most that many before its labels are joined, so
+    it is never shuffled. The sort comes last, since joins keep no order.
     """
     order = [F.col("valid_from").desc_nulls_first(), F.col(tie)]
-    picked = fact.orderBy(*order).limit(top)
-    rows = fact.sparkSession.createDataFrame(picked.collect(), picked.schema)
+    rows = fact.orderBy(*order).limit(top)
     result = rows
     for dim in dims:
         wanted = F.broadcast(rows.select(dim.key))
         labels = members[dim.name].select(dim.key, dim.label).join(wanted, dim.key, "left_semi")
         result = result.join(F.broadcast(labels), dim.key, "left")
-    return result.select(*columns)
+    return result.orderBy(*order).select(*columns)
 
 
 def recent_runs(audit: DataFrame, top: int = 5) -> DataFrame:

@@ -3,23 +3,37 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticehouse.operators import calendar, cursor, quality, star
-from noticehouse.operators.clean import with_producer_key
-from noticehouse.operators.dedup import keep_last
 from noticehouse.functions.dates import parse_publication
-from noticehouse.operators.merge import DIGEST
+from noticehouse.operators import calendar, cursor, quality, star
+from noticehouse.operators.bronze import INGESTED
+from noticehouse.operators.clean import RAW, silver_rows, with_producer_key
+from noticehouse.operators.dedup import backfill_key, keep_last
+from noticehouse.operators.merge import BACKFILL, DIGEST, backfill_bronze, backfilled, with_digest
+from noticehouse.operators.rebuild import VALID_FROM, VALID_TO, replay_history
 from noticehouse.sources.messages import envelope, write_messages
-from noticehouse.sources.store import Store
+from noticehouse.sources.store import SEQ, Store
+from noticehouse.streaming.ingest import merge_batch
 
 
 class TestsFailed(RuntimeError):
     """Some data tests found failing rows."""
 
 
+@dataclass(frozen=True)
+class Pull:
+    """Where the next pull starts, the pages this one took, and the records it left
+    out because their date is none."""
+
+    cursor: str
+    pages: int
+    undated: int
+
+
 def pull_records(
     store: Store,
     records: DataFrame,
@@ -27,24 +41,88 @@ def pull_records(
     landing: str,
     file_format: str = "text",
     fetched_at: Column | None = None,
-) -> str:
+    limit: int | None = None,
+) -> Pull:
     """Land the records newer than the cursor, then move the cursor.
 
-    The next cursor is read before the write, so it never passes a record that
-    came in between, and saved after it: a failed pull is pulled again. The
-    overlap makes repeats normal.
+    With a ``limit``, a page holds the oldest so many records, and pages follow
+    until one is not full; :class:`cursor.CursorStuck` is raised where a full page
+    does not move the cursor. The next cursor is read before the write, so it never
+    passes a record that came in between, and saved after it: a failed pull is
+    pulled again. The overlap makes repeats normal.
     """
     spec = store.spec
     published = parse_publication(F.col(spec.event_time))
-    since = store.cursor()
-    fresh = cursor.newer_than(records, published, since)
-    moved = cursor.next_cursor(fresh, published, since).first()[0]
-    keyed = with_producer_key(fresh, spec, position)
-    kept = keep_last(keyed, "producer_key", position)
-    body = envelope(kept.select(*spec.schema.names), spec, fetched_at)
-    write_messages(kept.select(body.alias("value")), landing, file_format)
-    store.save_cursor(moved)
-    return moved
+    undated = records.where(published.isNull()).count()
+    pages, more = 0, True
+    while more:
+        since = store.cursor()
+        fresh = cursor.newer_than(records, published, since)
+        if limit is None:
+            moved, more = cursor.next_cursor(fresh, published, since).first()[0], False
+        else:
+            ahead = cursor.advance(records, published, since, limit=limit)
+            more = ahead.more
+            fresh = fresh.orderBy(published, position).limit(limit)
+            end = cursor.next_cursor(fresh, published, since)
+            moved = ahead.cursor if more else end.first()[0]
+        keyed = with_producer_key(fresh, spec, position)
+        kept = keep_last(keyed, "producer_key", position)
+        body = envelope(kept.select(*spec.schema.names), spec, fetched_at)
+        write_messages(kept.select(body.alias("value")), landing, file_format)
+        store.save_cursor(moved)
+        pages += 1
+    return Pull(moved, pages, undated)
+
+
+def migrate_legacy(store: Store, legacy: DataFrame) -> int:
+    """Put a legacy table under bronze, and what silver lacks of it into silver.
+
+    ``legacy`` holds typed silver rows with their insert time; keys may be missing
+    or repeated. Rows without any identifier stay in bronze only. Running it again
+    changes nothing. Returns the number of the batch.
+    """
+    spec = store.spec
+    for seq in store.unmerged():
+        merge_batch(store, seq)
+    seq = store.landed(BACKFILL, 0)
+    if seq is not None:
+        return seq
+    seq = 0 if (last := store.last("bronze")) is None else last + 1
+    keyed = backfill_key(legacy, spec)
+    names = [f.name for f in spec.bronze_schema]
+    store.put(backfill_bronze(keyed, spec).select(*names), "bronze", seq)
+    known = keyed.where(F.col(spec.key).isNotNull())
+    stored = store.stored_for(known.select(spec.key).distinct(), before=seq)
+    added = backfilled(stored, known, spec).transform(with_digest, spec)
+    columns = [f.name for f in spec.silver_schema] + [DIGEST]
+    store.put(added.select(*columns), "silver/changes", seq)
+    store.commit("bronze", seq, BACKFILL, 0)
+    store.commit("silver", seq)
+    return seq
+
+
+def reprocess(store: Store) -> None:
+    """Silver and its history again, from the messages in bronze.
+
+    The rebuilt state is a full copy as of the last batch, so the change sets under
+    it are read no more; the snapshot holds every state a batch made. Run it while
+    nothing else uses the store.
+    """
+    spec, upto = store.spec, store.last("bronze")
+    if upto is None:
+        return
+    bronze = store.bronze()
+    times = bronze.groupBy(SEQ).agg(F.max(INGESTED).alias("_at"))
+    typed = silver_rows(bronze.select(F.col(RAW).alias("value"), SEQ), spec, [SEQ])
+    stamped = typed.join(times, SEQ)
+    states = replay_history(stamped, spec, SEQ, F.col("_at")).drop("_at")
+    current = states.where(F.col(VALID_TO).isNull()).drop(VALID_FROM, VALID_TO)
+    store.copy(current, upto)
+    for seq in store.unmerged():
+        store.commit("silver", seq)
+    versions = store.versions(states.drop(VALID_FROM, VALID_TO, DIGEST))
+    store.replace_snapshot(versions, upto)
 
 
 def take_snapshot(store: Store) -> None:
@@ -71,7 +149,10 @@ def build_gold(store: Store, dims_from: str = "silver") -> None:
     spec, build = store.spec, (store.last("gold") or 0) + 1
     snapshot = store.snapshot()
     source = store.silver() if dims_from == "silver" else snapshot
-    staged = star.staging_view(source, spec)
+    # Written once: the dimensions read these columns, not silver.
+    path = store.gold_path(build, "_staged")
+    star.staging_view(source, spec).write.mode("overwrite").parquet(path)
+    staged = store.spark.read.parquet(path)
     tables = star.dimensions(staged, spec)
     tables[spec.fact.date_dim] = calendar.dim_date(store.spark)
 

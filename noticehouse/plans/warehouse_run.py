@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,14 @@ Step = tuple[str, Callable[[], object]]
 AUDIT_STEP = "log_audit"
 
 
+@dataclass(frozen=True)
+class Run:
+    """The state of each step, and what the failed one raised."""
+
+    states: dict[str, str]
+    failure: Exception | None = None
+
+
 def row_counts(store: Store) -> dict[str, int | None]:
     """Rows per layer; a gold that was never built counts as null."""
     layers = {"bronze": store.bronze(), "silver": store.silver()}
@@ -30,7 +39,7 @@ def row_counts(store: Store) -> dict[str, int | None]:
     return dict.fromkeys(audit.LAYERS) | {r.layer: r.row_count for r in counted}
 
 
-def run_steps(steps: Sequence[Step]) -> tuple[dict[str, str], Exception | None]:
+def run_steps(steps: Sequence[Step]) -> Run:
     """Run in order; after a failure the rest is marked and left out."""
     states: dict[str, str] = {}
     failure = None
@@ -43,8 +52,8 @@ def run_steps(steps: Sequence[Step]) -> tuple[dict[str, str], Exception | None]:
             states[name] = audit.SUCCESS_STATE
         except Exception as error:
             log.exception("step %s failed", name)
-            states[name], failure = "failed", error
-    return states, failure
+            states[name], failure = audit.FAILED, error
+    return Run(states, failure)
 
 
 def write_audit(
@@ -70,9 +79,9 @@ def run_warehouse(
     clock: Clock = wall_clock,
     raise_on_failure: bool = True,
     **options: bool,
-) -> dict[str, str]:
-    """Pull, ingest, snapshot, gold, tests; then the audit row. Returns the state
-    of each step."""
+) -> Run:
+    """Pull, ingest, snapshot, gold, tests; then the audit row, and old gold builds
+    and copies of silver are removed."""
     started_at = dt.datetime.now(dt.timezone.utc)
     steps: list[Step] = [
         (
@@ -87,8 +96,9 @@ def run_warehouse(
     ]
     if pull is not None:
         steps.insert(0, ("pull", pull))
-    states, failure = run_steps(steps)
-    write_audit(store, run_id, states, started_at)
-    if failure is not None and raise_on_failure:
-        raise failure
-    return states
+    run = run_steps(steps)
+    write_audit(store, run_id, run.states, started_at)
+    if run.failure is not None and raise_on_failure:
+        raise run.failure
+    store.retain()
+    return run

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,37 +46,13 @@ def build_session(
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for tables a query writes on its way.
-
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a local temporary folder; on a cluster
-    such a folder would vanish with its machine.
-    """
+    """A fresh path for tables a query writes on its way: in the shared folder named
+    by ``spark.checkpoint.dir``, else in the session's warehouse folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = _local_scratch()
+    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-@cache
-def _local_scratch() -> str:
-    """One folder per process, left to the system's own clean-up."""
-    return tempfile.mkdtemp(prefix=f"noticehouse-{os.getpid()}-")
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on a table too small to be split by the scan.
-
-    Message work is CPU-bound; a table with a split per core stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows of a schema, as a plan the optimizer sees through."""
     nulls = (F.lit(None).cast(f.dataType).alias(f.name) for f in schema)

@@ -5,10 +5,13 @@ current state is the last full copy of silver (``base``) without the keys that
 changed since, plus the newest change of those. So a batch writes what it
 changed and never rewrites silver. A full copy is made once the changes since
 the last one weigh enough against it, so copying costs a constant share of the
-rows written, whatever the size of silver.
+rows written, whatever the size of silver. A copy is partitioned by a hash bucket
+of the key, so that a small batch reads the buckets of its keys.
 
-A batch that runs again overwrites its own folder. ``ledger`` rows mark what is
-complete, and readers look no further.
+The ledger numbers batches in the order they were landed, whichever stream they
+come from, and remembers stream and batch. Readers look no further than what it
+marks complete: a batch that did not finish is written over, and one that did is
+never written again. One writer at a time.
 """
 
 from __future__ import annotations
@@ -17,21 +20,22 @@ from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticehouse.operators import history
 from noticehouse.operators.cursor import DEFAULT_CURSOR
 from noticehouse.operators.dedup import top_row
-from noticehouse.operators.merge import DIGEST
+from noticehouse.operators.merge import DIGEST, merge_columns
 from noticehouse.operators.rebuild import VALID_TO
 from noticehouse.session import empty
 from noticehouse.spec import FeedSpec
 
 SEQ = "seq"
-# Batch numbers of one checkpoint; a new checkpoint starts at the next multiple.
-BATCHES_PER_STREAM = 1_000_000_000
+LEDGER = T.StructType().add(SEQ, "long").add("stream", "string").add("batch", "long")
+# Hash buckets of a full copy of silver.
+BUCKET, BUCKETS = "bucket", 64
 
 AUDIT_SCHEMA = (
     T.StructType()
@@ -88,25 +92,53 @@ class Store:
         """Write a batch's folder, replacing what an earlier attempt left."""
         df.write.mode("overwrite").parquet(self.batch_path(layer, seq))
 
-    def commit(self, layer: str, seq: int) -> None:
-        entry = self.spark.range(seq, seq + 1, 1, 1).toDF(SEQ)
+    def commit(
+        self, layer: str, seq: int, stream: str | None = None, batch: int | None = None
+    ) -> None:
+        entry = self.spark.range(seq, seq + 1, 1, 1).select(
+            F.col("id").alias(SEQ),
+            F.lit(stream).cast("string").alias("stream"),
+            F.lit(batch).cast("long").alias("batch"),
+        )
         entry.write.mode("append").parquet(self.path("ledger", layer))
 
+    def ledger(self, layer: str) -> DataFrame:
+        return self._read(self.path("ledger", layer), LEDGER)
+
     def last(self, layer: str, upto: int | None = None) -> int | None:
         """Number of the newest complete batch of a layer."""
-        entries = self._read(self.path("ledger", layer), T.StructType().add(SEQ, "long"))
+        entries = self.ledger(layer)
         if upto is not None:
             entries = entries.where(F.col(SEQ) <= upto)
         return entries.agg(F.max(SEQ)).first()[0]
 
+    def landed(self, stream: str, batch: int) -> int | None:
+        """The number under which a batch of a stream was landed, if it was."""
+        mine = (F.col("stream") == stream) & (F.col("batch") == batch)
+        return self.ledger("bronze").agg(F.max(F.when(mine, F.col(SEQ)))).first()[0]
+
+    def unmerged(self) -> list[int]:
+        """Landed batches that silver does not have yet, in order. More than one is
+        left only by a failure between landing and merging."""
+        merged = self.last("silver")
+        later = self.ledger("bronze").where(F.col(SEQ) > (-1 if merged is None else merged))
+        return sorted(r[0] for r in later.select(SEQ).collect())
+
     # --- layers ----------------------------------------------------------------
 
     def bronze(self) -> DataFrame:
-        return self._batches("bronze", self.spec.bronze_schema)
+        """All messages of the batches that landed."""
+        last = self.last("bronze")
+        batches = self._batches("bronze", self.spec.bronze_schema)
+        return batches.where(F.col(SEQ) <= (-1 if last is None else last))
+
+    def bronze_batch(self, seq: int) -> DataFrame:
+        """One landed batch, without listing the others."""
+        return self._read(self.batch_path("bronze", seq), self.spec.bronze_schema)
 
     @property
     def _stored(self) -> T.StructType:
-        return T.StructType([*self.spec.silver_schema]).add(DIGEST, T.StringType())
+        return T.StructType([*self.spec.silver_schema]).add(DIGEST, T.BinaryType())
 
     def changes(self, after: int | None, upto: int) -> DataFrame:
         """Rows written by the batches after one and up to another."""
@@ -117,37 +149,70 @@ class Store:
         newest = top_row(self.changes(after, upto), [self.spec.key], [F.col(SEQ).desc()])
         return newest.drop(SEQ)
 
+    def _base(self, seq: int) -> DataFrame:
+        schema = T.StructType([*self._stored]).add(BUCKET, "integer")
+        return self._read(self.batch_path("silver/base", seq), schema)
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.spec.key), F.lit(BUCKETS)).cast("int")
+
     def silver_stored(self, before: int | None = None) -> DataFrame:
         """Current state with content digests, as it was before a batch."""
         upto = self.last("silver") if before is None else before - 1
-        if upto is None:
+        if upto is None or upto < 0:
             return empty(self.spark, self._stored)
         base = self.last("base", upto)
         if base is None:
             return self.newest_changes(None, upto)
         newest = self.newest_changes(base, upto)
-        copy = self._read(self.batch_path("silver/base", base), self._stored)
+        copy = self._base(base).drop(BUCKET)
         untouched = copy.join(newest.select(self.spec.key), self.spec.key, "left_anti")
         return untouched.select(*self._stored.names).unionByName(newest)
 
+    def stored_for(self, keys: DataFrame, before: int) -> DataFrame:
+        """What a merge needs of the stored rows of some keys, as it was before a
+        batch.
+
+        Reads each change set once and the copy's buckets of these keys; all is cut
+        to the keys before anything is compared.
+        """
+        key, columns = self.spec.key, merge_columns(self.spec)
+        if before <= 0:
+            return empty(self.spark, self._stored).select(*columns)
+        base = self.last("base", before - 1)
+        sets = self.changes(base, before - 1).select(*columns, SEQ)
+        if base is not None:
+            buckets = [r[0] for r in keys.select(self._bucket()).distinct().collect()]
+            copy = self._base(base).where(F.col(BUCKET).isin(buckets))
+            sets = sets.unionByName(copy.select(*columns, F.lit(base).alias(SEQ)))
+        mine = sets.join(keys, key, "left_semi")
+        return top_row(mine, [key], [F.col(SEQ).desc()]).drop(SEQ)
+
     def silver(self) -> DataFrame:
         return self.silver_stored().drop(DIGEST)
 
     def compact(self, seq: int) -> None:
         """Make a full copy of silver as of a batch."""
-        self.put(self.silver_stored(before=seq + 1), "silver/base", seq)
+        self.copy(self.silver_stored(before=seq + 1), seq)
+
+    def copy(self, state: DataFrame, seq: int) -> None:
+        """Store the whole state as of a batch, by buckets of the key."""
+        state = state.select(*self._stored.names).withColumn(BUCKET, self._bucket())
+        spread = state.repartition(BUCKET, F.pmod(F.hash(self.spec.key), F.lit(8)))
+        path = self.batch_path("silver/base", seq)
+        spread.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         self.commit("base", seq)
 
     def compact_if_due(self, seq: int) -> None:
         """Copy after some batches, when they hold a share of the last copy's
         rows. Row counts come from the files' footers."""
         base = self.last("base")
-        sets = self.spark.read.schema(f"{SEQ} long").parquet(self.path("ledger", "silver"))
+        sets = self.ledger("silver")
         fresh = sets if base is None else sets.where(F.col(SEQ) > base)
-        if fresh.distinct().count() < self.compact_every:
+        if fresh.count() < self.compact_every:
             return
         if base is not None:
-            copied = self._read(self.batch_path("silver/base", base), self._stored).count()
+            copied = self._base(base).count()
             if self.changes(base, seq).count() < self.compact_share * copied:
                 return
         self.compact(seq)
@@ -160,6 +225,14 @@ class Store:
         versions = versions.where(F.col(SEQ) <= (-1 if upto is None else upto)).drop(SEQ)
         return history.intervals_from_versions(versions, self.spec)
 
+    def replace_snapshot(self, versions: DataFrame, upto: int) -> None:
+        """Store the versions of all batches up to one, in place of those before."""
+        self.put(versions, "snapshot", upto)
+        earlier = self.ledger("snapshot").where(F.col(SEQ) < upto).select(SEQ).distinct()
+        for row in earlier.collect():
+            self._remove(self.batch_path("snapshot", row[0]))
+        self.commit("snapshot", upto)
+
     def versions(self, silver: DataFrame) -> DataFrame:
         source = history.snapshot_source(silver, self.spec)
         return history.open_versions(source, self.spec).drop(VALID_TO)
@@ -176,6 +249,27 @@ class Store:
     def gold_path(self, build: int, table: str) -> str:
         return self.path("gold", f"build={build}", table)
 
+    def _remove(self, path: str) -> None:
+        """Delete a folder wherever the store lies."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark._jsc.hadoopConfiguration()
+        place.getFileSystem(conf).delete(place, True)
+
+    def retain(self, builds: int = 2, copies: int = 2) -> None:
+        """Delete gold builds and copies of silver but the newest ones.
+
+        Copies older than the last are never read again; keep enough builds for
+        the queries that may still read one.
+        """
+        for layer, most, path in (
+            ("gold", builds, lambda n: self.path("gold", f"build={n}")),
+            ("base", copies, lambda n: self.batch_path("silver/base", n)),
+        ):
+            rows = self.ledger(layer).select(SEQ).distinct().orderBy(F.desc(SEQ))
+            # Folders removed before are few names in the ledger; removing again is nothing.
+            for number in [r[0] for r in rows.collect()][max(most, 1) :]:
+                self._remove(path(number))
+
     def audit(self) -> DataFrame:
         return self._read(self.path("audit"), AUDIT_SCHEMA)
 

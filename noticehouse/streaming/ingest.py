@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from noticehouse.operators.bronze import batch_stamp, bronze_rows
+from noticehouse.operators.bronze import INGESTED, batch_stamp, bronze_rows
 from noticehouse.operators.clean import RAW, silver_rows
 from noticehouse.operators.dedup import latest_versions
 from noticehouse.operators.merge import upsert_changes, with_digest
-from noticehouse.sources.store import BATCHES_PER_STREAM, SEQ, Store
+from noticehouse.sources.store import Store
 
 Clock = Callable[[int], Column]
 
@@ -24,27 +24,35 @@ def wall_clock(_seq: int) -> Column:
     return F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
 
 
-def land_batch(store: Store, messages: DataFrame, seq: int, run: str, now: Column) -> None:
-    """Append every message of the batch to bronze."""
-    stamp = batch_stamp(run, F.lit(seq % BATCHES_PER_STREAM))
-    store.put(bronze_rows(messages, store.spec, stamp, now), "bronze", seq)
+def land_batch(store: Store, messages: DataFrame, stream: str, batch: int, clock: Clock) -> int:
+    """Append every message of the batch to bronze; a batch that landed before stays
+    as it is. Returns its number in the store."""
+    seq = store.landed(stream, batch)
+    if seq is None:
+        last = store.last("bronze")
+        seq = 0 if last is None else last + 1
+        stamp = batch_stamp(stream, F.lit(batch))
+        store.put(bronze_rows(messages, store.spec, stamp, clock(seq)), "bronze", seq)
+        store.commit("bronze", seq, stream, batch)
+    return seq
 
 
-def merge_batch(store: Store, seq: int, now: Column, strict_noop: bool = False) -> None:
-    """Upsert a landed batch into silver.
+def merge_batch(store: Store, seq: int, strict_noop: bool = False) -> None:
+    """Upsert a landed batch into silver, stamped with the time it landed.
 
     Reads the batch back from bronze: the source is read once, and a lost
     executor costs a re-read of a table, not of the topic.
     """
     spec = store.spec
-    landed = store.bronze().where(F.col(SEQ) == seq).select(F.col(RAW).alias("value"))
+    batch = store.bronze_batch(seq)
+    now = F.lit(batch.agg(F.max(INGESTED)).first()[0]).cast("timestamp")
+    landed = batch.select(F.col(RAW).alias("value"))
     incoming = latest_versions(silver_rows(landed, spec), spec).transform(with_digest, spec)
     incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stored = store.silver_stored(before=seq)
-        store.put(
-            upsert_changes(stored, incoming, spec, now, strict_noop), "silver/changes", seq
-        )
+        stored = store.stored_for(incoming.select(spec.key), before=seq)
+        changes = upsert_changes(stored, incoming, spec, now, strict_noop)
+        store.put(changes, "silver/changes", seq)
         store.commit("silver", seq)
     finally:
         incoming.unpersist()
@@ -52,13 +60,18 @@ def merge_batch(store: Store, seq: int, now: Column, strict_noop: bool = False)
 
 
 def ingest_batch(
-    store: Store, messages: DataFrame, seq: int, run: str, now: Column, **options: bool
+    store: Store, messages: DataFrame, stream: str, batch: int, clock: Clock, **options: bool
 ) -> None:
-    """One micro-batch. Running it again gives the same tables."""
+    """One micro-batch. Running it again changes nothing.
+
+    Batches are merged in the order they landed, so one that a failure left behind
+    is merged first.
+    """
     if messages.isEmpty():
         return
-    land_batch(store, messages, seq, run, now)
-    merge_batch(store, seq, now, **options)
+    land_batch(store, messages, stream, batch, clock)
+    for seq in store.unmerged():
+        merge_batch(store, seq, **options)
 
 
 def start_ingest(
@@ -71,13 +84,12 @@ def start_ingest(
     """Consume what the source holds, then stop; the checkpoint remembers where.
 
     ``stream`` numbers the checkpoint. To read the source from its start again,
-    take the next number: its batches then never meet those of the last one.
+    take a number not used before: its batches then never count as repeated.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        seq = stream * BATCHES_PER_STREAM + batch_id
         here = store.within(batch.sparkSession)
-        ingest_batch(here, batch, seq, f"stream{stream}", clock(seq), **options)
+        ingest_batch(here, batch, f"stream{stream}", batch_id, clock, **options)
 
     return (
         messages.writeStream.foreachBatch(process)

@@ -43,6 +43,18 @@ def test_capped_pull(spark):
         cursor.advance(days, moment(), "2026-01-04", limit=1)
 
 
+def test_pages_of_a_capped_pull(spark):
+    days = dated(spark, *(f"2026-01-{d:02d}" for d in range(1, 21)))
+    found = cursor.pages(days, moment(), "2025-12-31", limit=10)
+    assert [(r.cursor, r.pulled, r.status, r.next_cursor) for r in found] == [
+        ("2025-12-31", 10, "advanced", "2026-01-09"),
+        ("2026-01-09", 10, "advanced", "2026-01-18"),
+        ("2026-01-18", 2, "exhausted", "2026-01-18"),
+    ]
+    stuck = cursor.pages(days, moment(), "2026-01-04", limit=1)
+    assert [r.status for r in stuck] == ["stuck"]
+
+
 STATES = {
     "all-good": (["success", "success"], "success"),
     "one-failed": (["success", "failed"], "failed"),

@@ -51,3 +51,10 @@ def test_keep_last_occurrence(spark):
         ("same", 3, None),
         ("other", 1, 1),
     ]
+
+
+def test_keep_last_sorts_no_whole_records(spark):
+    """One wide row per key and task moves; the firsts are hashed."""
+    df = spark.range(0, 1000, 1, 4).selectExpr("id % 10 as k", "id as position", "repeat('x', 50) as wide")
+    plan = dedup.keep_last(df, "k", "position")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan

@@ -108,7 +108,8 @@ def test_upsert_is_the_fold(typed, spec, rows, strict):
     state = first_state(typed, spec)
     for batch in range(1, BATCHES):
         incoming = batch_of(typed, spec, batch)
-        state = merge.upsert(state, incoming, spec, stamp(batch), strict).cache()
+        changes = merge.upsert_changes(state, incoming, spec, stamp(batch), strict)
+        state = merge.overlay(state, changes, spec).cache()
     assert summary(state, spec) == expected(fold(rows, strict)[0])
 
 
@@ -131,11 +132,9 @@ def test_changes_are_what_the_upsert_changes(typed, spec, digests):
         stored = merge.with_digest(stored, spec)
     incoming = batch_of(typed, spec, 1)
     changed = merge.upsert_changes(stored, incoming, spec, stamp(1))
-    untouched = stored.join(changed.select(spec.key), spec.key, "left_anti")
-    columns = spec.silver_schema.names
-    whole = untouched.select(columns).unionByName(changed.select(columns))
-    full = merge.upsert(stored.drop(merge.DIGEST), incoming, spec, stamp(1))
-    assert summary(whole, spec) == summary(full, spec)
+    whole = merge.overlay(stored, changed, spec)
+    plain = merge.upsert_changes(stored.drop(merge.DIGEST), incoming, spec, stamp(1))
+    assert summary(whole, spec) == summary(merge.overlay(stored, plain, spec), spec)
     outcomes = merge.upsert_outcomes(stored, incoming, spec)
     effective = outcomes.where(F.col("outcome").isin(*merge.EFFECTIVE))
     assert changed.count() == effective.count()

@@ -50,10 +50,10 @@ def test_another_feed(store, messages):
          "at": "2026-01-01T10:00:00Z", "due": "2026-01-04"},
         {"event_id": 2, "uuid": "U", "kind": ""},
     )
-    ingest.ingest_batch(store, first, 0, "run", stamp(0))
+    ingest.ingest_batch(store, first, "run", 0, stamp)
     build.take_snapshot(store)
     second = messages({"event_id": 3, "uuid": "U", "revision": 2, "kind": "view"})
-    ingest.ingest_batch(store, second, 1, "run", stamp(1))
+    ingest.ingest_batch(store, second, "run", 1, stamp)
     build.take_snapshot(store)
     build.build_gold(store)
     gold = store.gold()

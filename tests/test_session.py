@@ -1,35 +1,24 @@
 from types import SimpleNamespace
 
-import pytest
 from pyspark.sql import types as T
 
-from noticehouse.session import empty, scratch_path, spread
+from noticehouse.session import empty, scratch_path
 
 
-def fake(master, shared=None):
-    conf = SimpleNamespace(get=lambda key, default=None: shared or default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def fake(**conf):
+    conf = {k.replace("_", "."): v for k, v in conf.items()}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)))
 
 
 def test_scratch_is_in_the_shared_folder():
-    first = scratch_path(fake("yarn", "/shared/"), "x")
+    session = fake(spark_checkpoint_dir="/shared/", spark_sql_warehouse_dir="/w")
+    first = scratch_path(session, "x")
     assert first.startswith("/shared/x-")
-    assert first != scratch_path(fake("yarn", "/shared/"), "x")
+    assert first != scratch_path(session, "x")
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(fake("yarn"), "x")
-
-
-def test_a_local_session_may_use_a_local_folder():
-    assert "noticehouse-" in scratch_path(fake("local[2]"), "x")
-
-
-def test_spread_only_small_tables(spark):
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 4
-    many = spark.range(0, 10, 1, 9)
-    assert spread(many) is many
+def test_scratch_is_else_in_the_warehouse():
+    assert scratch_path(fake(spark_sql_warehouse_dir="s3://w/"), "x").startswith("s3://w/scratch/x-")
 
 
 def test_empty(spark):

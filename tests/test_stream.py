@@ -57,18 +57,18 @@ def test_a_batch_may_run_twice(store, spark, spec, messages):
     first = messages(payload(1), payload(2), "broken", None)
     second = messages(payload(1, 2, "b"), payload(3))
     for seq, batch in ((0, first), (1, second), (1, second)):
-        ingest.ingest_batch(store, batch, seq, "run", stamp(seq))
+        ingest.ingest_batch(store, batch, "run", seq, stamp)
     assert store.bronze().count() == 6
     assert store.changes(None, 1).where(f"{SEQ} = 1").count() == 2
     found = {r.api_id: (r.numero_version, r.libelle) for r in store.silver().collect()}
     assert found == {1: (2, "b"), 2: (1, "a"), 3: (1, "a")}
     late = messages(payload(1, 1, "late"))
-    ingest.ingest_batch(store, late, 2, "run", stamp(2))
+    ingest.ingest_batch(store, late, "run", 2, stamp)
     assert store.changes(1, 2).count() == 0
 
 
 def test_an_unfinished_batch_is_not_read(store, messages, spec):
-    ingest.ingest_batch(store, messages(payload(1)), 0, "run", stamp(0))
+    ingest.ingest_batch(store, messages(payload(1)), "run", 0, stamp)
     typed = clean.silver_rows(messages(payload(9)), spec)
     stamps = {spec.inserted_at: stamp(1), spec.updated_at: stamp(1)}
     store.put(merge.with_digest(typed.withColumns(stamps), spec), "silver/changes", 1)
@@ -95,7 +95,7 @@ def test_replay_of_an_unchanged_notice_makes_no_history(store, messages):
     for seq, day in enumerate(("01", "02", "03")):
         fetched = f"2026-01-{day}T00:00:00Z"
         batch = messages(payload(1, raw_ingested_at_utc=fetched))
-        ingest.ingest_batch(store, batch, seq, "run", stamp(seq))
+        ingest.ingest_batch(store, batch, "run", seq, stamp)
         build.take_snapshot(store)
     assert store.bronze().count() == 3
     assert store.snapshot().count() == 1
@@ -104,8 +104,8 @@ def test_replay_of_an_unchanged_notice_makes_no_history(store, messages):
 def test_whole_runs(store, land, spark, spec):
     good = {"date_publication": "2026-01-02T00:00:00Z"}
     land(payload(1, **good), payload(2, **good), "broken")
-    states = run_warehouse(store, source(store), "run-1", clock=stamp)
-    assert set(states.values()) == {"success"}
+    run = run_warehouse(store, source(store), "run-1", clock=stamp)
+    assert set(run.states.values()) == {"success"} and run.failure is None
     land(payload(1, 2, "b", **good))
     run_warehouse(store, source(store), "run-2", clock=stamp)
     store.register_views()
@@ -131,9 +131,9 @@ def test_whole_runs(store, land, spark, spec):
 
 
 def test_dimensions_from_history(store, messages, spark):
-    ingest.ingest_batch(store, messages(payload(1, 1, "old")), 0, "run", stamp(0))
+    ingest.ingest_batch(store, messages(payload(1, 1, "old")), "run", 0, stamp)
     build.take_snapshot(store)
-    ingest.ingest_batch(store, messages(payload(1, 2, "new")), 1, "run", stamp(1))
+    ingest.ingest_batch(store, messages(payload(1, 2, "new")), "run", 1, stamp)
     build.take_snapshot(store)
     for dims_from, names in (("silver", {"Unknown", "new"}), ("history", {"old", "new"})):
         build.build_gold(store, dims_from=dims_from)
@@ -164,29 +164,29 @@ def test_pull_lands_new_records_and_moves_the_cursor(store, spark, spec):
         return build.pull_records(store, df, "position", store.path("landing"))
 
     assert store.cursor() == "1900-01-01"
-    assert pull(5, 6, 7) == "2026-01-06"
+    assert pull(5, 6, 7) == build.Pull("2026-01-06", 1, 0)
     landed = spark.read.text(store.path("landing"))
     parsed = [json.loads(r.value) for r in landed.collect()]
     assert sorted(r["id"] for r in parsed) == [1, 2]
     assert all(r["raw_ingested_at_utc"].endswith("+00:00") for r in parsed)
-    assert pull(5) == "2026-01-06"  # nothing new: the cursor stays
+    assert pull(5).cursor == "2026-01-06"  # nothing new: the cursor stays
     assert store.cursor() == "2026-01-06"
 
 
 def test_replays(store, messages, spec):
     batch = messages(payload(1), payload(1, 2), "broken")
-    ingest.ingest_batch(store, batch, 0, "run", stamp(0))
+    ingest.ingest_batch(store, batch, "run", 0, stamp)
     assert [r.value for r in msg.replay(store.silver(), spec).collect()] == [payload(1, 2)]
     assert msg.replay_bronze(store.bronze(), SEQ).count() == 3
 
 
 def test_copies_of_silver_wait_for_enough_changes(spark, spec, messages, tmp_path):
     store = Store(spark, str(tmp_path / "w"), spec, compact_every=1, compact_share=0.5)
-    ingest.ingest_batch(store, messages(*(payload(i) for i in range(10))), 0, "run", stamp(0))
+    ingest.ingest_batch(store, messages(*(payload(i) for i in range(10))), "run", 0, stamp)
     assert store.last("base") == 0
-    ingest.ingest_batch(store, messages(*(payload(i, 2) for i in range(4))), 1, "run", stamp(1))
+    ingest.ingest_batch(store, messages(*(payload(i, 2) for i in range(4))), "run", 1, stamp)
     assert store.last("base") == 0
-    ingest.ingest_batch(store, messages(payload(3, 3), payload(11)), 2, "run", stamp(2))
+    ingest.ingest_batch(store, messages(payload(3, 3), payload(11)), "run", 2, stamp)
     assert store.last("base") == 2
     versions = {r.api_id: r.numero_version for r in store.silver().collect()}
     assert versions == {i: 2 if i < 3 else 1 for i in (*range(10), 11)} | {3: 3}

@@ -30,8 +30,8 @@ PASSAGES, PASSAGE_CHARS = 64, 1000
 #: learns from less text.
 TABLE_BYTES = 160 << 20
 SEGMENT, SEGMENTS_AT_ONCE = 512, 1 << 14
-#: A text that even the best language parses into more bits per byte than this is
-#: in none of them.
+#: A text whose ended phrases cost even the best language more bits per byte than
+#: this is in none of them. A text within one phrase costs nothing.
 MOST_BITS = 6.0
 
 RESULT = T.StructType(
@@ -147,13 +147,15 @@ class Parser:
         if not self.languages:
             return [(UNKNOWN, 0.0, 0.0)] * len(texts)
         sizes = np.maximum([len(b) for b in bodies], 1)
-        bits = (self.phrases(bodies) + 1) * np.array(self.position_bits) / sizes[:, None]
+        per_phrase = np.array(self.position_bits) / sizes[:, None]
+        bits = (self.phrases(bodies) + 1) * per_phrase  # the last phrase is open
         found = []
         for body, row in zip(bodies, bits):
             best = int(np.argmin(row))
             rest = np.delete(row, best)
             score = 1 - row[best] / rest.min() if len(rest) else 1.0
-            found.append((self.languages[best], float(score), float(row[best])))
+            whole = float(row[best] - per_phrase[len(found), best])
+            found.append((self.languages[best], float(score), whole))
             if not body:
                 found[-1] = (UNKNOWN, 0.0, 0.0)
         return found

@@ -142,6 +142,7 @@ def backfill_bronze(legacy: DataFrame, spec: FeedSpec) -> DataFrame:
         *spec.key_fields,
         spec.version,
         spec.event_time,
+        # Names of the bronze columns.
         F.coalesce(F.col(spec.payload), F.lit("{}")).alias("raw_json"),
         F.col(spec.inserted_at).alias("_ingested_at"),
         F.lit(BACKFILL).alias("_batch_id"),

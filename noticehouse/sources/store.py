@@ -295,6 +295,7 @@ class Store:
 
     def register_views(self, layers: Iterable[str] = ("bronze", "silver", "gold")) -> None:
         """Temporary views for SQL users, named after the tables."""
+        # The names SQL users know the layers by.
         if "bronze" in layers:
             self.bronze().createOrReplaceTempView("bronze_events")
         if "silver" in layers:

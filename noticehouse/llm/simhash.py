@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticehouse.llm.common import stage, text_bytes
@@ -31,9 +31,9 @@ SEED = 42
 SHINGLE = 3
 RADIUS = 2
 #: Fingerprints of texts with four fifths of their 5-word shingles in common mostly
-#: differ in 8 bits or fewer. Masks for 6 find all up to 6 and part of 7 and 8, in
+#: differ in 8 bits or fewer. Masks for 5 find all up to 5 and part of 6 to 8, in
 #: each of two fingerprints; see the README for measured recall.
-WIDE_RADIUS, WIDE_BITS = 6, 8
+WIDE_RADIUS, WIDE_BITS = 5, 8
 #: Hashes expanded to single bits at once.
 HASHES_AT_ONCE = 1 << 16
 
@@ -151,38 +151,47 @@ def links_within_two(values: DataFrame) -> DataFrame:
     )
 
 
-def links_to_leaders(values: DataFrame, value: str, radius: int, within: int) -> DataFrame:
-    """Links ``a``, ``b`` of values of ``fp`` whose ``value`` shares a bucket with the
-    bucket's smallest or largest and differs from it in ``within`` bits or fewer.
+def links_to_leaders(values: DataFrame, radius: int, within: int) -> DataFrame:
+    """Links ``a``, ``b`` of distinct values of ``value`` that share a bucket with its
+    smallest or largest and differ from that in ``within`` bits or fewer.
 
     Two or three values in a bucket are compared in full. In a larger bucket two
     values may be linked through others only, or in another of the tables; for an
-    exact answer at a small radius use :func:`links_within_two`.
+    exact answer at a small radius use :func:`links_within_two`. A value moves once
+    per table, as two numbers; the few bytes that become so many are dealt evenly
+    first.
     """
-    tables = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(k).alias("mask"),
-                    F.col(value).bitwiseAND(F.lit(signed(m))).alias("key"),
-                )
-                for k, m in enumerate(covering_masks(radius))
-            )
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = F.array(
+        *(
+            F.xxhash64(F.lit(k), F.col("value").bitwiseAND(F.lit(signed(m))))
+            for k, m in enumerate(covering_masks(radius))
         )
     )
-    member = F.struct(F.col(value).alias("value"), "fp")
-    rows = values.select(member.alias("m"), tables.alias("t")).select("m", "t.mask", "t.key")
-    leaders = (
-        rows.groupBy("mask", "key")
-        .agg(F.min("m").alias("least"), F.max("m").alias("most"))
-        .where("least.fp <> most.fp")
-    )
-    pairs = rows.join(leaders, ["mask", "key"]).select(
-        "m", F.explode(F.array("least", "most")).alias("leader")
+    of_bucket = Window.partitionBy("bucket")
+    led = (
+        values.repartition(tasks, "value")
+        .select("value", F.explode(buckets).alias("bucket"))
+        .withColumn("least", F.min("value").over(of_bucket))
+        .withColumn("most", F.max("value").over(of_bucket))
+        .where("least < most")
     )
-    near = F.bit_count(F.col("m.value").bitwiseXOR(F.col("leader.value"))) <= within
-    linked = pairs.where(near & (F.col("m.fp") != F.col("leader.fp")))
-    return linked.select(F.col("m.fp").alias("a"), F.col("leader.fp").alias("b"))
+    pairs = led.select(F.col("value").alias("a"), F.explode(F.array("least", "most")).alias("b"))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).between(1, within)
+    return pairs.where(near).distinct()
+
+
+def wide_links(marked: DataFrame, radius: int, within: int) -> DataFrame:
+    """Links of fingerprints ``fp`` by leaders of either fingerprint's buckets."""
+    first = links_to_leaders(marked.select(F.col("fp").alias("value")).distinct(), radius, within)
+    both = marked.select("fp", "fp2").distinct()
+    owner = both.groupBy("fp2").agg(F.min("fp").alias("owner"))
+    same = both.join(owner, "fp2").where("fp <> owner")
+    second = links_to_leaders(owner.select(F.col("fp2").alias("value")), radius, within)
+    a, b = (owner.select(F.col("fp2").alias(s), F.col("owner").alias(f"{s}_fp")) for s in "ab")
+    second = second.join(a, "a").join(b, "b").select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b"))
+    same = same.select(F.col("fp").alias("a"), F.col("owner").alias("b"))
+    return first.unionByName(second).unionByName(same)
 
 
 def near_duplicates(
@@ -203,11 +212,7 @@ def near_duplicates(
     classes = stage(least, "fingerprint-classes", rows)
     links = links_within_two(classes.select("fp"))
     if wide_radius:
-        seconds = stage(marked.select("fp", "fp2").distinct(), "second-fingerprints", rows)
-        for value in ("fp", "fp2"):
-            values = classes.select("fp") if value == "fp" else seconds
-            found = links_to_leaders(values, value, wide_radius, WIDE_BITS)
-            links = links.unionByName(stage(found.distinct(), "leader-links"))
+        links = links.unionByName(wide_links(marked, wide_radius, WIDE_BITS))
     members = stage(components(links, "a", "b"), "components", rows)
     roots = classes.join(members.withColumnRenamed("node", "fp"), "fp")
     ids = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
@@ -229,7 +234,8 @@ def drop_near_duplicates(
     marked = near_duplicates(docs, shingle, wide_radius).select("doc_id", "component_id")
     marked = stage(marked, "near-duplicates", docs.count())
     gone = marked.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # The list grows with the table, so it is never broadcast.
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
     again = marked.groupBy("doc_id").count().where("doc_id is not null and count > 1")
     again = stage(again.select("doc_id"), "repeated-ids", marked.count())
     if not again.head(1):

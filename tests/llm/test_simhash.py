@@ -74,7 +74,7 @@ def test_links_equal_brute_force(spark):
     found = {r["node"]: r["root"] for r in components(links, "a", "b").collect()}
     expected = brute_components(signed, 2)
     assert {v: found.get(v, v) for v in signed} == expected
-    for row in simhash.links_to_leaders(df, "fp", 3, 5).collect():
+    for row in simhash.links_to_leaders(df.withColumnRenamed("fp", "value"), 3, 5).collect():
         assert 1 <= ((row["a"] ^ row["b"]) & (2**64 - 1)).bit_count() <= 5
 
 
@@ -107,7 +107,7 @@ def test_groups_of_documents(documents, clashing):
         (4, base), (2, near), (9, base), (7, ""), (3, None), (8, "alone in the world"), (8, base),
         (None, base), (None, "nobody else says this"), **clashing,
     )
-    rows = near_duplicates(docs, wide_radius=6).collect()
+    rows = near_duplicates(docs, wide_radius=5).collect()
     assert len(rows) == 9
     found = sorted(((r["doc_id"], r["component_id"]) for r in rows), key=str)
     assert (4, 2) in found and (9, 2) in found and (2, 2) in found and (8, 2) in found

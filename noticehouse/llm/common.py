@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 import io
 import zipfile
+from collections.abc import Callable, Hashable
 from functools import cache
 from pathlib import Path
 
@@ -50,6 +51,21 @@ def _ship(spark: SparkSession, application: str) -> None:
 TASK_ROWS = 1 << 16
 
 
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, build: Callable[[], object]) -> object:
+    """A worker process's large object, built once and used by its later tasks.
+
+    Only the last is kept, so that a worker that goes on to another stage does not
+    hold the models of all before.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
 def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticehouse.llm.common import split_of
+from noticehouse.llm.common import kept, split_of
 
 UNKNOWN = "und"
 #: A language is learnt from at most this many passages of so many characters.
@@ -161,15 +161,8 @@ class Parser:
         return found
 
 
-_PARSERS: dict[tuple, Parser] = {}
-
-
 def parser_of(training: tuple[tuple[str, bytes], ...]) -> Parser:
-    """Built once per worker process."""
-    if training not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[training] = Parser(dict(training))
-    return _PARSERS[training]
+    return kept(training, lambda: Parser(dict(training)))
 
 
 def learn_languages(

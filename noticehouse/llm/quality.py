@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticehouse.llm.common import split_of, text_bytes
+from noticehouse.llm.common import kept, split_of, text_bytes
 from noticehouse.llm.labels import SAMPLE_ROWS, labelled_texts
 
 STATISTICS = (
@@ -77,6 +77,7 @@ def statistics(text: bytes) -> tuple[float, ...]:
 
 
 def _statistics_of(bodies: pd.Series) -> pd.DataFrame:
+    kept("statistics", dict)  # no model of another stage is needed
     return pd.DataFrame([statistics(b) for b in bodies], columns=list(STATISTICS))
 
 

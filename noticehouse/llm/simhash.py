@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticehouse.llm.common import stage, text_bytes
+from noticehouse.llm.common import kept, stage, text_bytes
 from noticehouse.llm.components import components
 
 BITS = 64
@@ -84,6 +84,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     text is empty."""
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept("simhash", dict)  # no model of an earlier stage is needed
         for batch in batches:
             rows = []
             for text in batch["body"]:

@@ -14,6 +14,8 @@ import sys
 from array import array
 from itertools import islice
 
+from noticehouse.llm.common import kept
+
 CACHED_WORDS = 700_000
 WORDS_AT_ONCE = 20_000
 _MARKS = (b".", b",")
@@ -64,15 +66,8 @@ class TextEncoder:
         return [b"".join(map(of, words)) + self._end for words in split]
 
 
-_ENCODERS: dict[tuple[str, int | None], TextEncoder] = {}
-
-
 def encoder(path: str, end_id: int | None = None) -> TextEncoder:
-    """One encoder per worker process."""
-    key = (path, end_id)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = TextEncoder(path, end_id)
-    return _ENCODERS[key]
+    return kept((path, end_id), lambda: TextEncoder(path, end_id))
 
 
 def slices(texts, most: int = 4 << 20):

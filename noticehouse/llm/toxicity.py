@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from noticehouse.llm.common import split_of, stage
+from noticehouse.llm.common import kept, split_of, stage
 from noticehouse.llm.labels import SAMPLE_ROWS, labelled_texts
 from noticehouse.llm.tokens import slices
 
@@ -262,15 +262,8 @@ def _sigmoid(x: float) -> float:
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-_SCORERS: dict[ToxicModel, Scorer] = {}
-
-
 def scorer(model: ToxicModel) -> Scorer:
-    """Built once per worker process."""
-    if model not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[model] = Scorer(model)
-    return _SCORERS[model]
+    return kept(model, lambda: Scorer(model))
 
 
 def _family(words: list[str]) -> int:

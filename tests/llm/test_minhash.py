@@ -1,0 +1,65 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from noticehouse.llm import minhash, simhash
+
+
+def similarity(a, b):
+    a, b = (set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def exact_groups(rows):
+    """The smallest row of each row's group, over all pairs of 0.8 or more."""
+    roots = list(range(len(rows)))
+
+    def root(k):
+        while roots[k] != k:
+            k = roots[k]
+        return k
+
+    for k, a in enumerate(rows):
+        for j in range(k):
+            if similarity(a, rows[j]) >= 0.8:
+                x, y = sorted((root(j), root(k)))
+                roots[y] = x
+    return [root(k) for k in range(len(rows))]
+
+
+def sketch(text):
+    return minhash.sketch(np.unique(simhash.shingle_hashes(text.encode(), 5)))
+
+
+def families(count):
+    """Families that share most of a text, each of an original and a near copy."""
+    chance = random.Random(3)
+    words = [f"w{k}" for k in range(3000)]
+    shared, texts = chance.choices(words, k=200), []
+    for _ in range(count):
+        own = shared + chance.choices(words, k=45)
+        copy = list(own)
+        for at in chance.sample(range(205, 245), 2):
+            copy[at] = chance.choice(words)
+        texts += [" ".join(own), " ".join(copy)]
+    return texts
+
+
+def test_large_buckets_are_settled(spark):
+    """Near copies meet in buckets of hundreds whose least and greatest are far."""
+    texts = families(250)
+    sketches = [sketch(t) for t in texts]
+    assert max(Counter(b for buckets, _ in sketches for b in buckets).values()) >= 200
+    rows = [(k, k, 241, b, bytearray(s)) for k, (b, s) in enumerate(sketches)]
+    classes = spark.createDataFrame(
+        rows, "value bigint, first bigint, size bigint, buckets array<bigint>, sketch binary"
+    )
+    found = {(r["a"], r["b"]) for r in minhash.candidates(classes).collect()}
+    assert all((k + 1, k) in found for k in range(0, len(texts), 2))
+
+
+def test_a_bucket_of_near_copies_makes_few_pairs():
+    leaders, own = minhash.Leaders(), np.zeros(minhash.SIZE, np.uint8)
+    assert [leaders.meet(k, own) for k in range(500)] == [[], *([[0]] * 499)]

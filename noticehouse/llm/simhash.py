@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from noticehouse.llm import minhash
 from noticehouse.llm.common import kept, stage, text_bytes
 from noticehouse.llm.components import components
 
@@ -30,10 +31,12 @@ BITS = 64
 SEED = 42
 SHINGLE = 3
 RADIUS = 2
-#: Fingerprints of texts with four fifths of their 5-word shingles in common mostly
-#: differ in 8 bits or fewer. Masks for 5 find all up to 5 and part of 6 to 8, in
-#: each of two fingerprints; see the README for measured recall.
-WIDE_RADIUS, WIDE_BITS = 5, 8
+#: Bits in which fingerprints linked by a ``wide_radius`` may differ.
+WIDE_BITS = 8
+#: Near copies have this much of their shingles of so many words in common.
+COPY_SHINGLE, SIMILARITY = 5, 0.8
+#: Clear of a table's own columns.
+KEY = "__row_key"
 #: Hashes expanded to single bits at once.
 HASHES_AT_ONCE = 1 << 16
 
@@ -224,30 +227,63 @@ def near_duplicates(
     return marked.join(of_class, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, wide_radius: int = WIDE_RADIUS
-) -> DataFrame:
-    """The documents with the smallest id of their group, one row each.
+def shingle_sets(keyed: DataFrame) -> DataFrame:
+    """``key``, ``doc_id``, ``value`` (of the set of a text's shingles, in order of
+    hash) and what :func:`minhash.candidates` needs of it."""
+
+    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept("minhash", dict)  # no model of an earlier stage is needed
+        for batch in batches:
+            rows = []
+            for text in batch["body"]:
+                hashes = np.unique(shingle_hashes(text, COPY_SHINGLE))
+                buckets, sketch = minhash.sketch(hashes)
+                value = signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                rows.append((value, len(hashes), buckets, sketch))
+            made = pd.DataFrame(rows, columns=["value", "size", "buckets", "sketch"])
+            made.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
+            made.insert(0, "key", batch["key"].to_numpy())
+            yield made.astype({"doc_id": "Int64"})
+
+    bodies = keyed.select(
+        F.col(KEY).alias("key"),
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        text_bytes().alias("body"),
+    )
+    return bodies.mapInPandas(
+        compute,
+        "key bigint, doc_id bigint, value bigint, size bigint, buckets array<bigint>, sketch binary",
+    )
+
 
-    Rows that repeat an id are one document; the first by its other columns
-    stays. Rows without an id cannot be told apart and stay.
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each group of copies and near copies: that with the smallest
+    id, null ids last.
+
+    Copies have the same set of shingles; near copies are linked by a similarity
+    of :data:`SIMILARITY` or more, directly or through others. Rows are told apart
+    by a key of their own. Rows that repeat an id are one document, the first by
+    its other columns, before groups are formed.
     """
-    marked = near_duplicates(docs, shingle, wide_radius).select("doc_id", "component_id")
-    marked = stage(marked, "near-duplicates", docs.count())
-    gone = marked.where("doc_id <> component_id").select("doc_id").distinct()
-    # The list grows with the table, so it is never broadcast.
-    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    keyed = stage(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed-documents")
+    marked = stage(shingle_sets(keyed), "shingle-marks")
+    rows = marked.count()
     again = marked.groupBy("doc_id").count().where("doc_id is not null and count > 1")
-    again = stage(again.select("doc_id"), "repeated-ids", marked.count())
-    if not again.head(1):
-        return kept
-    others = [c for c in docs.columns if c != "doc_id"]
-    once = (
-        kept.join(again, "doc_id", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min(F.struct(*others)).alias("row"))
-        .select("doc_id", "row.*")
-        .select(docs.columns)
-    )
-    single = kept.join(again, "doc_id", "left_anti").select(docs.columns)
-    return single.unionByName(once)
+    again = stage(again.select("doc_id"), "repeated-ids", rows)
+    if again.head(1):
+        others = [c for c in docs.columns if c != "doc_id"]
+        same = keyed.withColumn("doc_id", F.col("doc_id").cast("bigint")).join(again, "doc_id", "left_semi")
+        once = same.groupBy("doc_id").agg(F.min(F.struct(*others, KEY)).alias("row"))
+        single = marked.join(again, "doc_id", "left_anti").select(marked.columns)
+        marked = single.unionByName(marked.join(once.select(F.col(f"row.{KEY}").alias("key")), "key", "left_semi"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    same_set = [F.any_value(c).alias(c) for c in ("size", "buckets", "sketch")]
+    classes = stage(marked.groupBy("value").agg(F.min(order).alias("first"), *same_set), "copies")
+    pairs = stage(minhash.candidates(classes), "candidates")
+    links = pairs.select("a", "b")
+    members = stage(components(links, "a", "b"), "components", rows)
+    roots = classes.select("value", "first").join(members.withColumnRenamed("node", "value"), "value", "left")
+    least = roots.groupBy(F.coalesce("root", "value").alias("root")).agg(F.min("first").alias("first"))
+    stays = least.select(F.col("first.key").alias(KEY))
+    # The list grows with the table, so it is never broadcast.
+    return keyed.join(stays.hint("merge"), KEY, "left_semi").select(docs.columns)

@@ -63,3 +63,12 @@ def test_large_buckets_are_settled(spark):
 def test_a_bucket_of_near_copies_makes_few_pairs():
     leaders, own = minhash.Leaders(), np.zeros(minhash.SIZE, np.uint8)
     assert [leaders.meet(k, own) for k in range(500)] == [[], *([[0]] * 499)]
+
+
+def test_bands_cover_the_similarity():
+    chance, met = random.Random(4), 0
+    for _ in range(2000):
+        hashes = np.array([chance.getrandbits(64) for _ in range(110)], np.uint64)
+        a, b = (minhash.sketch(np.sort(x))[0] for x in (hashes[:100], hashes[10:]))
+        met += any(x == y for x, y in zip(a, b))  # 90 of 110 in common
+    assert met >= 1998

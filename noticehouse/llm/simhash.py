@@ -256,6 +256,26 @@ def shingle_sets(keyed: DataFrame) -> DataFrame:
     )
 
 
+def verified(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` whose sets of shingles have a Jaccard similarity of
+    :data:`SIMILARITY` or more. Only texts of a pair are read again."""
+
+    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, COPY_SHINGLE)).view(np.int64) for t in batch["body"]]
+            yield pd.DataFrame({"value": batch["value"], "hashes": sets})
+
+    paired = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "value")
+    wanted = classes.select("value", F.col("first.key").alias(KEY)).join(paired, "value")
+    # The list grows with the table, so it is never broadcast.
+    bodies = keyed.join(wanted.hint("merge"), KEY).select("value", text_bytes().alias("body"))
+    sets = stage(bodies.mapInPandas(compute, "value bigint, hashes array<bigint>"), "shingle-sets")
+    a, b = (sets.select(F.col("value").alias(s), F.col("hashes").alias(f"{s}_set")) for s in "ab")
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    alike = both >= SIMILARITY * (F.col("a_size") + F.col("b_size") - both)
+    return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").where(alike).select("a", "b")
+
+
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each group of copies and near copies: that with the smallest
     id, null ids last.
@@ -280,7 +300,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     same_set = [F.any_value(c).alias(c) for c in ("size", "buckets", "sketch")]
     classes = stage(marked.groupBy("value").agg(F.min(order).alias("first"), *same_set), "copies")
     pairs = stage(minhash.candidates(classes), "candidates")
-    links = pairs.select("a", "b")
+    links = verified(pairs, classes, keyed)
     members = stage(components(links, "a", "b"), "components", rows)
     roots = classes.select("value", "first").join(members.withColumnRenamed("node", "value"), "value", "left")
     least = roots.groupBy(F.coalesce("root", "value").alias("root")).agg(F.min("first").alias("first"))

@@ -72,3 +72,44 @@ def test_bands_cover_the_similarity():
         a, b = (minhash.sketch(np.sort(x))[0] for x in (hashes[:100], hashes[10:]))
         met += any(x == y for x, y in zip(a, b))  # 90 of 110 in common
     assert met >= 1998
+
+
+def test_near_copies_of_four_fifths_go_and_others_stay(documents):
+    """A tenth of the words in one place leave 0.8 or more; words all over do not."""
+    chance = random.Random(8)
+    words = [f"word{k}" for k in range(900)]
+    texts = []
+    for _ in range(40):
+        text = chance.choices(words, k=200)
+        near, far = list(text), list(text)
+        near[60:76] = chance.choices(words, k=16)
+        for at in range(10, 190, 16):
+            far[at] = chance.choice(words)
+        texts += [" ".join(text), " ".join(near), " ".join(far)]
+    for k in range(0, len(texts), 3):
+        assert similarity(texts[k], texts[k + 1]) >= 0.8 > similarity(texts[k], texts[k + 2]) >= 0.5
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(documents(*texts)).collect()}
+    assert kept == {k for k in range(len(texts)) if k % 3 != 1}
+
+
+def test_short_texts_are_no_copies(documents):
+    chance = random.Random(9)
+    words = [f"word{k}" for k in range(400)]
+    texts = list({" ".join(chance.choices(words, k=4)) for _ in range(3000)})
+    assert simhash.drop_near_duplicates(documents(*texts)).count() == len(texts)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_groups_equal_brute_force(documents, seed):
+    chance = random.Random(seed)
+    words = [f"word{k}" for k in range(500)]
+    texts = []
+    for _ in range(12):
+        text = chance.choices(words, k=120)
+        for _ in range(chance.randint(1, 6)):
+            texts.append(" ".join(text))
+            at = chance.randrange(100)
+            text[at : at + 12] = chance.choices(words, k=chance.choice((6, 12, 16)))
+    expected = exact_groups(texts)
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(documents(*texts)).collect()}
+    assert kept == {k for k, root in enumerate(expected) if k == root}

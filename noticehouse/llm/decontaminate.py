@@ -19,6 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,6 +148,18 @@ class Benchmark:
                 yield self.keys[item], tiled / size, size, tiled, sorted(tiles)
 
 
+def blocks_of(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
+    """The test items in blocks of about ``block_chars`` characters; at least one."""
+    items = stage(
+        benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text"), "benchmark"
+    )
+    chars = items.agg(F.sum(F.length("text"))).head()[0] or 0
+    blocks = 1 + chars // block_chars
+    for number in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number)
+        yield [tuple(row) for row in part.collect()]
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -160,11 +173,6 @@ def contaminated(
     fewer words than a seed, null and empty texts match nothing. Repeated rows of
     either side give a row each; an empty table on either side gives none.
     """
-    items = stage(
-        benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text"), "benchmark"
-    )
-    chars = items.agg(F.sum(F.length("text"))).head()[0] or 0
-    blocks = 1 + chars // block_chars
     bodies = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def search(block: list[tuple]) -> DataFrame:
@@ -183,17 +191,32 @@ def contaminated(
 
         return bodies.mapInPandas(find, FOUND)
 
-    def block(number: int) -> list[tuple]:
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number)
-        return [tuple(row) for row in part.collect()]
+    return reduce(DataFrame.unionByName, map(search, blocks_of(benchmark, block_chars)))
+
+
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    coverage: float = COVERAGE,
+    width: int = SEED_WORDS,
+    block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The documents that no test item is found in. Each row goes or stays by its
+    own text, whatever its id. With several blocks, what one leaves is written
+    before the next, so that a task holds one block."""
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).select(docs.columns)
 
-    return reduce(DataFrame.unionByName, (search(block(n)) for n in range(blocks)))
+    def clean(docs: DataFrame, block: list[tuple]) -> DataFrame:
+        index = Benchmark(block, width)
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = batch.column(batch.schema.get_field_index("text"))
+                found = (any(index.matches(t.as_py(), coverage)) for t in texts)
+                yield batch.filter(pa.array([not f for f in found], pa.bool_()))
 
+        return docs.mapInArrow(keep, docs.schema)
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **limits) -> DataFrame:
-    """The documents that no test item is found in. Rows without an id are tested
-    like any other, and go by their text."""
-    numbered = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    found = stage(contaminated(numbered, benchmark, **limits).select("doc_id"), "contaminated")
-    ids = found.where("doc_id is not null").distinct()
-    return numbered.join(ids, "doc_id", "left_anti").select(docs.columns)
+    for number, block in enumerate(blocks_of(benchmark, block_chars)):
+        docs = clean(stage(docs, "decontaminated") if number else docs, block)
+    return docs

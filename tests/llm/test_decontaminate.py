@@ -102,3 +102,12 @@ def test_empty_tables(spark, documents, empty):
 def test_words():
     assert words_of("It's ÉTÉ, x_1!\n") == ["it", "s", "été", "x_1"]
     assert words_of(None) == []
+
+
+def test_rows_go_by_their_own_text_whatever_their_id(spark, documents):
+    items = spark.createDataFrame([(1, ITEM), (2, "seven other words stand in this item")], "item_id bigint, text string")
+    rows = [(None, f"so {ITEM}"), (None, "clean"), (7, ITEM), (7, "clean too"), (8, None), (9, "seven other words stand in this item")]
+    for chars in (1 << 20, 30):
+        kept = decontaminate.decontaminate(documents(*rows), items, block_chars=chars).collect()
+        found = sorted(((r["doc_id"], r["text"]) for r in kept), key=str)
+        assert found == sorted([(None, "clean"), (7, "clean too"), (8, None)], key=str)

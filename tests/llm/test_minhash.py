@@ -113,3 +113,18 @@ def test_groups_equal_brute_force(documents, seed):
     expected = exact_groups(texts)
     kept = {r["doc_id"] for r in simhash.drop_near_duplicates(documents(*texts)).collect()}
     assert kept == {k for k, root in enumerate(expected) if k == root}
+
+
+def test_rows_without_an_id_are_dropped_by_their_own_key(documents):
+    base, other = (" ".join(f"{w}{k}" for k in range(50)) for w in ("word", "term"))
+    docs = documents((4, base), (None, base), (None, other), (None, other), (None, "a third text"))
+    kept = simhash.drop_near_duplicates(docs).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=str) == sorted(
+        [(4, base), (None, other), (None, "a third text")], key=str
+    )
+
+
+def test_repeated_ids_leave_a_row_of_every_group(documents):
+    one, two = (" ".join(f"{w}{k}" for k in range(50)) for w in ("word", "term"))
+    docs = documents((1, one), (2, one), (2, two), (3, two))
+    assert {r["text"] for r in simhash.drop_near_duplicates(docs).collect()} == {one, two}

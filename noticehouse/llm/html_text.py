@@ -19,10 +19,23 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is no text of the page.
+#: Elements whose content is no text of the page. One that is closed in its own tag
+#: has none; one that is left open ends at the next block, or, if its content is no
+#: markup, at the end of the page.
+_BLOCK_TAGS = (
+    "address|article|aside|blockquote|body|dd|details|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr"
+    "|html|li|main|nav|ol|p|pre|section|table|tbody|td|tr|ul"
+)
 RAW = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<(script|style|noscript|template|svg|iframe|object|title|"
-    r"select|textarea|button|canvas|audio|video|math)\b[^>]*>.*?(?:</\1\s*>|\Z)",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>"
+    r"""|<(?:svg|math|iframe|object|canvas|audio|video|template|button|select|textarea|title)"""
+    r"""\b(?:[^<>"']|"[^"]*"|'[^']*')*/>"""
+    r"|<script\b[^<>]*/>(?!(?:(?!<script\b).)*</script)"
+    r"|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(button|select|textarea|title|iframe|noscript)\b[^>]*>"
+    rf"(?:(?:(?!<\2\b).)*?</\2\s*>|.*?(?=</?(?:{_BLOCK_TAGS})\b)|.*\Z)"
+    r"|<(template|svg|object|canvas|audio|video|math)\b[^>]*>"
+    rf"(?:.*?</\3\s*>|.*?(?=</?(?:{_BLOCK_TAGS})\b)|.*\Z)",
     re.I | re.S,
 )
 TAG = re.compile(
@@ -40,6 +53,16 @@ BLOCKS = frozenset(
 #: Elements that end where the next block begins.
 LOOSE = frozenset("p li dt dd td th tr caption h1 h2 h3 h4 h5 h6".split())
 CONTENT = frozenset("article main".split())
+#: Elements that no class sets apart.
+WHOLE = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+#: Elements that only a form around a page or its article contains.
+PAGE_PARTS = CONTENT | frozenset("nav header footer h1".split())
+#: Words that in an article name a part of it.
+SECTIONS = frozenset(["discussion"])
+#: Elements without content or an end tag.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that a head holds; any other ends it.
+HEAD = frozenset("base link meta noscript script style template title".split())
 ASIDE = frozenset("aside dialog footer form head menu nav".split())
 #: Words of a class, id or role that mark what is not the article.
 ASIDE_WORDS = frozenset(
@@ -59,19 +82,51 @@ COPY = 0.9
 Line = tuple[str, int]
 
 
-def _apart(name: str, tag: str, in_article: bool) -> bool:
+def _apart(name: str, tag: str, in_article: bool, holds_article: bool) -> bool:
     if name in ASIDE or (name == "header" and not in_article):
         return True
+    if name in WHOLE or holds_article:
+        return False
     for value in MARKS.findall(tag) if "=" in tag else ():
         words = {w.lower() for w in SPLIT.split(value) if w} | set(re.findall("[a-z]+", value.lower()))
-        if words & ASIDE_WORDS:
+        if words & ASIDE_WORDS - (SECTIONS if in_article else frozenset()):
             return True
     return False
 
 
+def _around(parts: list[str]) -> tuple[set[int], set[int]]:
+    """Places of the start tags whose elements contain an article or main, and of
+    forms around a page or a part of it."""
+    open_: list[tuple[str, int]] = []
+    holding: set[int] = set()
+    forms: set[int] = set()
+    for at in range(1, len(parts), 2):
+        part = parts[at]
+        named = NAME.match(part)
+        if not named:
+            continue
+        name = named[1].lower()
+        if part[1] == "/":
+            if any(n == name for n, _ in open_):
+                while open_.pop()[0] != name:
+                    pass
+            continue
+        if name in CONTENT:
+            for _, place in reversed(open_):
+                if place in holding:
+                    break  # and so are those around it
+                holding.add(place)
+        if name in PAGE_PARTS:
+            forms.update(place for n, place in open_ if n == "form")
+        if name not in VOID and name not in LOOSE and not part.endswith("/>"):
+            open_.append((name, at))
+    return holding, forms
+
+
 def lines_of(page: str) -> list[Line]:
     """The blocks of a page in order, references decoded and white space single."""
     parts = TAG.split(RAW.sub("", page))
+    holding, forms = _around(parts)
     open_: list[tuple[str, int]] = []
     kind, found, held = OTHER, [], []
 
@@ -105,8 +160,12 @@ def lines_of(page: str) -> list[Line]:
                     pass
                 kind = open_[-1][1] if open_ else OTHER
             continue
-        if part.endswith("/>") or name == "hr":
+        if name in VOID or part.endswith("/>"):
             continue
+        if open_ and open_[-1][0] == "head" and name not in HEAD:
+            flush()
+            open_.pop()
+            kind = open_[-1][1] if open_ else OTHER
         if block:
             while open_ and open_[-1][0] in LOOSE and (name in LOOSE or open_[-1][0] == "p"):
                 if name in ("td", "th") and open_[-1][0] == "tr":
@@ -115,7 +174,7 @@ def lines_of(page: str) -> list[Line]:
                     break
                 open_.pop()
             kind = open_[-1][1] if open_ else OTHER
-        if kind != APART and _apart(name, part, kind == MAIN):
+        if kind != APART and at not in forms and _apart(name, part, kind == MAIN, at in holding):
             if not block:
                 flush()
             open_.append((name, APART))

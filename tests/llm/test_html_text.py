@@ -125,3 +125,28 @@ def test_a_hot_host_spreads_over_partitions(spark):
         assert {r["text"] for r in found.collect()} == {f"own {k}" for k in range(400)}
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<body class='has-sidebar'><p>x</p></body>", ["x"]),
+        ("<article class='post comments-open'><p>x</p></article>", ["x"]),
+        ("<div class='widget'><main><p>x</p></main></div>", ["x"]),
+        ("<form id='aspnetForm'><nav>m</nav><h1>t</h1><p>x</p></form>", ["t", "x"]),
+        ("<form><article><p>x</p></article></form><form><p>q</p></form>", ["x"]),
+        ("<article><h2 id='related-work'>h</h2><section id='discussion'><p>x</p></section></article>", ["h", "x"]),
+        ("<section id='discussion'><p>c</p></section><p>x</p>", ["x"]),
+        ("<article><p>a</p><img class='share'><p>b</p></article>", ["a", "b"]),
+        ("<head><title>t</title><meta name=a><body><p>x</p>", ["x"]),
+        ("<head><title>t</title><p>x</p>", ["x"]),
+        ("<aside><article>teaser</article></aside><p>x</p>", ["x"]),
+        ("<p>a</p><svg/><p>b</p><iframe src='u/v' /><p>c</p>", ["a", "b", "c"]),
+        ("<script src='a.js'/><p>x</p>", ["x"]),
+        ("<script src=a/>var x</script><p>x</p>", ["x"]),
+        ("<p>a</p><button>z<p>x</p><button>y</button><p>b</p>", ["a", "x", "b"]),
+        ("<svg><text>i</text></svg><p>x</p><select><option>s", ["x"]),
+    ],
+)
+def test_nothing_else_is_set_apart(page, expected):
+    assert text(page) == expected

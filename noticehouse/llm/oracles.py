@@ -34,5 +34,24 @@ with spoken as (
 select doc_id, coalesce(n_words, 0) as n_words, coalesce(micro, 0) / 1e6::double as log_score,
        case when n_words > 0 then micro / 1e6::double / n_words end as per_word
 from spoken left join summed using (row)
+""",
+    "op13_line_dedup": """
+with bodies as (
+    select doc_id, row_number() over () as row, string_split(coalesce(text, ''), chr(10)) as lines from documents
+), placed as (
+    select doc_id, row, unnest(lines) as line, generate_subscripts(lines, 1) as pos from bodies
+), keyed as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from placed
+), repeated as (
+    select key, min(doc_id) as first from keyed where length(key) >= 10
+    group by key having count(distinct doc_id) >= 2
+)
+select k.doc_id, count(*) as n_lines, count(*) filter (r.first < k.doc_id) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (r.first is null or r.first = k.doc_id), ''))
+           as kept_sha256
+from keyed k left join repeated r using (key)
+group by k.row, k.doc_id
 """,
 }

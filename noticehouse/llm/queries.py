@@ -14,6 +14,7 @@ from noticehouse.llm import (
     decontaminate,
     html_text,
     langid,
+    line_dedup,
     lm_score,
     packing,
     quality,
@@ -98,3 +99,9 @@ def op8_string_tiling(spark, sf_dir):
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_line_dedup(spark, sf_dir):
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from noticehouse.llm import (
     ann,
     bitplanes,
+    conversations,
     decontaminate,
     html_text,
     langid,
@@ -105,3 +106,9 @@ def op9_quality_rules(spark, sf_dir):
 def op13_line_dedup(spark, sf_dir):
     kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair_conversations(damaged)

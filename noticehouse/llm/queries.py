@@ -12,6 +12,7 @@ from noticehouse.llm import (
     ann,
     bitplanes,
     conversations,
+    cross_tokens,
     decontaminate,
     html_text,
     langid,
@@ -112,3 +113,12 @@ def op13_line_dedup(spark, sf_dir):
 def op12_conversation_repair(spark, sf_dir):
     damaged = conversations.damage(table(spark, sf_dir, "conversations"))
     return conversations.repair_conversations(damaged)
+
+
+@query
+def op11_cross_tokens(spark, sf_dir):
+    return cross_tokens.align_documents(
+        table(spark, sf_dir, "documents"),
+        tokenizer_file("byte_bpe_50k.json"),
+        tokenizer_file("piece_bpe_32k.model"),
+    )

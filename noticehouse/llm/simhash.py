@@ -20,10 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from noticehouse.llm import minhash
 from noticehouse.llm.common import kept, stage, text_bytes
 from noticehouse.llm.components import components
 
@@ -31,12 +30,6 @@ BITS = 64
 SEED = 42
 SHINGLE = 3
 RADIUS = 2
-#: Bits in which fingerprints linked by a ``wide_radius`` may differ.
-WIDE_BITS = 8
-#: Near copies have this much of their shingles of so many words in common.
-COPY_SHINGLE, SIMILARITY = 5, 0.8
-#: Clear of a table's own columns.
-KEY = "__row_key"
 #: Hashes expanded to single bits at once.
 HASHES_AT_ONCE = 1 << 16
 
@@ -75,32 +68,20 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return majority(shingle_hashes(text, shingle))
 
 
-def mixed(hashes: np.ndarray) -> np.ndarray:
-    """Hashes of the hashes, for a second fingerprint whose bits err on their own."""
-    x = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``fp`` and a second ``fp2`` (signed 64-bit) of whole texts; a null
-    text is empty."""
+def fingerprints(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The other columns, of numbers, and the fingerprint ``fp`` (signed 64-bit) of the
+    whole ``text``; a null text is empty."""
+    others = [c for c in texts.columns if c != "text"]
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept("simhash", dict)  # no model of an earlier stage is needed
         for batch in batches:
-            rows = []
-            for text in batch["body"]:
-                hashes = shingle_hashes(text, shingle)
-                rows.append((signed(majority(hashes)), signed(majority(mixed(hashes)))))
-            made = pd.DataFrame(rows, columns=["fp", "fp2"])
-            made.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            yield made.astype({"doc_id": "Int64"})
-
-    bodies = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("body")
-    )
-    return bodies.mapInPandas(compute, "doc_id bigint, fp bigint, fp2 bigint")
+            made = batch[others].astype("Int64")
+            yield made.assign(fp=[signed(fingerprint(t, shingle)) for t in batch["body"]])
+
+    numbers = [F.col(c).cast("bigint").alias(c) for c in others]
+    fields = ", ".join(f"{c} bigint" for c in [*others, "fp"])
+    return texts.select(*numbers, text_bytes().alias("body")).mapInPandas(compute, fields)
 
 
 def covering_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
@@ -155,155 +136,54 @@ def links_within_two(values: DataFrame) -> DataFrame:
     )
 
 
-def links_to_leaders(values: DataFrame, radius: int, within: int) -> DataFrame:
-    """Links ``a``, ``b`` of distinct values of ``value`` that share a bucket with its
-    smallest or largest and differ from that in ``within`` bits or fewer.
+def _roots(marked: DataFrame, order: Column) -> DataFrame:
+    """For each fingerprint ``fp`` the ``root`` of its component, and the ``first`` of
+    its rows by an order."""
+    rows = marked.count()
+    classes = stage(marked.groupBy("fp").agg(F.min(order).alias("first")), "fingerprint-classes", rows)
+    links = links_within_two(classes.select("fp"))
+    members = stage(components(links, "a", "b"), "components", rows)
+    found = classes.join(members.withColumnRenamed("node", "fp"), "fp", "left")
+    return found.select("fp", F.coalesce("root", "fp").alias("root"), "first")
 
-    Two or three values in a bucket are compared in full. In a larger bucket two
-    values may be linked through others only, or in another of the tables; for an
-    exact answer at a small radius use :func:`links_within_two`. A value moves once
-    per table, as two numbers; the few bytes that become so many are dealt evenly
-    first.
-    """
-    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = F.array(
-        *(
-            F.xxhash64(F.lit(k), F.col("value").bitwiseAND(F.lit(signed(m))))
-            for k, m in enumerate(covering_masks(radius))
-        )
-    )
-    of_bucket = Window.partitionBy("bucket")
-    led = (
-        values.repartition(tasks, "value")
-        .select("value", F.explode(buckets).alias("bucket"))
-        .withColumn("least", F.min("value").over(of_bucket))
-        .withColumn("most", F.max("value").over(of_bucket))
-        .where("least < most")
-    )
-    pairs = led.select(F.col("value").alias("a"), F.explode(F.array("least", "most")).alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).between(1, within)
-    return pairs.where(near).distinct()
-
-
-def wide_links(marked: DataFrame, radius: int, within: int) -> DataFrame:
-    """Links of fingerprints ``fp`` by leaders of either fingerprint's buckets."""
-    first = links_to_leaders(marked.select(F.col("fp").alias("value")).distinct(), radius, within)
-    both = marked.select("fp", "fp2").distinct()
-    owner = both.groupBy("fp2").agg(F.min("fp").alias("owner"))
-    same = both.join(owner, "fp2").where("fp <> owner")
-    second = links_to_leaders(owner.select(F.col("fp2").alias("value")), radius, within)
-    a, b = (owner.select(F.col("fp2").alias(s), F.col("owner").alias(f"{s}_fp")) for s in "ab")
-    second = second.join(a, "a").join(b, "b").select(F.col("a_fp").alias("a"), F.col("b_fp").alias("b"))
-    same = same.select(F.col("fp").alias("a"), F.col("owner").alias("b"))
-    return first.unionByName(second).unionByName(same)
-
-
-def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, wide_radius: int | None = None
-) -> DataFrame:
+
+def _order(*columns: str) -> Column:
+    """By document id, null ids last."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), *columns)
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``fp`` and ``component_id``: the smallest document id reachable
-    over links between fingerprints that differ in 2 bits or fewer, and, with a
-    ``wide_radius``, also over links to bucket leaders by either fingerprint.
+    over links between fingerprints that differ in 2 bits or fewer.
 
     Texts without words share fingerprint 0. Equal ids with different texts keep
     a row each. Null ids count as larger than any other; a component of nothing
     else has a null id. An empty table gives no row.
     """
-    prints = fingerprints(docs, shingle)
-    marked = stage(prints if wide_radius else prints.drop("fp2"), "fingerprints")
-    rows = marked.count()
-    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    classes = stage(least, "fingerprint-classes", rows)
-    links = links_within_two(classes.select("fp"))
-    if wide_radius:
-        links = links.unionByName(wide_links(marked, wide_radius, WIDE_BITS))
-    members = stage(components(links, "a", "b"), "components", rows)
-    roots = classes.join(members.withColumnRenamed("node", "fp"), "fp")
-    ids = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    found = roots.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    of_class = classes.join(found, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least_id").alias("component_id")
-    )
+    marked = stage(fingerprints(docs.select("doc_id", "text"), shingle), "fingerprints")
+    roots = _roots(marked, _order())
+    least = roots.groupBy("root").agg(F.min("first").alias("least"))
+    found = roots.select("fp", "root").join(least, "root")
+    of_class = found.select("fp", F.col("least.doc_id").alias("component_id"))
     return marked.join(of_class, "fp").select("doc_id", "fp", "component_id")
 
 
-def shingle_sets(keyed: DataFrame) -> DataFrame:
-    """``key``, ``doc_id``, ``value`` (of the set of a text's shingles, in order of
-    hash) and what :func:`minhash.candidates` needs of it."""
-
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept("minhash", dict)  # no model of an earlier stage is needed
-        for batch in batches:
-            rows = []
-            for text in batch["body"]:
-                hashes = np.unique(shingle_hashes(text, COPY_SHINGLE))
-                buckets, sketch = minhash.sketch(hashes)
-                value = signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
-                rows.append((value, len(hashes), buckets, sketch))
-            made = pd.DataFrame(rows, columns=["value", "size", "buckets", "sketch"])
-            made.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            made.insert(0, "key", batch["key"].to_numpy())
-            yield made.astype({"doc_id": "Int64"})
-
-    bodies = keyed.select(
-        F.col(KEY).alias("key"),
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        text_bytes().alias("body"),
-    )
-    return bodies.mapInPandas(
-        compute,
-        "key bigint, doc_id bigint, value bigint, size bigint, buckets array<bigint>, sketch binary",
-    )
-
-
-def verified(pairs: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` whose sets of shingles have a Jaccard similarity of
-    :data:`SIMILARITY` or more. Only texts of a pair are read again."""
-
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t, COPY_SHINGLE)).view(np.int64) for t in batch["body"]]
-            yield pd.DataFrame({"value": batch["value"], "hashes": sets})
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each group of :func:`near_duplicates`: that with the smallest id,
+    null ids last, of equal ids any one.
 
-    paired = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "value")
-    wanted = classes.select("value", F.col("first.key").alias(KEY)).join(paired, "value")
-    # The list grows with the table, so it is never broadcast.
-    bodies = keyed.join(wanted.hint("merge"), KEY).select("value", text_bytes().alias("body"))
-    sets = stage(bodies.mapInPandas(compute, "value bigint, hashes array<bigint>"), "shingle-sets")
-    a, b = (sets.select(F.col("value").alias(s), F.col("hashes").alias(f"{s}_set")) for s in "ab")
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    alike = both >= SIMILARITY * (F.col("a_size") + F.col("b_size") - both)
-    return pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").where(alike).select("a", "b")
-
-
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each group of copies and near copies: that with the smallest
-    id, null ids last.
-
-    Copies have the same set of shingles; near copies are linked by a similarity
-    of :data:`SIMILARITY` or more, directly or through others. Rows are told apart
-    by a key of their own. Rows that repeat an id are one document, the first by
-    its other columns, before groups are formed.
+    Rows are told apart by a key of their own, whatever their id: different texts of
+    one id both stay, null ids are rows like any other, and of repeated rows one
+    stays. Texts without words (null, empty) are one group. Columns may be of any
+    type and name; an empty table gives no row.
     """
-    keyed = stage(docs.withColumn(KEY, F.monotonically_increasing_id()), "keyed-documents")
-    marked = stage(shingle_sets(keyed), "shingle-marks")
-    rows = marked.count()
-    again = marked.groupBy("doc_id").count().where("doc_id is not null and count > 1")
-    again = stage(again.select("doc_id"), "repeated-ids", rows)
-    if again.head(1):
-        others = [c for c in docs.columns if c != "doc_id"]
-        same = keyed.withColumn("doc_id", F.col("doc_id").cast("bigint")).join(again, "doc_id", "left_semi")
-        once = same.groupBy("doc_id").agg(F.min(F.struct(*others, KEY)).alias("row"))
-        single = marked.join(again, "doc_id", "left_anti").select(marked.columns)
-        marked = single.unionByName(marked.join(once.select(F.col(f"row.{KEY}").alias("key")), "key", "left_semi"))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
-    same_set = [F.any_value(c).alias(c) for c in ("size", "buckets", "sketch")]
-    classes = stage(marked.groupBy("value").agg(F.min(order).alias("first"), *same_set), "copies")
-    pairs = stage(minhash.candidates(classes), "candidates")
-    links = verified(pairs, classes, keyed)
-    members = stage(components(links, "a", "b"), "components", rows)
-    roots = classes.select("value", "first").join(members.withColumnRenamed("node", "value"), "value", "left")
-    least = roots.groupBy(F.coalesce("root", "value").alias("root")).agg(F.min("first").alias("first"))
-    stays = least.select(F.col("first.key").alias(KEY))
+    key = "row_key"
+    while key in map(str.lower, docs.columns):
+        key += "_"
+    keyed = stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-documents")
+    texts = keyed.select(F.col(key).alias("key"), "doc_id", "text")
+    marked = stage(fingerprints(texts, shingle), "fingerprints")
+    least = _roots(marked, _order("key")).groupBy("root").agg(F.min("first").alias("first"))
+    stays = least.select(F.col("first.key").alias(key))
     # The list grows with the table, so it is never broadcast.
-    return keyed.join(stays.hint("merge"), KEY, "left_semi").select(docs.columns)
+    return keyed.join(stays.hint("merge"), key, "left_semi").select(docs.columns)

@@ -68,6 +68,19 @@ def take_snapshot(history: DataFrame, source: DataFrame, spec: FeedSpec) -> Data
     return joined.select(F.inline(rows))
 
 
+def closed_versions(before: DataFrame, newer: DataFrame, spec: FeedSpec) -> DataFrame:
+    """The earlier versions of changed keys, closed at the stamp of the newer ones.
+
+    ``before`` and ``newer`` hold one row per key, of ``newer`` only key and stamp
+    are read. Where the newer stamp is not later there is nothing to close: the
+    newer row takes the earlier one's place.
+    """
+    opened = open_versions(snapshot_source(before, spec), spec)
+    at = F.col(spec.updated_at).cast("timestamp_ntz").alias("_at")
+    met = opened.join(newer.select(spec.key, at), spec.key)
+    return met.where(F.col("_at") > F.col(VALID_FROM)).withColumn(VALID_TO, F.col("_at")).select(*opened.columns)
+
+
 def intervals_from_versions(versions: DataFrame, spec: FeedSpec) -> DataFrame:
     """Validity intervals of append-only versions: each ends where the key's
     next begins. A key has at most one version per snapshot run."""

@@ -9,14 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticehouse.functions.dates import parse_publication
-from noticehouse.operators import calendar, cursor, quality, star
+from noticehouse.operators import calendar, cursor, history, quality, star
 from noticehouse.operators.bronze import INGESTED
 from noticehouse.operators.clean import RAW, silver_rows, with_producer_key
 from noticehouse.operators.dedup import backfill_key, keep_last
-from noticehouse.operators.merge import BACKFILL, DIGEST, backfill_bronze, backfilled, with_digest
+from noticehouse.operators.merge import DIGEST, backfill_bronze, backfilled, with_digest
 from noticehouse.operators.rebuild import VALID_FROM, VALID_TO, replay_history
 from noticehouse.sources.messages import envelope, write_messages
-from noticehouse.sources.store import SEQ, Store
+from noticehouse.session import scratch_path
+from noticehouse.sources.store import MIGRATION, SEQ, Store
 from noticehouse.streaming.ingest import merge_batch
 
 
@@ -79,64 +80,79 @@ def migrate_legacy(store: Store, legacy: DataFrame) -> int:
     """Put a legacy table under bronze, and what silver lacks of it into silver.
 
     ``legacy`` holds typed silver rows with their insert time; keys may be missing
-    or repeated. Rows without any identifier stay in bronze only. Running it again
-    changes nothing. Returns the number of the batch.
+    or repeated. Rows without any identifier stay in bronze only. Both parts are
+    complete at once or not at all: after a failure it starts over, and running it
+    again changes nothing. Returns the number of the batch.
     """
-    spec = store.spec
-    for seq in store.unmerged():
-        merge_batch(store, seq)
-    seq = store.landed(BACKFILL, 0)
+    spec, ledger = store.spec, store.ledger()
+    for seq in ledger.unmerged():
+        merge_batch(store, seq, ledger=ledger)
+    seq = ledger.landed(MIGRATION, 0)
     if seq is not None:
         return seq
-    seq = 0 if (last := store.last("bronze")) is None else last + 1
+    seq = 0 if (last := ledger.last("bronze")) is None else last + 1
     keyed = backfill_key(legacy, spec)
     names = [f.name for f in spec.bronze_schema]
     store.put(backfill_bronze(keyed, spec).select(*names), "bronze", seq)
     known = keyed.where(F.col(spec.key).isNotNull())
-    stored = store.stored_for(known.select(spec.key).distinct(), before=seq)
+    stored = store.stored_for(known.select(spec.key).distinct(), before=seq, ledger=ledger)
     added = backfilled(stored, known, spec).transform(with_digest, spec)
     columns = [f.name for f in spec.silver_schema] + [DIGEST]
     store.put(added.select(*columns), "silver/changes", seq)
-    store.commit("bronze", seq, BACKFILL, 0)
-    store.commit("silver", seq)
+    store.commit(("bronze", seq, MIGRATION, 0), ("silver", seq), ledger=ledger)
     return seq
 
 
 def reprocess(store: Store) -> None:
     """Silver and its history again, from the messages in bronze.
 
-    The rebuilt state is a full copy as of the last batch, so the change sets under
-    it are read no more; the snapshot holds every state a batch made. Run it while
-    nothing else uses the store.
+    Rows of a migration are taken from its change set, in their place in the order:
+    bronze does not hold all they had. The rebuilt state is a full copy as of the
+    last batch, so the change sets under it are read no more; the snapshot holds
+    every state a batch made. Run it while nothing else uses the store.
     """
-    spec, upto = store.spec, store.last("bronze")
+    spec, ledger = store.spec, store.ledger()
+    upto = ledger.last("bronze")
     if upto is None:
         return
-    bronze = store.bronze()
+    moved = F.col(SEQ).isin(ledger.migrations())
+    bronze = store.bronze().where(~moved)
     times = bronze.groupBy(SEQ).agg(F.max(INGESTED).alias("_at"))
     typed = silver_rows(bronze.select(F.col(RAW).alias("value"), SEQ), spec, [SEQ])
     stamped = typed.join(times, SEQ)
+    legacy = store.changes(None, upto).where(moved).withColumn("_at", F.col(spec.updated_at))
+    stamped = stamped.unionByName(legacy.select(*stamped.columns))
     states = replay_history(stamped, spec, SEQ, F.col("_at")).drop("_at")
-    current = states.where(F.col(VALID_TO).isNull()).drop(VALID_FROM, VALID_TO)
-    store.copy(current, upto)
-    for seq in store.unmerged():
-        store.commit("silver", seq)
-    versions = store.versions(states.drop(VALID_FROM, VALID_TO, DIGEST))
-    store.replace_snapshot(versions, upto)
+    path = scratch_path(store.spark, "reprocessed")
+    states.write.parquet(path)
+    states = store.spark.read.parquet(path)
+    is_open = F.col(VALID_TO).isNull()
+    current = states.where(is_open).drop(VALID_FROM, VALID_TO)
+    store.copy(current, upto, current.count(), ledger)
+    late = ledger.unmerged()
+    if late:
+        store.commit(*(("silver", seq) for seq in late), ledger=ledger)
+    ends = states.where(~is_open).withColumn("_end", F.col(VALID_TO).cast("timestamp_ntz"))
+    closed = store.opened(ends.drop(VALID_FROM, VALID_TO)).withColumn(VALID_TO, F.col("_end"))
+    store.replace_snapshot(closed.drop("_end"), upto)
 
 
 def take_snapshot(store: Store) -> None:
-    """Append the versions that are new since the last snapshot.
+    """Close the versions of the keys that changed since the last snapshot.
 
-    Only keys in the change sets since then can differ from their open version,
-    so neither silver nor the history is read.
+    Reads the change sets since then, and the rows that their keys had before:
+    neither the whole of silver nor the history.
     """
-    upto, since = store.last("silver"), store.last("snapshot")
+    spec, ledger = store.spec, store.ledger()
+    upto, since = ledger.last("silver"), ledger.last("snapshot")
     if upto is None or upto == since:
         return
-    changed = store.newest_changes(since, upto).drop(DIGEST)
-    store.put(store.versions(changed), "snapshot", upto)
-    store.commit("snapshot", upto)
+    first = since is None
+    changed = store.newest_changes(since, upto).select(spec.key, spec.updated_at)
+    names = [f.name for f in spec.silver_schema]
+    before = store.stored_for(changed.select(spec.key), 0 if first else since + 1, names, ledger)
+    store.put(history.closed_versions(before, changed, spec), "snapshot", upto)
+    store.commit(("snapshot", upto), ledger=ledger)
 
 
 def build_gold(store: Store, dims_from: str = "silver") -> None:
@@ -170,7 +186,7 @@ def build_gold(store: Store, dims_from: str = "silver") -> None:
         }
     fact = star.fact(snapshot, members, spec)
     fact.write.mode("overwrite").parquet(store.gold_path(build, spec.fact.name))
-    store.commit("gold", build)
+    store.commit(("gold", build))
 
 
 def test_results(store: Store) -> DataFrame:

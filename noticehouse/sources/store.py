@@ -5,18 +5,27 @@ current state is the last full copy of silver (``base``) without the keys that
 changed since, plus the newest change of those. So a batch writes what it
 changed and never rewrites silver. A full copy is made once the changes since
 the last one weigh enough against it, so copying costs a constant share of the
-rows written, whatever the size of silver. A copy is partitioned by a hash bucket
-of the key, so that a small batch reads the buckets of its keys.
+rows written, whatever the size of silver.
+
+A copy is cut into hash buckets of the key, as many as its rows ask for, and the
+ledger keeps their number with the copy. Inside a bucket rows are sorted by key, in
+small row groups with a Bloom filter of their keys, so a batch reads the row groups
+of its keys only.
+
+History is kept in two parts: closed versions are appended by each snapshot, and the
+open ones are silver as the last snapshot saw it. So a snapshot reads the change sets
+since the last one and the earlier rows of their keys, and closes those.
 
 The ledger numbers batches in the order they were landed, whichever stream they
 come from, and remembers stream and batch. Readers look no further than what it
 marks complete: a batch that did not finish is written over, and one that did is
-never written again. One writer at a time.
+never written again. Entries that belong together appear at once, in one file; the
+files are folded into one from time to time. One writer at a time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -28,14 +37,27 @@ from noticehouse.operators import history
 from noticehouse.operators.cursor import DEFAULT_CURSOR
 from noticehouse.operators.dedup import top_row
 from noticehouse.operators.merge import DIGEST, merge_columns
-from noticehouse.operators.rebuild import VALID_TO
 from noticehouse.session import empty
 from noticehouse.spec import FeedSpec
 
 SEQ = "seq"
-LEDGER = T.StructType().add(SEQ, "long").add("stream", "string").add("batch", "long")
-# Hash buckets of a full copy of silver.
-BUCKET, BUCKETS = "bucket", 64
+# Hash bucket of a full copy of silver.
+BUCKET = "bucket"
+# Up to so many keys are named in a scan; of more, only the buckets are.
+KEYS = 1000
+# A legacy table that was moved in: silver has its rows, bronze not all of them.
+MIGRATION = "backfill"
+
+LEDGER = (
+    T.StructType()
+    .add("layer", "string")
+    .add(SEQ, "long")
+    .add("stream", "string")
+    .add("batch", "long")
+    .add("buckets", "long")
+)
+# Marks a fold of the ledger as whole; its number is the entries it holds.
+FOLD = "fold"
 
 AUDIT_SCHEMA = (
     T.StructType()
@@ -51,6 +73,51 @@ AUDIT_SCHEMA = (
 )
 
 
+class Ledger:
+    """What is complete, as one read of the entries saw it. One entry per batch and
+    layer, so it is small beside a single batch."""
+
+    def __init__(self, rows: Iterable[T.Row]):
+        rows = list(rows)
+        folds = {r.generation for r in rows if r.layer == FOLD}
+        self.generation = max(folds, default=0)
+        live = [r for r in rows if r.generation == self.generation]
+        folded = sum(r[SEQ] for r in live if r.layer == FOLD)
+        self.entries = [tuple(r[f.name] for f in LEDGER) for r in live if r.layer != FOLD]
+        #: Entries in files of their own.
+        self.loose = len(self.entries) - folded
+
+    def add(self, entries: Sequence[tuple]) -> None:
+        self.entries += entries
+        self.loose += len(entries)
+
+    def numbers(self, layer: str) -> list[int]:
+        return sorted({e[1] for e in self.entries if e[0] == layer})
+
+    def last(self, layer: str, upto: int | None = None) -> int | None:
+        """Number of the newest complete batch of a layer."""
+        numbers = self.numbers(layer)
+        return max((n for n in numbers if upto is None or n <= upto), default=None)
+
+    def landed(self, stream: str, batch: int) -> int | None:
+        """The number under which a batch of a stream was landed, if it was."""
+        return max(
+            (e[1] for e in self.entries if e[0] == "bronze" and e[2:4] == (stream, batch)), default=None
+        )
+
+    def migrations(self) -> list[int]:
+        return sorted(e[1] for e in self.entries if e[0] == "bronze" and e[2] == MIGRATION)
+
+    def unmerged(self) -> list[int]:
+        """Landed batches that silver does not have yet, in order. More than one is
+        left only by a failure between landing and merging."""
+        merged = self.last("silver")
+        return [n for n in self.numbers("bronze") if merged is None or n > merged]
+
+    def buckets(self, copy: int) -> int:
+        return max(e[4] for e in self.entries if e[:2] == ("base", copy))
+
+
 @dataclass(frozen=True)
 class Store:
     spark: SparkSession
@@ -58,6 +125,10 @@ class Store:
     spec: FeedSpec
     compact_every: int = 16
     compact_share: float = 0.1
+    #: Rows of a copy's bucket, and of a row group in it.
+    bucket_rows: int = 1 << 20
+    group_rows: int = 1 << 14
+    fold_every: int = 64
 
     def within(self, spark: SparkSession) -> Store:
         return replace(self, spark=spark)
@@ -93,36 +164,36 @@ class Store:
         df.write.mode("overwrite").parquet(self.batch_path(layer, seq))
 
     def commit(
-        self, layer: str, seq: int, stream: str | None = None, batch: int | None = None
+        self,
+        *entries: tuple,
+        ledger: Ledger | None = None,
     ) -> None:
-        entry = self.spark.range(seq, seq + 1, 1, 1).select(
-            F.col("id").alias(SEQ),
-            F.lit(stream).cast("string").alias("stream"),
-            F.lit(batch).cast("long").alias("batch"),
-        )
-        entry.write.mode("append").parquet(self.path("ledger", layer))
-
-    def ledger(self, layer: str) -> DataFrame:
-        return self._read(self.path("ledger", layer), LEDGER)
+        """Mark batches complete: ``(layer, seq[, stream, batch[, buckets]])`` each.
+        All appear together, in one file."""
+        ledger = ledger or self.ledger()
+        whole = [(*e, *[None] * (len(LEDGER) - len(e))) for e in entries]
+        self._write_entries(whole, ledger.generation)
+        ledger.add(whole)
+        if ledger.loose >= self.fold_every:
+            self._fold(ledger)
+
+    def _write_entries(self, entries: Sequence[tuple], generation: int) -> None:
+        rows = self.spark.createDataFrame(list(entries), LEDGER).coalesce(1)
+        rows.write.mode("append").parquet(self.path("ledger", f"generation={generation}"))
+
+    def _fold(self, ledger: Ledger) -> None:
+        """All entries in one file, which the reader takes once it is there."""
+        mark = (FOLD, len(ledger.entries), None, None, None)
+        self._write_entries([*ledger.entries, mark], ledger.generation + 1)
+        self._remove(self.path("ledger", f"generation={ledger.generation}"))
+        ledger.generation, ledger.loose = ledger.generation + 1, 0
+
+    def ledger(self) -> Ledger:
+        schema = T.StructType([*LEDGER]).add("generation", "integer")
+        return Ledger(self._read(self.path("ledger"), schema).collect())
 
     def last(self, layer: str, upto: int | None = None) -> int | None:
-        """Number of the newest complete batch of a layer."""
-        entries = self.ledger(layer)
-        if upto is not None:
-            entries = entries.where(F.col(SEQ) <= upto)
-        return entries.agg(F.max(SEQ)).first()[0]
-
-    def landed(self, stream: str, batch: int) -> int | None:
-        """The number under which a batch of a stream was landed, if it was."""
-        mine = (F.col("stream") == stream) & (F.col("batch") == batch)
-        return self.ledger("bronze").agg(F.max(F.when(mine, F.col(SEQ)))).first()[0]
-
-    def unmerged(self) -> list[int]:
-        """Landed batches that silver does not have yet, in order. More than one is
-        left only by a failure between landing and merging."""
-        merged = self.last("silver")
-        later = self.ledger("bronze").where(F.col(SEQ) > (-1 if merged is None else merged))
-        return sorted(r[0] for r in later.select(SEQ).collect())
+        return self.ledger().last(layer, upto)
 
     # --- layers ----------------------------------------------------------------
 
@@ -153,15 +224,16 @@ class Store:
         schema = T.StructType([*self._stored]).add(BUCKET, "integer")
         return self._read(self.batch_path("silver/base", seq), schema)
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(self.spec.key), F.lit(BUCKETS)).cast("int")
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(self.spec.key), F.lit(buckets)).cast("int")
 
-    def silver_stored(self, before: int | None = None) -> DataFrame:
+    def silver_stored(self, before: int | None = None, ledger: Ledger | None = None) -> DataFrame:
         """Current state with content digests, as it was before a batch."""
-        upto = self.last("silver") if before is None else before - 1
+        ledger = ledger or self.ledger()
+        upto = ledger.last("silver") if before is None else before - 1
         if upto is None or upto < 0:
             return empty(self.spark, self._stored)
-        base = self.last("base", upto)
+        base = ledger.last("base", upto)
         if base is None:
             return self.newest_changes(None, upto)
         newest = self.newest_changes(base, upto)
@@ -169,73 +241,112 @@ class Store:
         untouched = copy.join(newest.select(self.spec.key), self.spec.key, "left_anti")
         return untouched.select(*self._stored.names).unionByName(newest)
 
-    def stored_for(self, keys: DataFrame, before: int) -> DataFrame:
-        """What a merge needs of the stored rows of some keys, as it was before a
-        batch.
-
-        Reads each change set once and the copy's buckets of these keys; all is cut
-        to the keys before anything is compared.
+    def stored_for(
+        self,
+        keys: DataFrame,
+        before: int,
+        columns: Sequence[str] | None = None,
+        ledger: Ledger | None = None,
+    ) -> DataFrame:
+        """Some columns of the stored rows of some keys, as they were before a batch;
+        else those that a merge needs.
+
+        Reads each change set once, and of the copy the buckets of these keys, of
+        few keys only their row groups; all is cut to the keys before anything is
+        compared.
         """
-        key, columns = self.spec.key, merge_columns(self.spec)
+        ledger = ledger or self.ledger()
+        key, columns = self.spec.key, [*(columns or merge_columns(self.spec))]
         if before <= 0:
             return empty(self.spark, self._stored).select(*columns)
-        base = self.last("base", before - 1)
+        base = ledger.last("base", before - 1)
         sets = self.changes(base, before - 1).select(*columns, SEQ)
         if base is not None:
-            buckets = [r[0] for r in keys.select(self._bucket()).distinct().collect()]
-            copy = self._base(base).where(F.col(BUCKET).isin(buckets))
+            copy = self._base(base).where(self._holds(keys, ledger.buckets(base)))
             sets = sets.unionByName(copy.select(*columns, F.lit(base).alias(SEQ)))
         mine = sets.join(keys, key, "left_semi")
         return top_row(mine, [key], [F.col(SEQ).desc()]).drop(SEQ)
 
+    def _holds(self, keys: DataFrame, buckets: int) -> Column:
+        """Where a copy may hold some keys."""
+        key = self.spec.key
+        few = keys.select(key, self._bucket(buckets).alias(BUCKET)).limit(KEYS + 1).collect()
+        if len(few) <= KEYS:
+            names = [r[key] for r in few]
+            return F.col(BUCKET).isin(sorted({r[BUCKET] for r in few})) & F.col(key).isin(names)
+        # At most as many as the copy has folders.
+        found = keys.select(self._bucket(buckets).alias(BUCKET)).distinct().collect()
+        return F.col(BUCKET).isin(sorted(r[BUCKET] for r in found))
+
     def silver(self) -> DataFrame:
         return self.silver_stored().drop(DIGEST)
 
-    def compact(self, seq: int) -> None:
+    def compact(self, seq: int, ledger: Ledger | None = None) -> None:
         """Make a full copy of silver as of a batch."""
-        self.copy(self.silver_stored(before=seq + 1), seq)
-
-    def copy(self, state: DataFrame, seq: int) -> None:
-        """Store the whole state as of a batch, by buckets of the key."""
-        state = state.select(*self._stored.names).withColumn(BUCKET, self._bucket())
-        spread = state.repartition(BUCKET, F.pmod(F.hash(self.spec.key), F.lit(8)))
-        path = self.batch_path("silver/base", seq)
-        spread.write.mode("overwrite").partitionBy(BUCKET).parquet(path)
-        self.commit("base", seq)
+        ledger = ledger or self.ledger()
+        base = ledger.last("base", seq)
+        rows = self.changes(base, seq).count() + (0 if base is None else self._base(base).count())
+        self.copy(self.silver_stored(seq + 1, ledger), seq, rows, ledger)
+
+    def copy(self, state: DataFrame, seq: int, rows: int, ledger: Ledger | None = None) -> None:
+        """Store the whole state as of a batch, of about so many rows, by buckets of
+        the key: a task each, sorted, with Bloom filters of the keys."""
+        key, buckets = self.spec.key, max(1, -(-rows // self.bucket_rows))
+        state = state.select(*self._stored.names).withColumn(BUCKET, self._bucket(buckets))
+        filtered = {
+            f"parquet.bloom.filter.enabled#{key}": True,
+            f"parquet.bloom.filter.expected.ndv#{key}": self.group_rows,
+            f"parquet.bloom.filter.fpp#{key}": 0.0001,
+            "parquet.block.row.count.limit": self.group_rows,
+        }
+        (
+            state.repartition(buckets, BUCKET)
+            .sortWithinPartitions(BUCKET, key)
+            .write.mode("overwrite")
+            .options(**filtered)
+            .partitionBy(BUCKET)
+            .parquet(self.batch_path("silver/base", seq))
+        )
+        self.commit(("base", seq, None, None, buckets), ledger=ledger)
 
-    def compact_if_due(self, seq: int) -> None:
+    def compact_if_due(self, seq: int, ledger: Ledger | None = None) -> None:
         """Copy after some batches, when they hold a share of the last copy's
         rows. Row counts come from the files' footers."""
-        base = self.last("base")
-        sets = self.ledger("silver")
-        fresh = sets if base is None else sets.where(F.col(SEQ) > base)
-        if fresh.count() < self.compact_every:
+        ledger = ledger or self.ledger()
+        base = ledger.last("base")
+        fresh = [n for n in ledger.numbers("silver") if base is None or n > base]
+        if len(fresh) < self.compact_every:
             return
         if base is not None:
             copied = self._base(base).count()
             if self.changes(base, seq).count() < self.compact_share * copied:
                 return
-        self.compact(seq)
+        self.compact(seq, ledger)
+
+    # --- history -------------------------------------------------------------------
 
     def snapshot(self) -> DataFrame:
-        """SCD2 history: append-only versions with their intervals."""
-        schema = self.versions(empty(self.spark, self.spec.silver_schema)).schema
-        upto = self.last("snapshot")
-        versions = self._batches("snapshot", schema)
-        versions = versions.where(F.col(SEQ) <= (-1 if upto is None else upto)).drop(SEQ)
-        return history.intervals_from_versions(versions, self.spec)
-
-    def replace_snapshot(self, versions: DataFrame, upto: int) -> None:
-        """Store the versions of all batches up to one, in place of those before."""
-        self.put(versions, "snapshot", upto)
-        earlier = self.ledger("snapshot").where(F.col(SEQ) < upto).select(SEQ).distinct()
-        for row in earlier.collect():
-            self._remove(self.batch_path("snapshot", row[0]))
-        self.commit("snapshot", upto)
-
-    def versions(self, silver: DataFrame) -> DataFrame:
-        source = history.snapshot_source(silver, self.spec)
-        return history.open_versions(source, self.spec).drop(VALID_TO)
+        """SCD2 history: closed versions as they were written, and the open ones,
+        which are silver as of the last snapshot. No row meets another."""
+        ledger = self.ledger()
+        upto = ledger.last("snapshot")
+        opened = self.opened(self.silver_stored((-1 if upto is None else upto) + 1, ledger))
+        closed = self._batches("snapshot", opened.schema)
+        closed = closed.where(F.col(SEQ) <= (-1 if upto is None else upto)).drop(SEQ)
+        return closed.unionByName(opened)
+
+    def opened(self, silver: DataFrame) -> DataFrame:
+        source = history.snapshot_source(silver.drop(DIGEST), self.spec)
+        return history.open_versions(source, self.spec)
+
+    def replace_snapshot(self, closed: DataFrame, upto: int) -> None:
+        """Store the closed versions of all batches up to one, in place of those before."""
+        ledger = self.ledger()
+        self.put(closed, "snapshot", upto)
+        for number in ledger.numbers("snapshot"):
+            if number < upto:
+                self._remove(self.batch_path("snapshot", number))
+        self.commit(("snapshot", upto), ledger=ledger)
 
     def gold(self) -> dict[str, DataFrame] | None:
         """The gold tables of the newest complete build."""
@@ -256,19 +367,28 @@ class Store:
         place.getFileSystem(conf).delete(place, True)
 
     def retain(self, builds: int = 2, copies: int = 2) -> None:
-        """Delete gold builds and copies of silver but the newest ones.
+        """Delete gold builds and copies of silver but the newest ones, and the copy
+        that the last snapshot reads.
 
-        Copies older than the last are never read again; keep enough builds for
-        the queries that may still read one.
+        Keep enough builds for the queries that may still read one.
         """
+        ledger = self.ledger()
+        seen = ledger.last("snapshot")
+        # The open versions are read from the copy under the last snapshot.
+        under = None if seen is None else ledger.last("base", seen)
+        gone = {layer: set(ledger.numbers(f"gone-{layer}")) for layer in ("gold", "base")}
+        entries = []
         for layer, most, path in (
             ("gold", builds, lambda n: self.path("gold", f"build={n}")),
             ("base", copies, lambda n: self.batch_path("silver/base", n)),
         ):
-            rows = self.ledger(layer).select(SEQ).distinct().orderBy(F.desc(SEQ))
-            # Folders removed before are few names in the ledger; removing again is nothing.
-            for number in [r[0] for r in rows.collect()][max(most, 1) :]:
+            for number in ledger.numbers(layer)[: -max(most, 1)]:
+                if number in gone[layer] or (layer == "base" and number == under):
+                    continue
                 self._remove(path(number))
+                entries.append((f"gone-{layer}", number))
+        if entries:
+            self.commit(*entries, ledger=ledger)
 
     def audit(self) -> DataFrame:
         return self._read(self.path("audit"), AUDIT_SCHEMA)

@@ -14,7 +14,7 @@ from noticehouse.operators.bronze import INGESTED, batch_stamp, bronze_rows
 from noticehouse.operators.clean import RAW, silver_rows
 from noticehouse.operators.dedup import latest_versions
 from noticehouse.operators.merge import upsert_changes, with_digest
-from noticehouse.sources.store import Store
+from noticehouse.sources.store import Ledger, Store
 
 Clock = Callable[[int], Column]
 
@@ -24,39 +24,49 @@ def wall_clock(_seq: int) -> Column:
     return F.lit(dt.datetime.now(dt.timezone.utc)).cast("timestamp")
 
 
-def land_batch(store: Store, messages: DataFrame, stream: str, batch: int, clock: Clock) -> int:
+def land_batch(
+    store: Store,
+    messages: DataFrame,
+    stream: str,
+    batch: int,
+    clock: Clock,
+    ledger: Ledger | None = None,
+) -> int:
     """Append every message of the batch to bronze; a batch that landed before stays
     as it is. Returns its number in the store."""
-    seq = store.landed(stream, batch)
+    ledger = ledger or store.ledger()
+    seq = ledger.landed(stream, batch)
     if seq is None:
-        last = store.last("bronze")
+        last = ledger.last("bronze")
         seq = 0 if last is None else last + 1
         stamp = batch_stamp(stream, F.lit(batch))
         store.put(bronze_rows(messages, store.spec, stamp, clock(seq)), "bronze", seq)
-        store.commit("bronze", seq, stream, batch)
+        store.commit(("bronze", seq, stream, batch), ledger=ledger)
     return seq
 
 
-def merge_batch(store: Store, seq: int, strict_noop: bool = False) -> None:
+def merge_batch(
+    store: Store, seq: int, strict_noop: bool = False, ledger: Ledger | None = None
+) -> None:
     """Upsert a landed batch into silver, stamped with the time it landed.
 
     Reads the batch back from bronze: the source is read once, and a lost
     executor costs a re-read of a table, not of the topic.
     """
-    spec = store.spec
+    spec, ledger = store.spec, ledger or store.ledger()
     batch = store.bronze_batch(seq)
     now = F.lit(batch.agg(F.max(INGESTED)).first()[0]).cast("timestamp")
     landed = batch.select(F.col(RAW).alias("value"))
     incoming = latest_versions(silver_rows(landed, spec), spec).transform(with_digest, spec)
     incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stored = store.stored_for(incoming.select(spec.key), before=seq)
+        stored = store.stored_for(incoming.select(spec.key), before=seq, ledger=ledger)
         changes = upsert_changes(stored, incoming, spec, now, strict_noop)
         store.put(changes, "silver/changes", seq)
-        store.commit("silver", seq)
+        store.commit(("silver", seq), ledger=ledger)
     finally:
         incoming.unpersist()
-    store.compact_if_due(seq)
+    store.compact_if_due(seq, ledger)
 
 
 def ingest_batch(
@@ -65,13 +75,14 @@ def ingest_batch(
     """One micro-batch. Running it again changes nothing.
 
     Batches are merged in the order they landed, so one that a failure left behind
-    is merged first.
+    is merged first. The ledger is read once.
     """
     if messages.isEmpty():
         return
-    land_batch(store, messages, stream, batch, clock)
-    for seq in store.unmerged():
-        merge_batch(store, seq, **options)
+    ledger = store.ledger()
+    land_batch(store, messages, stream, batch, clock, ledger)
+    for seq in ledger.unmerged():
+        merge_batch(store, seq, ledger=ledger, **options)
 
 
 def start_ingest(

@@ -89,23 +89,84 @@ def grown(store, messages):
     return store
 
 
-def test_a_merge_reads_the_buckets_of_its_keys(grown, spark):
-    """A batch of one key reads one bucket of the copy, and each change set once."""
-    keys = spark.createDataFrame([("7",)], f"{grown.spec.key} string")
-    found = grown.stored_for(keys, before=4)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "FileScan" in line]
-    assert len(scans) == 2
-    parts = [line.split("PartitionFilters: [")[1].split("]")[0] for line in scans]
-    (filters,) = [part for part in parts if BUCKET in part]
-    wanted = keys.select(grown._bucket()).first()[0]
-    assert f" = {wanted})" in filters or f" IN ({wanted})" in filters
-    assert [(r[grown.spec.key], r.numero_version) for r in found.collect()] == [("7", 2)]
-    assert set(found.columns) == set(merge.merge_columns(grown.spec))
+def scanned(df):
+    """Rows that the scans of a finished plan gave, by what they read."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    found, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            found += node.metrics().get("numOutputRows").get().value()
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_a_merge_reads_the_row_groups_of_its_keys(spark, spec, tmp_path, messages):
+    """A hundred keys of forty thousand read a small share of a copy."""
+    store = Store(spark, str(tmp_path / "large"), spec, bucket_rows=5000, group_rows=100)
+    state = spark.range(40_000).select(
+        *(F.col("id").cast("string").alias(f.name) if f.name == spec.key else F.lit(None).cast(f.dataType).alias(f.name)
+          for f in store._stored)
+    )
+    store.commit(("silver", 0))
+    store.copy(state, 0, 40_000)
+    assert store.ledger().buckets(0) == 8
+    keys = spark.range(0, 40_000, 400).select(F.col("id").cast("string").alias(spec.key))
+    found = store.stored_for(keys, before=1)
+    assert set(found.columns) == set(merge.merge_columns(spec))
+    assert sorted(r[spec.key] for r in found.collect()) == sorted(str(k) for k in range(0, 40_000, 400))
+    # At most a row group per key, and few more by a false positive.
+    assert scanned(found) <= 100 * 100 + 2000
+    many = spark.range(0, 40_000, 20).select(F.col("id").cast("string").alias(spec.key))
+    assert store.stored_for(many, before=1).count() == 2000
+
+
+def test_a_copy_is_written_by_tasks_in_proportion_to_rows(store, messages, spark):
+    for rows, buckets in ((300, 3), (1000, 10)):
+        grown = Store(spark, f"{store.root}-{rows}", store.spec, bucket_rows=100)
+        ingest.ingest_batch(grown, messages(*(notice(k) for k in range(rows))), "s", 0, stamp)
+        grown.compact(0)
+        ledger = grown.ledger()
+        assert ledger.buckets(0) == buckets
+        copy = grown._base(0)
+        assert copy.select(BUCKET).distinct().count() == buckets
+        assert grown.silver().count() == rows
+
+
+def test_a_batch_reads_the_ledger_once_and_it_is_folded(spark, spec, tmp_path, messages, monkeypatch):
+    store = Store(spark, str(tmp_path / "folded"), spec, fold_every=6)
+    reads = []
+    plain = Store.ledger
+    monkeypatch.setattr(Store, "ledger", lambda self: reads.append(1) or plain(self))
+    for k in range(8):
+        ingest.ingest_batch(store, messages(notice(k), notice(1, k + 2)), "s", k, stamp)
+    assert len(reads) == 8
+    ledger = store.ledger()
+    assert ledger.generation >= 2 and ledger.numbers("silver") == list(range(8))
+    assert ledger.loose < 6 and ledger.landed("s", 5) == 5
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(store.path("ledger"))
+    assert files.where("path like '%.parquet'").count() <= 7
+    assert versions(store)[1] == 9
+
+
+def test_an_unfinished_fold_is_not_read(store, messages):
+    ingest.ingest_batch(store, messages(notice(1)), "s", 0, stamp)
+    store._write_entries([("bronze", 7, "x", 1, None)], 1)
+    assert store.ledger().numbers("bronze") == [0]
 
 
 def test_stored_rows_of_a_merge_are_those_of_silver(grown, spark):
     keys = grown.silver().select(grown.spec.key).where("api_id % 3 = 0 or api_id in (7, 8)")
+    assert grown.ledger().buckets(1) == 1
     mine = grown.stored_for(keys, before=4).select(grown.spec.key, merge.DIGEST, "numero_version")
     whole = grown.silver_stored().join(keys, grown.spec.key).select(*mine.columns)
     assert sorted(mine.collect(), key=str) == sorted(whole.collect(), key=str)
@@ -168,6 +229,110 @@ def test_legacy_rows_move_into_the_store(store, messages, spec):
     assert changed.libelle == "changed"
 
 
+class Broken(Exception):
+    pass
+
+
+def failing(monkeypatch, name, at):
+    """A store method that fails at its n-th call."""
+    plain, calls = getattr(Store, name), []
+
+    def method(self, *args, **kwargs):
+        calls.append(1)
+        if len(calls) == at:
+            raise Broken
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(Store, name, method)
+
+
+def legacy_without_payload(messages, spec):
+    rows = legacy_rows(messages, spec, notice(1, 9), notice(2, 1, "old"), notice(3), notice(4, 2, "four"))
+    return rows.withColumn(spec.payload, F.when(F.col("api_id") > 2, F.col(spec.payload)))
+
+
+def tables(store):
+    names = [f.name for f in store.spec.silver_schema]
+    return (
+        sorted(map(str, store.silver().select(names).collect())),
+        sorted(map(str, store.bronze().drop("_ingested_at").collect())),
+        sorted(map(str, store.snapshot().collect())),
+    )
+
+
+@pytest.mark.parametrize("name,at", [("put", 1), ("put", 2), ("commit", 1), ("_write_entries", 1)])
+def test_a_failed_migration_loses_no_row(spark, spec, tmp_path, messages, monkeypatch, name, at):
+    def run(root, broken):
+        store = Store(spark, str(tmp_path / root), spec)
+        ingest.ingest_batch(store, messages(notice(1, 5)), "s", 0, stamp)
+        legacy = legacy_without_payload(messages, spec)
+        if broken:
+            with monkeypatch.context() as patch:
+                failing(patch, name, at)
+                with pytest.raises(Broken):
+                    build.migrate_legacy(store, legacy)
+            assert versions(store) == {1: 5} and store.bronze().count() == 1
+        build.migrate_legacy(store, legacy)
+        assert build.migrate_legacy(store, legacy) == 1
+        ingest.ingest_batch(store, messages(notice(3, 2)), "s", 1, stamp)
+        build.take_snapshot(store)
+        return tables(store)
+
+    assert run("broken", True) == run("clean", False)
+
+
+def test_a_batch_between_a_failed_migration_and_its_repeat(store, messages, spec, monkeypatch):
+    legacy = legacy_without_payload(messages, spec)
+    with monkeypatch.context() as patch:
+        failing(patch, "commit", 1)
+        with pytest.raises(Broken):
+            build.migrate_legacy(store, legacy)
+    ingest.ingest_batch(store, messages(notice(4, 7)), "s", 0, stamp)
+    assert versions(store) == {4: 7}
+    build.migrate_legacy(store, legacy)
+    assert versions(store) == {1: 9, 2: 1, 3: 1, 4: 7}
+
+
+def test_reprocessing_keeps_legacy_rows(store, messages, spec):
+    """Rows without a payload, their stamps, and what came before and after them."""
+    ingest.ingest_batch(store, messages(notice(1, 5)), "s", 0, stamp)
+    build.take_snapshot(store)
+    build.migrate_legacy(store, legacy_without_payload(messages, spec))
+    build.take_snapshot(store)
+    ingest.ingest_batch(store, messages(notice(3, 2, "new"), notice(9)), "s", 1, lambda _: stamp(5))
+    build.take_snapshot(store)
+    before = tables(store)
+    assert versions(store) == {1: 5, 2: 1, 3: 2, 4: 2, 9: 1}
+    assert store.snapshot().where("dbt_valid_to is not null").count() == 1
+    build.reprocess(store)
+    assert tables(store) == before
+    build.reprocess(store)
+    assert tables(store) == before
+
+
+def test_a_snapshot_reads_changes_only(spark, spec, tmp_path, messages):
+    """Rows read by a snapshot do not grow with silver or with the history."""
+    store = Store(spark, str(tmp_path / "history"), spec, compact_every=99, bucket_rows=200, group_rows=50)
+    ingest.ingest_batch(store, messages(*(notice(k) for k in range(2000))), "s", 0, lambda _: stamp(0))
+    store.compact(0)
+    build.take_snapshot(store)
+    for k in range(1, 4):
+        ingest.ingest_batch(store, messages(notice(7, k + 1), notice(2000 + k)), "s", k, lambda _, k=k: stamp(k))
+        ledger = store.ledger()
+        changed = store.newest_changes(k - 1, k).select(spec.key, spec.updated_at)
+        names = [f.name for f in spec.silver_schema]
+        before = store.stored_for(changed.select(spec.key), k, names, ledger)
+        assert scanned(before) <= 4 * 50 + 2 * k
+        build.take_snapshot(store)
+    taken = store.snapshot()
+    rows = taken.where("api_id = 7").orderBy(VALID_FROM).collect()
+    assert [r.numero_version for r in rows] == [1, 2, 3, 4]
+    assert [r.dbt_valid_to for r in rows] == [r.dbt_valid_from for r in rows[1:]] + [None]
+    assert taken.count() == 2000 + 3 + 3
+    store.retain(copies=1)
+    assert store.snapshot().count() == 2006
+
+
 def test_a_backfill_doubles_no_key(spark, messages, spec):
     stored = legacy_rows(messages, spec, notice(9)).withColumn(spec.updated_at, stamp(0))
     legacy = legacy_rows(messages, spec, notice(1), notice(1, 2), notice(2), notice(9, 7))

@@ -23,10 +23,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticehouse.llm.common import kept, stage, text_bytes
+from noticehouse.llm.tokens import slices
 
 RUN_WORDS = 1 << 20
 FAN = 64
@@ -43,7 +45,7 @@ FAN = 64
 PART_BITS = 4
 #: Bits of an id and of a document's number in its run.
 ID_BITS, DOC_BITS = 18, 22
-CACHED_WORDS, CACHED_CHARS, WORDS_AT_ONCE = 200_000, 8 << 20, 20_000
+CACHED_WORDS, CACHED_CHARS, WORDS_AT_ONCE = 250_000, 8 << 20, 20_000
 
 #: Words of plain texts begin at a run of these; other texts are one word.
 WORDS = re.compile(r"[ \t\n]+[^ \t\n]*")
@@ -53,6 +55,11 @@ _APART = [(0, 8), (11, 31), (127, 160), (0x1680, 0x1680), (0x180E, 0x180E), (0x2
           (0x205F, 0x2064), (0x2581, 0x2581), (0x3000, 0x3000), (0xFEFF, 0xFEFF)]
 PLAIN = re.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _APART) + "]*")
 
+#: Characters on which word patterns of all engines agree.
+LATIN = re.compile("[ \t\n!-~\u00a1-\u024f]*")
+#: Fixed value: the pattern by which byte-level vocabularies of this kind split text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 RECORDS = (
     "run bigint, local int, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint,"
     " groups_sha256 string, groups string,"
@@ -98,24 +105,12 @@ def _byte_table() -> dict[str, int]:
 _BYTE_OF = _byte_table()
 
 
-def align(a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]):
-    """Links of overlapping tokens, and groups as text."""
-    links, groups, i, j, i0, j0 = [], [], 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        links.append((a[i], b[j]))
-        if a_ends[i] == b_ends[j]:
-            i, j = i + 1, j + 1
-            groups.append(f"{','.join(map(str, a[i0:i]))}|{','.join(map(str, b[j0:j]))}")
-            i0, j0 = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    return links, groups
-
-
 class Aligner:
-    """Words to their place in flat tables: counts, group texts and linked pairs."""
+    """Words to their place in flat tables: counts, group texts and linked pairs.
+
+    Words are learnt many at once: put one after another they are one stretch of
+    bytes, and where tokens of either kind end in it gives all links and groups.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -124,26 +119,41 @@ class Aligner:
 
         self._a = Tokenizer.from_file(a_path)
         self._a.encode_special_tokens = True
-        size = self._a.get_vocab_size()
         special = {i: t.content.encode() for i, t in self._a.get_added_tokens_decoder().items()}
-        self._a_bytes = [
-            special[k] if k in special else byte_level(self._a.id_to_token(k)) for k in range(size)
-        ]
+        tokens = [self._a.id_to_token(k) for k in range(self._a.get_vocab_size())]
+        self._a_bytes = [special[k] if k in special else byte_level(t) for k, t in enumerate(tokens)]
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self._b_bytes = [self._piece(k) for k in range(self._b.get_piece_size())]
-        if max(size, len(self._b_bytes)) > 1 << ID_BITS:
+        pieces = [self._b.id_to_piece(k) for k in range(self._b.get_piece_size())]
+        self._b_bytes = [
+            bytes([int(p[3:5], 16)]) if self._b.is_byte(k) else p.replace("▁", " ").encode()
+            for k, p in enumerate(pieces)
+        ]
+        if max(len(tokens), len(pieces)) > 1 << ID_BITS:
             raise ValueError(f"ids of more than {ID_BITS} bits")
-        pieces = [self._b.id_to_piece(k) for k in range(len(self._b_bytes))]
+        self._a_sizes, self._b_sizes = (
+            np.fromiter(map(len, table), np.int64, len(table)) for table in (self._a_bytes, self._b_bytes)
+        )
         # Else words could be joined across the cut.
         self._cuts = self._b.encode("a b", out_type=str)[:1] == ["▁a"] and not any(
             "▁" in p.lstrip("▁") or "\n" in p or "\t" in p for p in pieces
         )
+        self._quick = self._by_rank(a_path, special)
         self.clear()
 
-    def _piece(self, number: int) -> bytes:
-        if self._b.is_byte(number):
-            return bytes([int(self._b.id_to_piece(number)[3:5], 16)])
-        return self._b.id_to_piece(number).replace("▁", " ").encode()
+    def _by_rank(self, path: str, special: dict[int, bytes]):
+        """The same merges as a rank encoder, several times as fast, if ids go by rank."""
+        with open(path) as file:
+            made = json.load(file)
+        ids, merges = made["model"]["vocab"], made["model"]["merges"]
+        joined = ["".join(m if isinstance(m, list) else m.split(" ")) for m in merges]
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        in_order = all(ids[m] == 256 + k for k, m in enumerate(joined))
+        if not in_order or made["pre_tokenizer"] != plain or made["normalizer"] is not None:
+            return None
+        import tiktoken
+
+        ranks = {b: k for k, b in enumerate(self._a_bytes) if k not in special}
+        return tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def full(self) -> bool:
         return len(self.places) > CACHED_WORDS or self._chars > CACHED_CHARS
@@ -151,51 +161,110 @@ class Aligner:
     def clear(self) -> None:
         self._chars = 0
         self.places: dict[str, int] = {}
-        self.counts: list[tuple[int, int, int]] = []
+        #: Group texts by place; none for a word that its tokens do not spell.
         self.groups: list[str | None] = []
-        self._pairs: list[np.ndarray] = []
+        self._counts = [np.zeros((0, 3), np.int64)]
+        self._sizes, self._pairs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
 
     def words(self, text: str) -> list[str]:
         """A space and the text, cut where neither vocabulary joins."""
         spaced = " " + text
-        return WORDS.findall(spaced) if self._cuts and PLAIN.fullmatch(text) else [spaced]
-
-    def learn(self, words: list[str], whole: bool = False) -> None:
-        """``whole`` words are texts and not cut out of one."""
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            part = words[at : at + WORDS_AT_ONCE]
-            a_ids = [e.ids for e in self._a.encode_batch_fast(part, add_special_tokens=False)]
-            # The second vocabulary puts a space in front; a letter keeps words from it.
-            asked = [w[1:] if whole else "a" + w for w in part]
-            b_ids = self._b.encode(asked, num_threads=1)
-            for word, a, b in zip(part, a_ids, b_ids):
-                b = b if whole else b[1:]
-                self.places[word] = len(self.counts)
-                self._chars += len(word)
-                a_parts, b_parts = [self._a_bytes[k] for k in a], [self._b_bytes[k] for k in b]
-                raw = word.encode()
-                if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-                    self.counts.append((0, 0, 0))
-                    self.groups.append(None)
-                    self._pairs.append(np.zeros(0, np.uint64))
-                    continue
-                links, groups = align(
-                    a, b, list(accumulate(map(len, a_parts))), list(accumulate(map(len, b_parts)))
-                )
-                self.counts.append((len(a), len(b), len(groups)))
-                self.groups.append(";".join(groups))
-                self._pairs.append(np.array([x << ID_BITS | y for x, y in links], np.uint64))
-
-    def links(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The linked pairs of words in a row, and how many each word has."""
-        used, back = np.unique(places, return_inverse=True)
-        own = [self._pairs[k] for k in used.tolist()]
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        flat = np.concatenate(own) if own else np.zeros(0, np.uint64)
-        starts, each = (np.cumsum(sizes) - sizes)[back], sizes[back]
+        return WORDS.findall(spaced) if self.plain(text) else [spaced]
+
+    def plain(self, text: str) -> bool:
+        return self._cuts and PLAIN.fullmatch(text) is not None
+
+    def learn(self, words: list[str]) -> None:
+        """Words that :meth:`words` cut out of plain texts."""
+        quick, slow = [], []
+        for word in words:
+            (quick if self._quick and LATIN.fullmatch(word) and word[-1] not in " \t\n" else slow).append(word)
+        for group in (quick, slow):
+            for at in range(0, len(group), WORDS_AT_ONCE):
+                part = group[at : at + WORDS_AT_ONCE]
+                # The second vocabulary puts a space in front; a letter keeps words from it.
+                b_ids = [ids[1:] for ids in self._b.encode(["a" + w for w in part], num_threads=1)]
+                a_ids = self._joined(part) if group is quick else self._each(part)
+                self._store(part, *a_ids, b_ids)
+
+    def learn_text(self, spaced: str) -> None:
+        """A space and a text that cannot be cut."""
+        self._store([spaced], *self._each([spaced]), [self._b.encode(spaced[1:])])
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self._a.encode_batch_fast(words, add_special_tokens=False)]
+        return _flat(found), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words begin with white space and end without, so they are never merged."""
+        flat = np.array(self._quick.encode_ordinary("".join(words)), np.int64)
+        ends = np.cumsum(self._a_sizes[flat])
+        of_words = np.cumsum([len(w.encode()) for w in words])
+        return flat, np.diff(np.searchsorted(ends, of_words), prepend=-1)
+
+    def _store(self, words: list[str], a: np.ndarray, a_counts: np.ndarray, b_ids: list[list[int]]) -> None:
+        raws = [w.encode() for w in words]
+        b = _flat(b_ids)
+        b_counts = np.fromiter(map(len, b_ids), np.int64, len(b_ids))
+        spelt = _spelt(raws, a, a_counts, self._a_bytes) & _spelt(raws, b, b_counts, self._b_bytes)
+        a, b = a[np.repeat(spelt, a_counts)], b[np.repeat(spelt, b_counts)]
+        a_ends, b_ends = np.cumsum(self._a_sizes[a]), np.cumsum(self._b_sizes[b])
+        sizes = np.where(spelt, np.fromiter(map(len, raws), np.int64, len(raws)), 0)
+        of_words = np.cumsum(sizes)
+        # Between two ends of either kind one token of each kind goes on: a link.
+        ends = np.union1d(a_ends, b_ends)
+        links = a[np.searchsorted(a_ends, ends)].astype(np.uint64) << np.uint64(ID_BITS)
+        links |= b[np.searchsorted(b_ends, ends)].astype(np.uint64)
+        shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        a_cuts = [0, *(np.searchsorted(a_ends, shared) + 1).tolist()]
+        b_cuts = [0, *(np.searchsorted(b_ends, shared) + 1).tolist()]
+        texts = [
+            f"{','.join(a_text[i:j])}|{','.join(b_text[k:n])}"
+            for i, j, k, n in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])
+        ]
+        of_group = np.searchsorted(shared, of_words, side="right")
+        of_link = np.searchsorted(ends, of_words, side="right")
+        starts = [0, *of_group.tolist()]
+        for word, good, i, j in zip(words, spelt.tolist(), starts, starts[1:]):
+            self.places[word] = len(self.groups)
+            self.groups.append(";".join(texts[i:j]) if good else None)
+            self._chars += len(word)
+        counts = np.column_stack([a_counts * spelt, b_counts * spelt, np.diff(of_group, prepend=0)])
+        self._counts.append(counts)
+        self._sizes.append(np.diff(of_link, prepend=0))
+        self._pairs.append(links)
+
+    def links(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of words in a row: their linked pairs, how many each word has, and its
+        numbers of tokens and groups."""
+        self._counts, self._sizes, self._pairs = (
+            [np.concatenate(x)] for x in (self._counts, self._sizes, self._pairs)
+        )
+        sizes = self._sizes[0]
+        starts, each = (np.cumsum(sizes) - sizes)[places], sizes[places]
         ends = np.cumsum(each)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - each), each)
-        return flat[at], each
+        return self._pairs[0][at], each, self._counts[0][places]
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+
+
+def _spelt(raws: list[bytes], ids: np.ndarray, counts: np.ndarray, table: list[bytes]) -> np.ndarray:
+    """Which words the bytes of their tokens spell."""
+    parts = [table[k] for k in ids.tolist()]
+    cuts = [0, *np.cumsum(counts).tolist()]
+    return np.array([b"".join(parts[i:j]) == raw for raw, i, j in zip(raws, cuts, cuts[1:])], bool)
+
+
+def _text(body: bytes) -> str:
+    """What is not UTF-8 counts as no text."""
+    try:
+        return bytes(body).decode()
+    except UnicodeDecodeError:
+        return ""
 
 
 def aligner(a_path: str, b_path: str) -> Aligner:
@@ -301,19 +370,22 @@ def record_runs(
         number = TaskContext.get().partitionId() << 33
         aligned = aligner(a_path, b_path)
         names = [field.split()[0] for field in RECORDS.split(", ")]
+        whole = [n for n in names if n.startswith("n_")] + ["local", "doc_id", "part"]
         rows: list[dict] = []
         places: list[np.ndarray] = []
-        sizes: list[int] = []
 
         def flush() -> pd.DataFrame:
             nonlocal number
             made = list(rows)
-            flat = np.concatenate(places) if places else np.zeros(0, np.int64)
-            pairs, each = aligned.links(flat)
-            owners = np.repeat(np.repeat(np.arange(len(sizes)), sizes), each)
-            n_links = np.bincount(owners, minlength=len(sizes))
-            for row, n in zip(made, n_links.tolist()):
-                row["n_links"] = n
+            sizes = np.fromiter(map(len, places), np.int64, len(places))
+            pairs, each, counts = aligned.links(np.concatenate(places))
+            of_word = np.repeat(np.arange(len(sizes)), sizes)
+            owners = np.repeat(of_word, each)
+            n_links = np.bincount(owners, minlength=len(sizes)).tolist()
+            sums = np.zeros((len(sizes), 3), np.int64)
+            np.add.at(sums, of_word, counts)
+            for row, n, (n_a, n_b, n_groups) in zip(made, n_links, sums.tolist()):
+                row |= {"n_links": n, "n_a": n_a, "n_b": n_b, "n_groups": n_groups}
             for part, own, holders, held, times in sorted_parts(pairs, owners, bits) if len(pairs) else ():
                 made.append(
                     {
@@ -323,45 +395,44 @@ def record_runs(
                     }
                 )
             number += 1
-            for held in (rows, places, sizes):
-                held.clear()
+            rows.clear()
+            places.clear()
             if aligned.full():
                 aligned.clear()
             frame = pd.DataFrame(made, columns=names)
-            whole = [n for n in names if n.startswith("n_")] + ["local", "doc_id", "part"]
             return frame.astype({n: "Int64" for n in whole} | {"groups_sha256": object, "groups": object})
 
         words = 0
         for batch in batches:
-            for doc_id, body in zip(batch["doc_id"].astype("Int64").tolist(), batch["body"]):
-                try:
-                    text = bytes(body).decode()
-                except UnicodeDecodeError:
-                    text = ""
-                cut = aligned.words(text) if text else []
-                whole = len(cut) == 1 and cut[0] == " " + text
-                new = [w for w in dict.fromkeys(cut) if w not in aligned.places]
-                aligned.learn(new, whole)
-                own = np.fromiter(map(aligned.places.__getitem__, cut), np.int64, len(cut))
-                parts = [aligned.groups[k] for k in own.tolist()]
-                if not parts or None in parts:
-                    own, joined, counts = own[:0], "", (0, 0, 0)
-                else:
-                    joined = ";".join(parts)
-                    counts = tuple(map(sum, zip(*(aligned.counts[k] for k in own.tolist()))))
-                rows.append(
-                    {
-                        "run": number, "local": len(rows), "doc_id": doc_id,
-                        "n_a": counts[0], "n_b": counts[1], "n_groups": counts[2],
-                        "groups_sha256": hashlib.sha256(joined.encode()).hexdigest() if joined else "",
-                        "groups": joined if groups else None,
-                    }
-                )
-                places.append(own)
-                sizes.append(len(own))
-                # A long text is one word or many: what counts is what it holds.
-                words += max(len(own), counts[0] // 2)
-                if words >= run_words or len(rows) >= 1 << DOC_BITS:
+            keys, bodies = batch["doc_id"].astype("Int64").tolist(), batch["body"].tolist()
+            for a, b in slices(bodies, 1 << 20):
+                texts = [_text(body) for body in bodies[a:b]]
+                cut = [aligned.words(t) if t else [] for t in texts]
+                known, new = aligned.places, {}
+                for text, own in zip(texts, cut):
+                    if text and not aligned.plain(text):
+                        if own[0] not in known:
+                            aligned.learn_text(own[0])
+                    else:
+                        new |= dict.fromkeys(own)
+                aligned.learn([w for w in new if w not in known])
+                for key, own in zip(keys[a:b], cut):
+                    at = [known[w] for w in own]
+                    parts = [aligned.groups[k] for k in at]
+                    spelt = bool(parts) and None not in parts
+                    joined = ";".join(parts) if spelt else ""
+                    rows.append(
+                        {
+                            "run": number, "local": len(rows), "doc_id": key,
+                            "groups_sha256": hashlib.sha256(joined.encode()).hexdigest() if spelt else "",
+                            "groups": joined if groups else None,
+                        }
+                    )
+                    places.append(np.array(at if spelt else [], np.int64))
+                    # A text that is not cut is one word: what counts is what it holds.
+                    words += max(len(at), len(joined) // 16)
+                # Between slices, as words learnt may be forgotten with a run.
+                if words >= run_words or len(rows) >= 1 << (DOC_BITS - 1):
                     yield flush()
                     words = 0
         if rows:

@@ -471,6 +471,12 @@ ORACLES: dict[str, str] = {
     f" where {KEY} not in (select {KEY} from state2)",
     "scd2_snapshot": f"select {shown([*STATE, 'dbt_scd_id', 'dbt_updated_at', 'dbt_valid_from', 'dbt_valid_to'])}"
     " from snapshot",
+    "maintained_counts": " union all ".join(
+        f"select '{d}' as dimension, coalesce({DIMS[d][2]}, 'Unknown') as label, count(*) as n"
+        " from state6 group by 2"
+        for d in DIMS
+    ),
+    "insertion_ids": f"select row_number() over (order by inserted_at, {KEY}) as id, {KEY} from silver",
     "scd2_intervals": f"select {KEY}, {VERSION}, cast(dbt_valid_from as varchar) as valid_from,"
     " cast(dbt_valid_to as varchar) as valid_to, dbt_valid_to is null as is_current from snapshot",
     "replay_messages": "select raw_data as value from silver where raw_data is not null",

@@ -20,6 +20,7 @@ from noticehouse.operators import (
     clean,
     cursor,
     dedup,
+    deltas,
     history,
     merge,
     quality,
@@ -27,7 +28,10 @@ from noticehouse.operators import (
     reports,
     star,
 )
+from noticehouse.operators.numbering import numbered
 from noticehouse.session import apply_runtime_conf, scratch_path
+from noticehouse.plans import maintain
+from noticehouse.plans.build import take_snapshot
 from noticehouse.plans.warehouse_run import row_counts, run_warehouse
 from noticehouse.sources import messages as msg
 from noticehouse.sources.store import Store
@@ -357,9 +361,54 @@ def snapshots(built: Layers) -> DataFrame:
     return taken
 
 
+_VERSIONED: dict[tuple[str, str], Store] = {}
+
+
+def versioned(spark: SparkSession, sf_dir: str) -> Store:
+    """A store with a change set per batch, copies on the way, snapshots after three
+    batches and counts kept up after each."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _VERSIONED:
+        return _VERSIONED[key]
+    store = Store(spark, scratch_path(spark, "versioned"), SPEC, compact_every=3)
+    states = layers(spark, sf_dir).history()
+    columns = [f.name for f in SPEC.silver_schema] + [merge.DIGEST]
+    for batch in range(feed.BATCHES):
+        made = states.where(F.col(rebuild.VALID_FROM) == stamp(batch))
+        store.put(made.select(*columns), "silver/changes", batch)
+        store.commit(("bronze", batch, "versioned", batch), ("silver", batch))
+        store.compact_if_due(batch)
+        maintain.update_counts(store)
+        if batch in SNAPSHOT_AFTER:
+            take_snapshot(store)
+    _VERSIONED[key] = store
+    return store
+
+
 @query
 def scd2_snapshot(spark, sf_dir):
-    return snapshots(layers(spark, sf_dir))
+    """Closed and open versions, as the store's snapshots left them."""
+    return versioned(spark, sf_dir).snapshot()
+
+
+@query
+def maintained_counts(spark, sf_dir):
+    """Current notices per member, from the signed rows of all change sets."""
+    store = versioned(spark, sf_dir)
+    parts = [
+        deltas.per_value(maintain.counts(store, dim.name), dim, dim.label).select(
+            F.lit(dim.name).alias("dimension"), F.col(dim.label).alias("label"), deltas.ROWS
+        )
+        for dim in SPEC.fact.dims
+    ]
+    return quality.union_all(parts)
+
+
+@query
+def insertion_ids(spark, sf_dir):
+    silver = layers(spark, sf_dir).silver()
+    rows = silver.select(SPEC.key, SPEC.inserted_at)
+    return numbered(rows, [SPEC.inserted_at, SPEC.key]).select("id", SPEC.key)
 
 
 @query
@@ -370,7 +419,7 @@ def scd2_intervals(spark, sf_dir):
 
 @query
 def replay_messages(spark, sf_dir):
-    return msg.replay(layers(spark, sf_dir).silver(), SPEC)
+    return msg.replay(layers(spark, sf_dir).silver(), SPEC).select("value")
 
 
 # --- star schema ------------------------------------------------------------------

@@ -84,17 +84,21 @@ def history_browse(
 ) -> DataFrame:
     """Versions with the latest validity, with the labels of some dimensions.
 
-    One plan: the fact's first ``top`` rows are a top-k, and each dimension is cut to
-    their keys by a broadcast of at most that many before its labels are joined, so
-    it is never shuffled. The sort comes last, since joins keep no order.
+    The fact's first ``top`` rows are a top-k, run once and then held as a table of
+    that many rows, with which each dimension is cut to their keys by a broadcast
+    before its labels are joined: a dimension is never shuffled. The sort comes last,
+    since joins keep no order.
     """
     order = [F.col("valid_from").desc_nulls_first(), F.col(tie)]
-    rows = fact.orderBy(*order).limit(top)
+    labels = [dim.label for dim in dims]
+    needed = [c for c in columns if c not in labels] + [dim.key for dim in dims] + ["valid_from", tie]
+    first = fact.select(*dict.fromkeys(needed)).orderBy(*order).limit(top)
+    rows = fact.sparkSession.createDataFrame(first.toArrow())
     result = rows
     for dim in dims:
         wanted = F.broadcast(rows.select(dim.key))
-        labels = members[dim.name].select(dim.key, dim.label).join(wanted, dim.key, "left_semi")
-        result = result.join(F.broadcast(labels), dim.key, "left")
+        named = members[dim.name].select(dim.key, dim.label).join(wanted, dim.key, "left_semi")
+        result = result.join(F.broadcast(named), dim.key, "left")
     return result.orderBy(*order).select(*columns)
 
 

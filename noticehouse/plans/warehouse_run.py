@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticehouse.operators import audit, reports
-from noticehouse.plans import build
+from noticehouse.plans import build, maintain
 from noticehouse.sources.store import Store
 from noticehouse.streaming.ingest import Clock, ingest_available, wall_clock
 
@@ -91,13 +91,17 @@ def run_warehouse(
             ),
         ),
         ("snapshot", lambda: build.take_snapshot(store)),
-        ("gold", lambda: build.build_gold(store)),
+        ("gold", lambda: (build.build_gold(store), maintain.update_counts(store))),
         ("tests", lambda: build.run_tests(store)),
     ]
     if pull is not None:
         steps.insert(0, ("pull", pull))
     run = run_steps(steps)
-    write_audit(store, run_id, run.states, started_at)
+    try:
+        write_audit(store, run_id, run.states, started_at)
+    except Exception as error:
+        # What went wrong first is the cause.
+        raise error from run.failure
     if run.failure is not None and raise_on_failure:
         raise run.failure
     store.retain()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticehouse.operators.numbering import numbered
 from noticehouse.spec import FeedSpec
 
 # Fixed value: ISO text of the fetch stamp.
@@ -43,15 +44,16 @@ def envelope(
 
 
 def replay(silver: DataFrame, spec: FeedSpec, ordered: bool = True) -> DataFrame:
-    """Stored payloads of the current rows, as messages.
+    """Stored payloads of the current rows, as messages, with their ``id``: the place
+    in insertion order.
 
-    In insertion order by a range-partitioned sort; a topic keeps order only
-    within a partition, so ``ordered=False`` saves the shuffle for that sink.
+    ``ordered`` rows are sorted by it; a topic keeps order only within a partition,
+    so ``ordered=False`` saves that sink a shuffle, and the id tells the order.
     """
     stored = silver.where(F.col(spec.payload).isNotNull())
-    if ordered:
-        stored = stored.orderBy(spec.inserted_at, spec.key)
-    return stored.select(F.col(spec.payload).alias("value"))
+    columns = [F.col(spec.payload).alias("value"), spec.inserted_at, spec.key]
+    messages = numbered(stored.select(*columns), [spec.inserted_at, spec.key]).select("id", "value")
+    return messages.orderBy("id") if ordered else messages
 
 
 def replay_bronze(bronze: DataFrame, batch: str, ordered: bool = True) -> DataFrame:

@@ -156,7 +156,7 @@ class Store:
         found = self._find(path, schema)
         return empty(self.spark, schema) if found is None else found
 
-    def _batches(self, layer: str, schema: T.StructType) -> DataFrame:
+    def batches(self, layer: str, schema: T.StructType) -> DataFrame:
         return self._read(self.path(layer), T.StructType([*schema]).add(SEQ, "long"))
 
     def put(self, df: DataFrame, layer: str, seq: int) -> None:
@@ -200,7 +200,7 @@ class Store:
     def bronze(self) -> DataFrame:
         """All messages of the batches that landed."""
         last = self.last("bronze")
-        batches = self._batches("bronze", self.spec.bronze_schema)
+        batches = self.batches("bronze", self.spec.bronze_schema)
         return batches.where(F.col(SEQ) <= (-1 if last is None else last))
 
     def bronze_batch(self, seq: int) -> DataFrame:
@@ -213,7 +213,7 @@ class Store:
 
     def changes(self, after: int | None, upto: int) -> DataFrame:
         """Rows written by the batches after one and up to another."""
-        sets = self._batches("silver/changes", self._stored).where(F.col(SEQ) <= upto)
+        sets = self.batches("silver/changes", self._stored).where(F.col(SEQ) <= upto)
         return sets if after is None else sets.where(F.col(SEQ) > after)
 
     def newest_changes(self, after: int | None, upto: int) -> DataFrame:
@@ -331,7 +331,7 @@ class Store:
         ledger = self.ledger()
         upto = ledger.last("snapshot")
         opened = self.opened(self.silver_stored((-1 if upto is None else upto) + 1, ledger))
-        closed = self._batches("snapshot", opened.schema)
+        closed = self.batches("snapshot", opened.schema)
         closed = closed.where(F.col(SEQ) <= (-1 if upto is None else upto)).drop(SEQ)
         return closed.unionByName(opened)
 

@@ -1,0 +1,95 @@
+"""Counts kept from signed rows, and gapless numbers."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from noticehouse.operators import calendar, deltas, star
+from noticehouse.operators.numbering import numbered
+from noticehouse.plans import maintain
+from noticehouse.sources.store import Store
+from noticehouse.streaming import ingest
+from tests.test_merge import stamp
+from tests.test_store import scanned
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_counts_equal_the_full_rebuild_after_each_batch(spark, spec, tmp_path, messages):
+    rng = random.Random(4)
+    store = Store(spark, str(tmp_path / "kept"), spec, compact_every=6, bucket_rows=20)
+    dates = calendar.dim_date(spark)
+    for batch in range(20):
+        payloads = [
+            {
+                "id": (k := rng.randrange(30)),
+                "rappel_guid": f"g{k}",
+                "numero_version": rng.choice([None, 1, 2, 3, batch]),
+                "marque_produit": rng.choice([None, " ", "a", "b", "c"]),
+                "categorie_produit": rng.choice(["x", "y", None]),
+                "distributeurs": rng.choice(["d", "e", None]),
+                "date_publication": rng.choice(["2024-01-05T00:00:00+00:00", "2024-03-05", "none"]),
+            }
+            for _ in range(rng.randrange(1, 8))
+        ]
+        ingest.ingest_batch(store, messages(*payloads), "s", batch, stamp)
+        if batch % 3 != 1:  # several batches at once now and then
+            maintain.update_counts(store)
+            if batch % 6 and batch != 19:
+                continue
+            silver = store.silver()
+            for dim in spec.fact.dims:
+                counts = maintain.counts(store, dim.name)
+                full = star.dimension(star.staging_view(silver, spec), dim)
+                assert rows_of(deltas.members(counts, dim).select(full.columns)) == rows_of(full)
+                per = deltas.per_value(counts, dim, dim.label)
+                by = silver.groupBy(F.coalesce(F.col(dim.required), F.lit("Unknown")).alias(dim.label))
+                assert rows_of(per) == rows_of(by.agg(F.count("*").alias("n")))
+            months = deltas.per_month(maintain.counts(store, deltas.BY_DAY), dates)
+            want = silver.groupBy(
+                F.year(spec.event_time).alias("year"), F.month(spec.event_time).alias("month")
+            ).agg(F.count("*").alias("n"))
+            assert rows_of(months) == rows_of(want.where("year is not null").select("year", "month", "n"))
+    maintain.update_counts(store)
+    before = rows_of(maintain.counts(store, deltas.BY_DAY))
+    maintain.update_counts(store)
+    assert rows_of(maintain.counts(store, deltas.BY_DAY)) == before
+
+
+def test_a_group_that_loses_its_last_row_is_gone(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, g string")
+    new = spark.createDataFrame([(1, "b"), (2, "b"), (3, None)], "k int, g string")
+    changed = deltas.summed(deltas.signed(old, new).select("g", deltas.SIGN), ["g"])
+    assert sorted(map(tuple, changed.collect()), key=str) == sorted([("a", -1), ("b", 1), (None, 1)], key=str)
+
+
+def test_an_update_reads_change_sets_only(spark, spec, tmp_path, messages):
+    store = Store(spark, str(tmp_path / "read"), spec, compact_every=99, bucket_rows=500, group_rows=50)
+    many = [{"id": k, "rappel_guid": f"g{k}", "numero_version": 1, "marque_produit": "m"} for k in range(2000)]
+    ingest.ingest_batch(store, messages(*many), "s", 0, stamp)
+    store.compact(0)
+    maintain.update_counts(store)
+    ingest.ingest_batch(store, messages({**many[7], "numero_version": 2, "marque_produit": "n"}), "s", 1, stamp)
+    columns = [spec.key, *deltas.grouped_columns(spec)]
+    after = store.newest_changes(0, 1).select(*columns)
+    assert scanned(store.stored_for(after.select(spec.key), 1, columns)) <= 2 * 50 + 2
+    maintain.update_counts(store)
+    brand = next(d for d in spec.fact.dims if d.required == "marque_produit")
+    found = maintain.counts(store, brand.name).collect()
+    assert sorted((r[brand.label], r.n) for r in found) == [("m", 1999), ("n", 1)]
+
+
+@pytest.mark.parametrize("rows", [0, 1, 1000])
+def test_numbers_are_gapless(spark, rows):
+    df = spark.range(rows).select(((F.col("id") * 7919) % 1009).alias("k"), F.col("id").alias("v"))
+    found = numbered(df.repartition(5), ["k", "v"], start=10)
+    want = sorted((r.k, r.v) for r in df.collect())
+    got = [(r.k, r.v) for r in found.orderBy("id").collect()]
+    assert got == want and [r.id for r in found.orderBy("id").collect()] == list(range(10, 10 + rows))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan
+    again = [r.id for r in found.orderBy("k", "v").collect()]
+    assert again == list(range(10, 10 + rows))

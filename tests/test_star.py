@@ -166,6 +166,9 @@ def test_reports(gold, spec, spark):
         fact, gold, (PRODUCT, BRAND), ["nom_produit", "marque_produit"], spec.key, top=2
     )
     assert browse.count() == 2
+    # The fact was read once, for its first rows; what is left reads two dimensions.
+    plan = browse._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LocalRelation") == 3
 
 
 def test_null_dates_come_first_in_recent_notices(silver, spec):

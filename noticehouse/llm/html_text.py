@@ -1,190 +1,41 @@
 """Main text of web pages by differencing pages with near URLs.
 
-Pages are sorted by host and URL path, so that a hot host spreads over many
-partitions, and each is paired with the nearest page of its host that is not a
-copy of it. Their text lines are aligned by a longest common subsequence; what
+Pages are put in order of host and URL path. Each is paired with the nearest page
+before it of its host that is no copy of it, or, at the start of a host, the first
+such after it. Their text lines are aligned by a longest common subsequence; what
 they share is the site's, not the page's, and is deleted. Text the markup itself
 sets apart (scripts, menus, forms, comments and the like) goes in any case, and
-blocks the markup calls an article stay, even where pages quote the same
-passage.
+blocks the markup calls an article stay, even where pages quote the same passage.
+
+Pages whose lines are all the same are one entry of a narrow table: hashes and
+lengths of lines. Entries are numbered in order without gaps, so that neighbours
+meet by number, a hot host is spread evenly, and pairs do not depend on where
+partitions begin. A run of near copies is a group: it begins where an entry is no
+copy of the one before, and pairs with the last entry of the group before it.
 """
 
 from __future__ import annotations
 
-import html
-import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Elements whose content is no text of the page. One that is closed in its own tag
-#: has none; one that is left open ends at the next block, or, if its content is no
-#: markup, at the end of the page.
-_BLOCK_TAGS = (
-    "address|article|aside|blockquote|body|dd|details|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr"
-    "|html|li|main|nav|ol|p|pre|section|table|tbody|td|tr|ul"
-)
-RAW = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>"
-    r"""|<(?:svg|math|iframe|object|canvas|audio|video|template|button|select|textarea|title)"""
-    r"""\b(?:[^<>"']|"[^"]*"|'[^']*')*/>"""
-    r"|<script\b[^<>]*/>(?!(?:(?!<script\b).)*</script)"
-    r"|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(button|select|textarea|title|iframe|noscript)\b[^>]*>"
-    rf"(?:(?:(?!<\2\b).)*?</\2\s*>|.*?(?=</?(?:{_BLOCK_TAGS})\b)|.*\Z)"
-    r"|<(template|svg|object|canvas|audio|video|math)\b[^>]*>"
-    rf"(?:.*?</\3\s*>|.*?(?=</?(?:{_BLOCK_TAGS})\b)|.*\Z)",
-    re.I | re.S,
-)
-TAG = re.compile(
-    r"""(<[/!?]?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|<[/!?]?[a-zA-Z][^<>]*>|<[/!?]?[a-zA-Z][^<>]*\Z)"""
-)
-NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
-MARKS = re.compile(r"""\b(?:class|id|role|aria-label|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
-
-BLOCKS = frozenset(
-    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset"
-    " figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol"
-    " p pre section summary table tbody td tfoot th thead tr ul".split()
-)
-#: Elements that end where the next block begins.
-LOOSE = frozenset("p li dt dd td th tr caption h1 h2 h3 h4 h5 h6".split())
-CONTENT = frozenset("article main".split())
-#: Elements that no class sets apart.
-WHOLE = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
-#: Elements that only a form around a page or its article contains.
-PAGE_PARTS = CONTENT | frozenset("nav header footer h1".split())
-#: Words that in an article name a part of it.
-SECTIONS = frozenset(["discussion"])
-#: Elements without content or an end tag.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that a head holds; any other ends it.
-HEAD = frozenset("base link meta noscript script style template title".split())
-ASIDE = frozenset("aside dialog footer form head menu nav".split())
-#: Words of a class, id or role that mark what is not the article.
-ASIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs cc comment"
-    " comments complementary consent contentinfo cookie cookies copyright dialog disclaimer discussion"
-    " disqus feedback footer form gdpr masthead menu menus modal nav navbar navigation newsletter"
-    " notice notices notification pager pagination popup promo promoted promotion recommended"
-    " related replies reply respond reviews search share sharing sidebar sidebars signup skip"
-    " social sponsor sponsored subscribe subscription tagcloud teaser toolbar topbar widget widgets".split()
-)
-#: Lines of an article, other lines, and lines set apart.
-MAIN, OTHER, APART = 0, 1, 2
+from noticehouse.llm.common import kept, stage
+from noticehouse.llm.html_lines import APART, DOUBT, MAIN, OTHER, lines_of
+from noticehouse.operators.numbering import numbered
+
 #: Pages that share this much of their characters are copies.
 COPY = 0.9
+#: Entries whose groups are looked for together.
+BLOCK = 1 << 16
 
-#: Text and kind of a line.
-Line = tuple[str, int]
-
-
-def _apart(name: str, tag: str, in_article: bool, holds_article: bool) -> bool:
-    if name in ASIDE or (name == "header" and not in_article):
-        return True
-    if name in WHOLE or holds_article:
-        return False
-    for value in MARKS.findall(tag) if "=" in tag else ():
-        words = {w.lower() for w in SPLIT.split(value) if w} | set(re.findall("[a-z]+", value.lower()))
-        if words & ASIDE_WORDS - (SECTIONS if in_article else frozenset()):
-            return True
-    return False
-
-
-def _around(parts: list[str]) -> tuple[set[int], set[int]]:
-    """Places of the start tags whose elements contain an article or main, and of
-    forms around a page or a part of it."""
-    open_: list[tuple[str, int]] = []
-    holding: set[int] = set()
-    forms: set[int] = set()
-    for at in range(1, len(parts), 2):
-        part = parts[at]
-        named = NAME.match(part)
-        if not named:
-            continue
-        name = named[1].lower()
-        if part[1] == "/":
-            if any(n == name for n, _ in open_):
-                while open_.pop()[0] != name:
-                    pass
-            continue
-        if name in CONTENT:
-            for _, place in reversed(open_):
-                if place in holding:
-                    break  # and so are those around it
-                holding.add(place)
-        if name in PAGE_PARTS:
-            forms.update(place for n, place in open_ if n == "form")
-        if name not in VOID and name not in LOOSE and not part.endswith("/>"):
-            open_.append((name, at))
-    return holding, forms
-
-
-def lines_of(page: str) -> list[Line]:
-    """The blocks of a page in order, references decoded and white space single."""
-    parts = TAG.split(RAW.sub("", page))
-    holding, forms = _around(parts)
-    open_: list[tuple[str, int]] = []
-    kind, found, held = OTHER, [], []
-
-    def flush() -> None:
-        if held:
-            text = " ".join(html.unescape("".join(held)).split())
-            if text:
-                found.append((text, kind))
-            held.clear()
-
-    for at, part in enumerate(parts):
-        if not at % 2:
-            if part:
-                held.append(part)
-            continue
-        named = NAME.match(part)
-        if not named:
-            continue
-        name = named[1].lower()
-        if name == "br":
-            held.append(" ")
-            continue
-        block = name in BLOCKS
-        if block:
-            flush()
-        if part[1] == "/":
-            if any(n == name for n, _ in open_):
-                if not block:
-                    flush()
-                while open_.pop()[0] != name:
-                    pass
-                kind = open_[-1][1] if open_ else OTHER
-            continue
-        if name in VOID or part.endswith("/>"):
-            continue
-        if open_ and open_[-1][0] == "head" and name not in HEAD:
-            flush()
-            open_.pop()
-            kind = open_[-1][1] if open_ else OTHER
-        if block:
-            while open_ and open_[-1][0] in LOOSE and (name in LOOSE or open_[-1][0] == "p"):
-                if name in ("td", "th") and open_[-1][0] == "tr":
-                    break
-                if open_[-1][0] in ("li", "dd", "td", "th") and name == "p":
-                    break
-                open_.pop()
-            kind = open_[-1][1] if open_ else OTHER
-        if kind != APART and at not in forms and _apart(name, part, kind == MAIN, at in holding):
-            if not block:
-                flush()
-            open_.append((name, APART))
-        elif block:
-            open_.append((name, MAIN if name in CONTENT and kind != APART else kind))
-        else:
-            continue
-        kind = open_[-1][1]
-    flush()
-    return found
+#: Two hashes that stand for all lines of a page.
+CLASS = ["host", "c1", "c2"]
+KEYS = "page_id bigint, url string, host string, path string, c1 bigint, c2 bigint"
 
 
 def shared_lines(a: list[str], b: list[str]) -> set[int]:
@@ -224,85 +75,161 @@ def shared_lines(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
-class Page:
-    def __init__(self, page_id, url, host, source: str):
-        self.page_id, self.url, self.host = page_id, url, host
-        self.lines = lines_of(source)
-        self.texts = [t for t, _ in self.lines]
-
-    def copies(self, other: Page) -> bool:
-        """Whether nearly all the page's text is the other's too."""
-        shared = shared_lines(self.texts, other.texts)
-        own = [k for k, (_, kind) in enumerate(self.lines) if kind != APART]
-        size = sum(len(self.texts[k]) for k in own)
-        return bool(size) and sum(len(self.texts[k]) for k in own if k in shared) >= COPY * size
-
-    def row(self, near: Page | None) -> tuple:
-        shared = shared_lines(self.texts, near.texts) if near else set()
-        kept = [
-            text
-            for k, (text, kind) in enumerate(self.lines)
-            if kind == MAIN or kind == OTHER and k not in shared
+def is_copy(own: list[int], lengths: list[int], kinds: list[int], other: list[int]) -> bool:
+    """Whether nearly all of a page's text is the other's too."""
+    shared = shared_lines(own, other)
+    places = [k for k, kind in enumerate(kinds) if kind != APART]
+    size = sum(lengths[k] for k in places)
+    return bool(size) and sum(lengths[k] for k in places if k in shared) >= COPY * size
+
+
+def _hash(text: str) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))).astype(np.int64))
+
+
+def _parse(texts: bool):
+    """Pages to lines: their texts, or hashes and lengths of them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept("pages", dict)  # no model of an earlier stage is needed
+        for batch in batches:
+            rows, size = [], 0
+            for page_id, url, host, path, source in zip(
+                batch["page_id"].astype("Int64"), batch["url"], batch["host"], batch["path"], batch["html"]
+            ):
+                lines = lines_of(source)
+                kinds = [k for _, k in lines]
+                hashes = [_hash(t) for t, _ in lines]
+                own = repr((hashes, kinds))
+                body = [t for t, _ in lines] if texts else [len(t) for t, _ in lines]
+                row = (page_id, url, host, path, _hash(own), _hash(own + "2"), kinds, body)
+                rows.append(row if texts else (*row, hashes))
+                size += len(source)
+                if size >= 8 << 20:
+                    yield _frame(rows)
+                    rows, size = [], 0
+            if rows:
+                yield _frame(rows)
+
+    return run
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    names = ["page_id", "url", "host", "path", "c1", "c2", "kinds", "body", "hashes"][: len(rows[0])]
+    made = pd.DataFrame(rows, columns=names)
+    return made.astype({"page_id": "Int64", "url": object, "host": object, "path": object})
+
+
+def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whether each entry begins a group, beside the entry before it."""
+    for batch in batches:
+        begins = [
+            before is None
+            or not is_copy(own.tolist(), lengths.tolist(), kinds.tolist(), before.tolist())
+            for own, lengths, kinds, before in zip(
+                batch["hashes"], batch["body"], batch["kinds"], batch["before"]
+            )
         ]
-        text = "\n".join(kept)
-        return self.page_id, self.url, text, len(text)
-
-
-def difference(pages: Iterator[tuple]) -> Iterator[tuple]:
-    """Rows of pages in URL order, each read against the nearest before it that is
-    no copy of it, or, at the start of a host, the first such after it."""
-    leader = before = None
-    waiting: list[Page] = []
-    for page in (Page(*p) for p in pages):
-        if leader is None or page.host != leader.host:
-            yield from (p.row(None) for p in waiting)
-            leader, before, waiting = page, None, [page]
-            continue
-        if not page.copies(leader):
-            yield from (p.row(page) for p in waiting)
-            waiting = []
-            before, leader = leader, page
-        if before:
-            yield page.row(before)
-        else:
-            waiting.append(page)
-    yield from (p.row(None) for p in waiting)
+        yield pd.DataFrame({"id": batch["id"], "begins": begins, "alone": batch["before"].isna()})
+
+
+def _stays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Places of the lines that stay, beside the entry's partner."""
+    for batch in batches:
+        places = []
+        for own, kinds, other in zip(batch["hashes"], batch["kinds"], batch["other"]):
+            shared = shared_lines(own.tolist(), other.tolist()) if other is not None else set()
+            places.append(
+                [
+                    k
+                    for k, kind in enumerate(kinds.tolist())
+                    if kind == MAIN or kind in (OTHER, DOUBT) and k not in shared
+                ]
+            )
+        yield batch[CLASS].assign(places=places)
+
+
+def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        texts = [
+            "\n".join(lines[k] for k in places.tolist()) for lines, places in zip(batch["body"], batch["places"])
+        ]
+        made = pd.DataFrame({"text": texts, "n_chars": [len(t) for t in texts]})
+        made.insert(0, "url", batch["url"].to_numpy())
+        made.insert(0, "page_id", batch["page_id"].astype("Int64").to_numpy())
+        yield made.astype({"page_id": "Int64", "url": object})
+
+
+def _partners(begun: DataFrame) -> DataFrame:
+    """``id`` and ``partner``: the last entry of the group before, or the first one of
+    the group after, in the same host; null without one.
+
+    Blocks of numbers carry the last group begun before them and the first one begun
+    after them, a row per block.
+    """
+    block = F.floor(F.col("id") / BLOCK).alias("block")
+    start = F.when(F.col("begins"), F.struct("id", "alone"))
+    marked = begun.select("id", block, start.alias("start"))
+    blocks = marked.groupBy("block").agg(F.max("start").alias("last"), F.min("start").alias("first"))
+    order = Window.orderBy("block")
+    ends = Window.unboundedPreceding, Window.unboundedFollowing
+    carried = blocks.select(
+        "block",
+        F.max("last").over(order.rowsBetween(ends[0], -1)).alias("carried"),
+        F.min("first").over(order.rowsBetween(1, ends[1])).alias("coming"),
+    )
+    within = Window.partitionBy("block").orderBy("id")
+    found = marked.join(F.broadcast(carried), "block").select(
+        "id",
+        F.coalesce(F.max("start").over(within.rowsBetween(ends[0], 0)), "carried").alias("own"),
+        F.coalesce(F.min("start").over(within.rowsBetween(1, ends[1])), "coming").alias("next"),
+    )
+    after = F.when(~F.col("next.alone"), F.col("next.id"))
+    partner = F.when(F.col("own.alone"), after).otherwise(F.col("own.id") - 1)
+    return found.select("id", partner.alias("partner"))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` (blocks joined by a newline) and ``n_chars``.
 
     A null page is empty; a null URL is the host without a name; repeated rows
-    are copies. A page without a partner in its partition loses only what its
-    markup sets apart. An empty table gives no row.
+    are copies. A page without a partner in its host loses only what its markup sets
+    apart. An empty table gives no row. Other columns are not read.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                ids = batch["page_id"].astype("Int64")
-                yield from zip(ids, batch["url"], batch["host"], batch["html"])
-
-        names, held, size = ["page_id", "url", "text", "n_chars"], [], 0
-        for row in difference(rows()):
-            held.append(row)
-            size += row[3]
-            if size >= 4 << 20 or len(held) >= 2000:
-                yield pd.DataFrame(held, columns=names).astype({"page_id": "Int64"})
-                held, size = [], 0
-        if held:
-            yield pd.DataFrame(held, columns=names).astype({"page_id": "Int64"})
-
     url = F.coalesce("url", F.lit(""))
-    ordered = (
-        pages.select(
-            F.col("page_id").cast("bigint").alias("page_id"),
-            "url",
-            F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"),
-            F.regexp_extract(url, r"^(?:[^/?#]*:)?(?://[^/?#]*)?([^?#]*)", 1).alias("path"),
-            F.coalesce("html", F.lit("")).alias("html"),
-        )
-        .repartitionByRange("host", "path", "page_id")
-        .sortWithinPartitions("host", "path", "page_id", "url")
+    source = pages.select(
+        F.col("page_id").cast("bigint").alias("page_id"),
+        "url",
+        F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)", 1)).alias("host"),
+        F.regexp_extract(url, r"^(?:[^/?#]*:)?(?://[^/?#]*)?([^?#]*)", 1).alias("path"),
+        F.coalesce("html", F.lit("")).alias("html"),
+    )
+    narrow = source.mapInPandas(
+        _parse(False), f"{KEYS}, kinds array<int>, body array<bigint>, hashes array<bigint>"
+    )
+    first = F.min(F.struct("path", F.col("page_id").isNull().alias("no_id"), "page_id")).alias("first")
+    same = [F.any_value(c).alias(c) for c in ("kinds", "body", "hashes")]
+    classes = narrow.groupBy(*CLASS).agg(first, *same).select("*", "first.path", "first.no_id", "first.page_id")
+    order: list[Column | str] = ["host", "path", "no_id", "page_id", "c1", "c2"]
+    entries = numbered(classes.drop("first"), order)
+    before = entries.select((F.col("id") + 1).alias("id"), F.col("host").alias("of"), F.col("hashes").alias("before"))
+    neighbour = F.when(F.col("of") == F.col("host"), F.col("before")).alias("before")
+    begun = (
+        entries.join(before, "id", "left")
+        .select("id", "kinds", "body", "hashes", neighbour)
+        .mapInPandas(_compare, "id bigint, begins boolean, alone boolean")
+    )
+    partners = _partners(stage(begun, "page-groups"))
+    others = entries.select(F.col("id").alias("partner"), F.col("hashes").alias("other"))
+    met = entries.join(partners, "id").join(others, "partner", "left")
+    stays = met.select(*CLASS, "kinds", "hashes", "other").mapInPandas(
+        _stays, "host string, c1 bigint, c2 bigint, places array<int>"
+    )
+    stays = stage(stays, "page-lines")
+    lines = source.mapInPandas(_parse(True), f"{KEYS}, kinds array<int>, body array<string>")
+    return (
+        lines.select("page_id", "url", *CLASS, "body")
+        .join(stays, CLASS)
+        .select("page_id", "url", "body", "places")
+        .mapInPandas(_write, "page_id bigint, url string, text string, n_chars bigint")
     )
-    return ordered.mapInPandas(run, "page_id bigint, url string, text string, n_chars bigint")

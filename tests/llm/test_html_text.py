@@ -1,10 +1,12 @@
 import random
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
 
 from noticehouse.llm import html_text
-from noticehouse.llm.html_text import MAIN, OTHER, lines_of, shared_lines
+from noticehouse.llm.html_lines import DOUBT, MAIN, OTHER, lines_of
+from noticehouse.llm.html_text import shared_lines
 
 LINES = st.lists(st.sampled_from("abcde"), max_size=14)
 
@@ -28,7 +30,7 @@ def test_shared_lines_are_a_longest_common_subsequence(a, b):
 
 
 def text(page):
-    return [t for t, kind in lines_of(page) if kind in (MAIN, OTHER)]
+    return [t for t, kind in lines_of(page) if kind in (MAIN, OTHER, DOUBT)]
 
 
 @pytest.mark.parametrize(
@@ -115,16 +117,84 @@ def test_a_long_page(spark):
     assert extracted(spark, rows)[1] == "\n".join(f"{x} 1" for x in body)
 
 
-def test_a_hot_host_spreads_over_partitions(spark):
-    rows = [(k, f"http://hot.example/{k:05}", f"<nav>m</nav><p>own {k}</p>") for k in range(400)]
-    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+def brute(rows):
+    """Pages in order, one by one: copies of all lines are one entry, groups begin
+    where an entry is no copy of the one before."""
+    parsed = {i: lines_of(source or "") for i, _, source in rows}
+    host = {i: (u or "").split("//")[-1].split("/")[0] for i, u, _ in rows}
+    path = {i: "/" + "/".join((u or "").split("//")[-1].split("/")[1:]) for i, u, _ in rows}
+    first = {}
+    for i in sorted(parsed, key=lambda i: (host[i], path[i], i)):
+        first.setdefault((host[i], tuple(parsed[i])), i)
+    entries = sorted(first.values(), key=lambda i: (host[i], path[i], i))
+    groups = []
+    for k, i in enumerate(entries):
+        before = entries[k - 1] if k and host[entries[k - 1]] == host[i] else None
+        own, kinds = [t for t, _ in parsed[i]], [kind for _, kind in parsed[i]]
+        other = [t for t, _ in parsed[before]] if before is not None else None
+        if before is None or not html_text.is_copy(own, list(map(len, own)), kinds, other):
+            groups.append([])
+        groups[-1].append(i)
+    texts = {}
+    for k, group in enumerate(groups):
+        near = [g for g in (groups[k - 1][-1:] if k else []) if host[g] == host[group[0]]]
+        near = near or [g for g in (groups[k + 1][:1] if k + 1 < len(groups) else []) if host[g] == host[group[0]]]
+        other = [t for t, _ in parsed[near[0]]] if near else []
+        for i in group:
+            shared = shared_lines([t for t, _ in parsed[i]], other)
+            texts[host[i], tuple(parsed[i])] = "\n".join(
+                t for n, (t, kind) in enumerate(parsed[i])
+                if kind == MAIN or kind in (OTHER, DOUBT) and n not in shared
+            )
+    return {i: texts[host[i], tuple(parsed[i])] for i in parsed}
+
+
+@pytest.mark.parametrize("parts", [1, 4, 64])
+def test_partitions_change_nothing(spark, parts, monkeypatch):
+    """Copies, near copies and hosts, dealt over any number of partitions."""
+    monkeypatch.setattr(html_text, "BLOCK", 16)
+    rng = random.Random(8)
+    rows = []
+    for k in range(150):
+        host = rng.choice(["hot.example"] * 3 + ["b.example", "c.example"])
+        kind = rng.randrange(4)
+        long = " ".join(["the same long passage in all copies"] * 9)
+        own = {0: long, 1: f"{long}</p><p>{k}", 2: f"own {k} text", 3: f"other {k} text"}[kind]
+        rows.append((k, f"http://{host}/{k:04}", f"<p>Site of {host}</p><p>{own}</p><p>About us</p><nav>m</nav>"))
+    held = {n: spark.conf.get(n) for n in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        found = html_text.extract_text(df)
-        assert found.rdd.getNumPartitions() > 1
-        assert {r["text"] for r in found.collect()} == {f"own {k}" for k in range(400)}
+        assert extracted(spark, rows) == brute(rows)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        for name, value in held.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<svg><p>x</p>", "<a <b ", '<a "', "<a '\"", "<b><i></u>", "<script>", "<!--x", "<button>y", "</p <", "<form><h1>",
+     "<article><div>", "<", "<a href=x", "<title>", "<p class='notice'>", "<script src=a/>", "&amp", "<![CDATA["],
+)
+def test_broken_markup_takes_time_in_proportion(part):
+    page = part * ((1 << 20) // len(part))
+    start = time.process_time()
+    lines_of(page)
+    assert time.process_time() - start < 8
+
+
+def test_an_article_keeps_what_classes_only_suggest(spark):
+    page = (
+        "<article><p>One <a class='share'>word</a> of it</p><div class='dialog'><p>Who is there?</p></div>"
+        "<ul class='menu'><li>Soup of the day</li></ul><div class='notice-board'>A board {k}</div>"
+        "<ul class='menu'><li><a href=x>Home</a></li></ul><div class='notice'>Shared notice</div></article>"
+    )
+    assert text(page) == [
+        "One word of it", "Who is there?", "Soup of the day", "A board {k}", "Shared notice",
+    ]
+    rows = [(k, f"http://a.example/{k}", page.replace("{k}", str(k)) + f"<p>own {k} and much more of it</p>") for k in (1, 2)]
+    found = extracted(spark, rows)[1].split("\n")
+    assert "A board 1" in found and "One word of it" in found and "Shared notice" not in found
 
 
 @pytest.mark.parametrize(

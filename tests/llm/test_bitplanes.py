@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, strategies as st
 from tokenizers import Tokenizer
 
@@ -46,7 +47,11 @@ def test_documents_come_back_in_order(documents, clashing, bits):
     read = bitplanes.token_files(docs, tokenizer_file(), bits=bits, block_ids=64, file_ids=100)
     rows = sorted(read.collect(), key=lambda r: r["start"])
     expected, start = [], 0
-    for doc_id, text in sorted(texts, key=lambda t: (t[0] is not None, t[0] or 0, t[1] or "")):
+    def order(row):
+        tie = np.uint64(xxhash.xxh64_intdigest((row[1] or "").encode(), 42)).astype(np.int64)
+        return row[0] is not None, row[0] or 0, tie
+
+    for doc_id, text in sorted(texts, key=order):
         ids = LIBRARY.encode(text or "", add_special_tokens=False).ids + [2]
         expected.append((doc_id, start, len(ids), ids))
         start += len(ids)
@@ -66,5 +71,18 @@ def test_files_of_a_failed_attempt_are_not_read(spark, documents):
     assert sorted(r["doc_id"] for r in found.collect()) == [0, 1]
 
 
+def test_rows_without_an_id_are_spread(spark, documents):
+    docs = documents(*((None, f"text {k}") for k in range(4000)), *((7, f"other {k}") for k in range(2000)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = bitplanes.write_token_files(docs, scratch_path(spark, "files"), tokenizer_file(), 2)
+        parts = {r["part"]: r["n_docs"] for r in manifest.collect()}
+        assert len(parts) == 4 and max(parts.values()) < 2500
+        starts = [r["start"] for r in bitplanes.token_files(docs, tokenizer_file()).collect()]
+        assert len(set(starts)) == 6000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_no_documents_no_files(documents):
     assert bitplanes.token_files(documents(), tokenizer_file()).collect() == []

@@ -15,7 +15,6 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -54,16 +53,19 @@ def window_hashes(ids: np.ndarray, width: int) -> np.ndarray:
     return value
 
 
-def tile(runs: list[Tile], least: int) -> list[Tile]:
+def tile(runs: list[Tile], least: int, item_size: int | None = None) -> list[Tile]:
     """Greedy tiles from the maximal runs common to two sequences.
 
     Longest first; ties by position in the document, then in the item. A run that
-    meets marked words is cut into its unmarked parts and tried again.
+    meets marked words is cut into its unmarked parts and tried again. Where fewer
+    words of the item are left than a tile needs, there are no more.
     """
     heap = [(-n, d, t) for d, t, n in runs]
     heapq.heapify(heap)
     doc_marks, item_marks, tiles = set(), set(), []
     while heap:
+        if item_size is not None and item_size - len(item_marks) < least:
+            break
         n, d, t = heapq.heappop(heap)
         n = -n
         free = [d + k not in doc_marks and t + k not in item_marks for k in range(n)]
@@ -83,6 +85,25 @@ def tile(runs: list[Tile], least: int) -> list[Tile]:
     return tiles
 
 
+def spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of many ranges in a row, and the range of each."""
+    sizes = np.maximum(ends - starts, 0)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    first = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) - first[owner] + starts[owner], owner
+
+
+def prefix_sums(ids: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """Karp-Rabin sums of all beginnings of a sequence, modulo 2^64."""
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(ids * powers[: len(ids)], dtype=np.uint64)])
+
+
+def powers_of(base: np.uint64, count: int) -> np.ndarray:
+    steps = np.full(count + 1, base)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
 class Benchmark:
     """Test items of one block, indexed by their seeds."""
 
@@ -107,43 +128,104 @@ class Benchmark:
         self.seeds = joined[order]
         self.owners = np.concatenate(owners)[order] if owners else order
         self.places = np.concatenate(places)[order] if places else order
-
-    def runs(self, text: str | None) -> dict[int, list[Tile]]:
-        """By item: the maximal runs of words it has in common with a text."""
-        get = self.numbers.get
+        self.sizes = np.array([len(i) for i in self.items], np.int64)
+        # All items in a row, for comparing stretches of any of them at once.
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.words = np.concatenate(self.items) if self.items else np.zeros(0, np.uint64)
+        self.powers = powers_of(BASE, len(self.words))
+        self.sums = prefix_sums(self.words, self.powers)
+
+    def candidates(self, hashes: np.ndarray, coverage: float) -> tuple[np.ndarray, ...]:
+        """Item, place and seed number of the seeds that a text shares with those items
+        which its seeds could cover far enough, whatever their order.
+
+        A seed of very many items costs its entries once per text, however often the
+        text has it.
+        """
+        seeds = np.unique(hashes)
+        low = np.searchsorted(self.seeds, seeds, "left")
+        entry, seed = spread(low, np.searchsorted(self.seeds, seeds, "right"))
+        item, place = self.owners[entry], self.places[entry]
+        order = np.lexsort((place, item))
+        item, place, seed = item[order], place[order], seed[order]
+        new = np.diff(item, prepend=-1) != 0
+        fresh = np.where(new, self.width, np.minimum(np.diff(place, prepend=0), self.width))
+        covered = np.bincount(item, fresh, minlength=len(self.items))
+        likely = (covered >= coverage * self.sizes)[item]
+        return item[likely], place[likely], seeds[seed[likely]]
+
+    def runs(self, text: str | None, coverage: float = 0.0) -> dict[int, list[Tile]]:
+        """By item: the maximal runs of words it has in common with a text.
+
+        A run begins at a shared seed before which the words differ, so that only runs
+        are listed and not the pairs of places inside them; its length is found by
+        halving, with Karp-Rabin sums.
+        """
+        get, width = self.numbers.get, self.width
         ids = np.array([get(w, 0) for w in words_of(text)], np.uint64)
-        hashes = window_hashes(ids, self.width)
+        hashes = window_hashes(ids, width)
         if not len(hashes) or not len(self.seeds):
             return {}
         known = np.concatenate([[0], np.cumsum(ids > 0)])
-        whole = known[self.width :] - known[: -self.width] == self.width
-        at = np.flatnonzero(whole)
-        low = np.searchsorted(self.seeds, hashes[at], "left")
-        high = np.searchsorted(self.seeds, hashes[at], "right")
-        hits = high > low
-        joined: dict[tuple[int, int], list[int]] = {}
-        for d, a, b in zip(at[hits].tolist(), low[hits].tolist(), high[hits].tolist()):
-            for k in range(a, b):
-                item, t = int(self.owners[k]), int(self.places[k])
-                same = self.items[item][t : t + self.width] == ids[d : d + self.width]
-                if same.all():
-                    joined.setdefault((item, d - t), []).append(d)
-        found: dict[int, list[Tile]] = {}
-        for (item, shift), places in joined.items():
-            start = last = places[0]
-            for d in [*places[1:], None]:
-                if d is not None and d == last + 1:
-                    last = d
-                    continue
-                run = (start, start - shift, last - start + self.width)
-                found.setdefault(item, []).append(run)
-                start = last = d
-        return found
+        at = np.flatnonzero(known[width:] - known[:-width] == width)
+        near = np.minimum(np.searchsorted(self.seeds, hashes[at]), len(self.seeds) - 1)
+        at = at[self.seeds[near] == hashes[at]]
+        if not len(at):
+            return {}
+        item, place, seed = self.candidates(hashes[at], coverage)
+        if not len(item):
+            return {}
+        # The text's places by seed and by the word before.
+        before = np.where(at > 0, ids[at - 1].astype(np.int64), -1)
+        order = np.lexsort((before, hashes[at]))
+        at, before, by_seed = at[order], before[order], hashes[at][order]
+        whole = self.starts[item] + place
+        prior = np.where(place > 0, self.words[whole - 1].astype(np.int64), -2)
+        low, high = np.searchsorted(by_seed, seed, "left"), np.searchsorted(by_seed, seed, "right")
+        words = np.unique(before)
+        ranks, wanted = np.searchsorted(words, before), np.searchsorted(words, prior)
+        found = np.append(words, -3)[wanted] == prior
+        group = np.cumsum(np.diff(by_seed, prepend=~by_seed[:1]) != 0)
+        keys, step = group * (len(before) + 1) + ranks, len(before) + 1
+        own = np.where(low < len(at), group[np.minimum(low, len(at) - 1)], 0) * step + wanted
+        same_low = np.where(found, np.searchsorted(keys, own, "left"), high)
+        same_high = np.where(found, np.searchsorted(keys, own, "right"), high)
+        first, owner_a = spread(low, np.minimum(same_low, high))
+        second, owner_b = spread(np.maximum(same_high, low), high)
+        doc = at[np.concatenate([first, second])]
+        owner = np.concatenate([owner_a, owner_b])
+        lengths = self._lengths(ids, doc, whole[owner], self.sizes[item[owner]] - place[owner])
+        good = lengths >= width
+        runs: dict[int, list[Tile]] = {}
+        rows = zip(item[owner][good].tolist(), doc[good].tolist(), place[owner][good].tolist(), lengths[good].tolist())
+        for number, d, t, n in rows:
+            runs.setdefault(number, []).append((d, t, n))
+        return runs
+
+    def _lengths(self, ids: np.ndarray, doc: np.ndarray, whole: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """How many words go on alike from places of the text and of the items."""
+        powers = self.powers if len(ids) < len(self.powers) else powers_of(BASE, len(ids))
+        sums = prefix_sums(ids, powers)
+        low, high = np.zeros(len(doc), np.int64), np.minimum(len(ids) - doc, rest)
+        while (low < high).any():
+            middle = (low + high + 1) >> 1
+            mine = (sums[doc + middle] - sums[doc]) * powers[whole]
+            theirs = (self.sums[whole + middle] - self.sums[whole]) * powers[doc]
+            alike = mine == theirs
+            low, high = np.where(alike, middle, low), np.where(alike, high, middle - 1)
+        # Seeds are compared word by word.
+        for k in range(self.width):
+            in_both = low > k
+            wrong = in_both.copy()
+            wrong[in_both] = ids[doc[in_both] + k] != self.words[whole[in_both] + k]
+            low[wrong] = k
+        return low
 
     def matches(self, text: str | None, coverage: float) -> Iterator[tuple]:
-        for item, runs in self.runs(text).items():
-            tiles = tile(runs, self.width)
-            size, tiled = len(self.items[item]), sum(n for _, _, n in tiles)
+        for item, runs in self.runs(text, coverage).items():
+            size = len(self.items[item])
+            tiles = tile(runs, self.width, size)
+            tiled = sum(n for _, _, n in tiles)
             if tiled >= coverage * size:
                 yield self.keys[item], tiled / size, size, tiled, sorted(tiles)
 
@@ -191,7 +273,16 @@ def contaminated(
 
         return bodies.mapInPandas(find, FOUND)
 
-    return reduce(DataFrame.unionByName, map(search, blocks_of(benchmark, block_chars)))
+    found, blocks = None, 0
+    for block in blocks_of(benchmark, block_chars):
+        here, blocks = search(block), blocks + 1
+        if blocks == 1:
+            found = here
+            continue
+        # Written before the next, so that one block at a time is held here.
+        found = stage(found, "tiles") if blocks == 2 else found
+        found = found.unionByName(stage(here, "tiles"))
+    return found
 
 
 def decontaminate(

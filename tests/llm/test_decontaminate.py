@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -91,6 +92,45 @@ def test_blocks_change_nothing(spark, documents):
     assert rows(1 << 20) == rows(300) and len(rows(300)) >= 58
 
 
+def timed(index, text, coverage=0.5):
+    start = time.process_time()
+    return list(index.matches(text, coverage)), time.process_time() - start
+
+
+def test_hot_seeds_cost_no_more_than_their_runs():
+    """Equal words, and an opening that very many items share."""
+    found, seconds = timed(Benchmark([(1, "same " * 400)]), "same " * 20_000)
+    assert [(m[0], m[3]) for m in found] == [(1, 400)] and seconds < 4
+    opening = "an opening that all of the many items share word for word"
+    items = [(k, f"{opening} " + " ".join(f"own{k}x{n}" for n in range(30))) for k in range(5000)]
+    text = " and ".join([opening] * 100)
+    found, seconds = timed(Benchmark(items), text)
+    assert found == [] and seconds < 4
+    found, seconds = timed(Benchmark(items), f"{text} {items[77][1]} {items[4321][1]}")
+    assert [m[0] for m in found] == [77, 4321] and seconds < 4
+
+
+def test_runs_are_all_maximal_common_stretches():
+    chance = random.Random(4)
+    for _ in range(150):
+        items = [(k, " ".join(chance.choices("abc", k=chance.randrange(3, 30)))) for k in range(5)]
+        doc = chance.choices("abcd", k=chance.randrange(60))
+        expected = {}
+        for k, text in items:
+            item = text.split()
+            for d in range(len(doc)):
+                for t in range(len(item)):
+                    if d and t and doc[d - 1] == item[t - 1]:
+                        continue
+                    n = 0
+                    while d + n < len(doc) and t + n < len(item) and doc[d + n] == item[t + n]:
+                        n += 1
+                    if n >= 3:
+                        expected.setdefault(k, set()).add((d, t, n))
+        found = Benchmark(items, 3).runs(" ".join(doc))
+        assert {k: set(v) for k, v in found.items()} == expected
+
+
 @pytest.mark.parametrize("empty", ["docs", "items"])
 def test_empty_tables(spark, documents, empty):
     items = spark.createDataFrame([] if empty == "items" else [(1, ITEM)], "item_id bigint, text string")

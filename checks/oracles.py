@@ -429,6 +429,11 @@ ORACLES: dict[str, str] = {
         for f in feed.FIELDS
     )
     + ", raw_json, batch_no from notice",
+    "payload_drift": "select batch_no, field, kind, count(*) as messages, case when field = 'motif_rappel'"
+    " then 'unknown' when field = 'libelle' and kind = 'string' then 'changed' else 'known' end as status from"
+    " (select batch_no, field, case json_type(raw_json, '$.' || field) when 'NULL' then 'null'"
+    " when 'VARCHAR' then 'string' when 'ARRAY' then 'array' else 'number' end as kind from"
+    " (select batch_no, raw_json, unnest(json_keys(raw_json)) as field from notice)) group by 1, 2, 3",
     "normalize_text": f"select id, batch_no, {', '.join([*TEXT, *VERBATIM])} from clean",
     "cast_dates": f"select id, batch_no, {shown([*TIMES, DATES[0], END, DATES[2]])} from clean",
     "array_to_json": "select id, batch_no, identification_produits from notice",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from noticehouse.operators import (
     cursor,
     dedup,
     deltas,
+    drift,
     history,
     merge,
     quality,
@@ -196,6 +197,19 @@ def parse_messages(spark, sf_dir):
     )
 
 
+@query
+def payload_drift(spark, sf_dir):
+    """All fields of the messages with their kinds, and how they stand to a schema that
+    lacks one field and has declared another as a number."""
+    changed = [
+        T.StructField(f.name, T.IntegerType()) if f.name == "libelle" else f
+        for f in SPEC.schema
+        if f.name != "motif_rappel"
+    ]
+    feed_spec = replace(SPEC, schema=T.StructType(changed))
+    return drift.payload_fields(feed.messages(spark, sf_dir), feed_spec, BATCH)
+
+
 @query
 def normalize_text(spark, sf_dir):
     parsed = clean.parse_messages(feed.messages(spark, sf_dir), SPEC, BATCH)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -93,10 +96,45 @@ def advance(records: DataFrame, moment: Column, cursor: str, **limits: int) -> A
     return Advance(row.next_cursor, row.status == ADVANCED)
 
 
-def pages(records: DataFrame, moment: Column, cursor: str, **limits: int) -> list[Row]:
+def day_counts(records: DataFrame, moment: Column) -> DataFrame:
+    """``day``, its rows, and those at its very start, which a pull from that day
+    leaves out. A row per day, however many records there are."""
+    counted = records.select(moment.alias("_at")).where(F.col("_at").isNotNull())
+    moment, day = F.col("_at"), F.col("_at").cast("date")
+    at_start = F.count_if(moment == day.cast("timestamp_ntz"))
+    return counted.groupBy(day.alias("day")).agg(F.count("*").alias("n"), at_start.alias("at_start"))
+
+
+def pages(
+    records: DataFrame,
+    moment: Column,
+    cursor: str,
+    limit: int = PULL_LIMIT,
+    overlap_days: int = OVERLAP_DAYS,
+) -> list[Row]:
     """The status rows of a capped pull from its first page to its last, or to the
-    one where it is stuck."""
-    found = [pull_status(records, moment, cursor, **limits).first()]
-    while found[-1].status == ADVANCED:
-        found.append(pull_status(records, moment, found[-1].next_cursor, **limits).first())
-    return found
+    one where it is stuck.
+
+    The records are read once, for all pages: where a page ends follows from the
+    number of records per day.
+    """
+    counted = sorted(day_counts(records, moment).collect())
+    days = [r.day for r in counted]
+    before = [0, *accumulate(r.n for r in counted)]
+    shape = Row("cursor", "pulled", "status", "next_cursor")
+    found: list[Row] = []
+    while True:
+        start = dt.date.fromisoformat(cursor)
+        at = bisect_left(days, start)
+        left_out = counted[at].at_start if at < len(days) and days[at] == start else 0
+        skipped = before[at] + left_out
+        pulled = min(limit, before[-1] - skipped)
+        if pulled < limit:
+            return [*found, shape(cursor, pulled, EXHAUSTED, cursor)]
+        last = days[bisect_left(before, skipped + limit) - 1] if limit else start
+        following = (last - dt.timedelta(overlap_days)).isoformat()
+        status = STUCK if following <= cursor else ADVANCED
+        found.append(shape(cursor, pulled, status, following))
+        if status == STUCK:
+            return found
+        cursor = following

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -39,20 +39,37 @@ def row_counts(store: Store) -> dict[str, int | None]:
     return dict.fromkeys(audit.LAYERS) | {r.layer: r.row_count for r in counted}
 
 
-def run_steps(steps: Sequence[Step]) -> Run:
-    """Run in order; after a failure the rest is marked and left out."""
+def run_steps(
+    steps: Sequence[Step],
+    done: Collection[str] = (),
+    record: Callable[[str, str], object] | None = None,
+    retries: int = 0,
+) -> Run:
+    """Run in order; after a failure the rest is marked and left out.
+
+    Steps ``done`` before are not run again. Every state is recorded as soon as it
+    is known, so that a run cut off by anything goes on where it stopped.
+    """
     states: dict[str, str] = {}
     failure = None
     for name, action in steps:
         if failure is not None:
             states[name] = "upstream_failed"
             continue
-        try:
-            action()
+        if name in done:
             states[name] = audit.SUCCESS_STATE
-        except Exception as error:
-            log.exception("step %s failed", name)
-            states[name], failure = audit.FAILED, error
+            continue
+        for left in range(retries, -1, -1):
+            try:
+                action()
+                states[name] = audit.SUCCESS_STATE
+                break
+            except Exception as error:
+                log.exception("step %s failed, %d tries left", name, left)
+                if not left:
+                    states[name], failure = audit.FAILED, error
+        if record is not None:
+            record(name, states[name])
     return Run(states, failure)
 
 
@@ -78,11 +95,20 @@ def run_warehouse(
     stream: int = 0,
     clock: Clock = wall_clock,
     raise_on_failure: bool = True,
+    retries: int = 0,
     **options: bool,
 ) -> Run:
     """Pull, ingest, snapshot, gold, tests; then the audit row, and old gold builds
-    and copies of silver are removed."""
+    and copies of silver are removed.
+
+    A run id that failed before goes on at the step that failed; one that is
+    complete is not run again. Each step may be tried ``retries`` times more; all of
+    them may be repeated.
+    """
     started_at = dt.datetime.now(dt.timezone.utc)
+    done = store.steps_done(run_id)
+    if AUDIT_STEP in done:
+        return Run({name: audit.SUCCESS_STATE for name in done if name != AUDIT_STEP})
     steps: list[Step] = [
         (
             "ingest",
@@ -96,7 +122,7 @@ def run_warehouse(
     ]
     if pull is not None:
         steps.insert(0, ("pull", pull))
-    run = run_steps(steps)
+    run = run_steps(steps, done, lambda name, state: store.add_step(run_id, name, state), retries)
     try:
         write_audit(store, run_id, run.states, started_at)
     except Exception as error:
@@ -104,5 +130,7 @@ def run_warehouse(
         raise error from run.failure
     if run.failure is not None and raise_on_failure:
         raise run.failure
+    if run.failure is None:
+        store.add_step(run_id, AUDIT_STEP, audit.SUCCESS_STATE)
     store.retain()
     return run

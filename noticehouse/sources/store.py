@@ -56,6 +56,8 @@ LEDGER = (
     .add("batch", "long")
     .add("buckets", "long")
 )
+# Names of the audit's columns.
+STEPS = T.StructType().add("dag_run_id", "string").add("task_id", "string").add("state", "string")
 # Marks a fold of the ledger as whole; its number is the entries it holds.
 FOLD = "fold"
 
@@ -397,6 +399,20 @@ class Store:
         typed = [F.col(f.name).cast(f.dataType) for f in AUDIT_SCHEMA]
         rows.select(*typed).write.mode("append").parquet(self.path("audit"))
 
+    # --- steps of runs ---
+
+    def add_step(self, run_id: str, step: str, state: str) -> None:
+        row = self.spark.createDataFrame([(run_id, step, state)], STEPS).coalesce(1)
+        row.withColumn("at", F.current_timestamp()).write.mode("append").parquet(self.path("steps"))
+
+    def steps(self) -> DataFrame:
+        return self._read(self.path("steps"), T.StructType([*STEPS]).add("at", "timestamp"))
+
+    def steps_done(self, run_id: str) -> set[str]:
+        """Steps that a run, in any of its attempts, has behind it."""
+        mine = self.steps().where((F.col("dag_run_id") == run_id) & (F.col("state") == "success"))
+        return {r[0] for r in mine.select("task_id").distinct().collect()}
+
     # --- ingest cursor ------------------------------------------------------------
 
     def _cursors(self) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,21 @@ def test_capped_pull(spark):
         cursor.advance(days, moment(), "2026-01-04", limit=1)
 
 
+def test_pages_equal_pulls_one_by_one(spark):
+    """All pages from one read, as pull after pull gives them; some moments lie at the
+    very start of a day, some are null."""
+    rng = random.Random(2)
+    for limit in (3, 7, 40):
+        days = [(rng.choice([None, 0, 0, 1, 2, 5, 9]), rng.choice([0, 0, 1, 3600])) for _ in range(60)]
+        rows = [(None if d is None else f"2026-01-{d + 1:02d} {s // 3600:02d}:00:{s % 60:02d}",) for d, s in days]
+        df = spark.createDataFrame(rows, "at string").select(F.col("at").cast("timestamp_ntz").alias("at"))
+        one = [cursor.pull_status(df, F.col("at"), "2026-01-01", limit=limit).first()]
+        while one[-1].status == "advanced":
+            one.append(cursor.pull_status(df, F.col("at"), one[-1].next_cursor, limit=limit).first())
+        found = cursor.pages(df, F.col("at"), "2026-01-01", limit=limit)
+        assert list(map(tuple, found)) == list(map(tuple, one))
+
+
 def test_pages_of_a_capped_pull(spark):
     days = dated(spark, *(f"2026-01-{d:02d}" for d in range(1, 21)))
     found = cursor.pages(days, moment(), "2025-12-31", limit=10)

@@ -1,0 +1,25 @@
+"""Fields and kinds that the declared schema does not know."""
+
+from noticehouse.operators.drift import payload_drift, payload_fields
+
+
+def test_new_fields_and_changed_kinds(messages, spec):
+    df = messages(
+        {"id": 1, "libelle": "a", "score": 2.5, "tags": ["x"], "flag": True},
+        {"id": "2", "libelle": None, "score": 3, "nested": {"a": 1}},
+        {"id": 3, "libelle": 7},
+        "not json", "[1]", "3", None, "{}",
+        batch=[0, 0, 1, 1, 1, 1, 1, 1],
+    )
+    found = {tuple(r) for r in payload_drift(df, spec, ["batch"]).select(
+        "batch", "field", "kind", "messages", "status").collect()}
+    assert found == {
+        (0, "score", "number", 2, "unknown"),
+        (0, "tags", "array", 1, "unknown"),
+        (0, "flag", "boolean", 1, "unknown"),
+        (0, "nested", "object", 1, "unknown"),
+        (0, "id", "string", 1, "changed"),
+        (1, "libelle", "number", 1, "changed"),
+    }
+    known = payload_fields(df, spec).where("status = 'known'").select("field", "kind", "messages").collect()
+    assert {tuple(r) for r in known} == {("id", "number", 2), ("libelle", "string", 1), ("libelle", "null", 1)}

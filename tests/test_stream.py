@@ -1,12 +1,13 @@
 """Streams, the layer store and whole runs."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from noticehouse.operators import clean, merge, rebuild
-from noticehouse.plans import build
+from noticehouse.plans import build, warehouse_run
 from noticehouse.plans.warehouse_run import run_warehouse
 from noticehouse.sources import messages as msg
 from noticehouse.sources.store import SEQ, Store
@@ -130,6 +131,53 @@ def test_whole_runs(store, land, spark, spec):
     assert (audit[1].bronze_row_count, audit[1].silver_row_count, audit[1].gold_row_count) == (4, 2, 3)
 
 
+def test_a_failed_run_goes_on_where_it_failed(tmp_path, land, store, monkeypatch):
+    """A failure forced at each step in turn, then the same run id: as a clean run."""
+    good = {"date_publication": "2026-01-02T00:00:00Z"}
+    land(payload(1, **good), payload(2, 3, "b", **good))
+    calls = []
+    steps = [(warehouse_run, "ingest_available"), (build, "take_snapshot"), (build, "build_gold"), (build, "run_tests")]
+    for module, name in steps:
+        plain = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, n=name, f=plain, **k: calls.append(n) or f(*a, **k))
+
+    def lost(*_, **__):
+        raise OSError("lost")
+
+    for module, name in steps:
+        with monkeypatch.context() as patch:
+            patch.setattr(module, name, lost)
+            with pytest.raises(OSError):
+                run_warehouse(store, source(store), "run", clock=stamp)
+    run = run_warehouse(store, source(store), "run", clock=stamp)
+    assert run.states == dict.fromkeys(["ingest", "snapshot", "gold", "tests"], "success")
+    # Each step was run through once, in one of the attempts.
+    assert calls == [name for _, name in steps]
+    assert [r.status for r in store.audit().orderBy("ended_at").collect()] == ["failed"] * 4 + ["success"]
+    assert set(run_warehouse(store, source(store), "run", clock=stamp).states.values()) == {"success"}
+    assert len(calls) == 4 and store.audit().count() == 5
+    clean = replace(store, root=str(tmp_path / "clean"))
+    run_warehouse(clean, source(store), "run", clock=stamp)
+    for table in ("dim_produit", "fact_rappel"):
+        assert sorted(map(str, store.gold()[table].collect())) == sorted(map(str, clean.gold()[table].collect()))
+    assert sorted(map(str, store.silver().collect())) == sorted(map(str, clean.silver().collect()))
+
+
+def test_a_step_is_tried_again(store, land, monkeypatch):
+    land(payload(1, date_publication="2026-01-02T00:00:00Z"))
+    tries, plain = [], build.take_snapshot
+
+    def sometimes(store):
+        tries.append(1)
+        if len(tries) == 1:
+            raise OSError("lost")
+        plain(store)
+
+    monkeypatch.setattr(build, "take_snapshot", sometimes)
+    run = run_warehouse(store, source(store), "run", clock=stamp, retries=1)
+    assert set(run.states.values()) == {"success"} and len(tries) == 2
+
+
 def test_dimensions_from_history(store, messages, spark):
     ingest.ingest_batch(store, messages(payload(1, 1, "old")), "run", 0, stamp)
     build.take_snapshot(store)

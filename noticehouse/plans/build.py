@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from noticehouse.functions.dates import parse_publication
@@ -18,6 +18,7 @@ from noticehouse.operators.rebuild import VALID_FROM, VALID_TO, replay_history
 from noticehouse.sources.messages import envelope, write_messages
 from noticehouse.session import scratch_path
 from noticehouse.sources.store import MIGRATION, SEQ, Store
+from noticehouse.spec import FeedSpec
 from noticehouse.streaming.ingest import merge_batch
 
 
@@ -172,8 +173,10 @@ def build_gold(store: Store, dims_from: str = "silver") -> None:
     tables = star.dimensions(staged, spec)
     tables[spec.fact.date_dim] = calendar.dim_date(store.spark)
 
+    observed: list[tuple[str, str | None, int]] = []
+
     def write(name: str) -> None:
-        tables[name].write.mode("overwrite").parquet(store.gold_path(build, name))
+        observed.extend(_observed_write(tables[name], store.gold_path(build, name), name, spec))
 
     # Independent jobs: together they fill the cluster better than in a row.
     with ThreadPoolExecutor(len(tables)) as pool:
@@ -184,13 +187,27 @@ def build_gold(store: Store, dims_from: str = "silver") -> None:
             dim.name: store.spark.read.parquet(store.gold_path(build, dim.name))
             for dim in spec.fact.dims
         }
-    fact = star.fact(snapshot, members, spec)
-    fact.write.mode("overwrite").parquet(store.gold_path(build, spec.fact.name))
+    tables[spec.fact.name] = star.fact(snapshot, members, spec)
+    write(spec.fact.name)
+    counted = store.spark.createDataFrame(observed, quality.OBSERVED)
+    counted.coalesce(1).write.mode("overwrite").parquet(store.gold_path(build, "_observed"))
     store.commit(("gold", build))
 
 
+def _observed_write(
+    df: DataFrame, path: str, name: str, spec: FeedSpec
+) -> list[tuple[str, str | None, int]]:
+    """Write a table, and count its rows and nulls as they are written."""
+    columns = quality.not_null_columns(spec)[name]
+    seen = Observation(name)
+    counts = [F.count(F.lit(1)).alias("rows"), *(F.count_if(F.col(c).isNull()).alias(c) for c in columns)]
+    df.observe(seen, *counts).write.mode("overwrite").parquet(path)
+    found = dict(seen.get)
+    return [(name, None, found["rows"]), *((name, c, found[c]) for c in columns)]
+
+
 def test_results(store: Store) -> DataFrame:
-    return quality.run_tests(store.silver(), store.gold(), store.spec)
+    return quality.run_tests(store.silver(), store.gold(), store.spec, store.observed())
 
 
 def run_tests(store: Store) -> None:

@@ -359,6 +359,11 @@ class Store:
         names = [*(dim.name for dim in fact.dims), fact.date_dim, fact.name]
         return {n: self.spark.read.parquet(self.gold_path(build, n)) for n in names}
 
+    def observed(self) -> DataFrame | None:
+        """Rows and nulls of the newest gold tables, counted as they were written."""
+        build = self.last("gold")
+        return None if build is None else self.spark.read.parquet(self.gold_path(build, "_observed"))
+
     def gold_path(self, build: int, table: str) -> str:
         return self.path("gold", f"build={build}", table)
 

@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from noticehouse.operators import clean, merge, rebuild
+from noticehouse.operators import clean, merge, quality, rebuild
 from noticehouse.plans import build, warehouse_run
 from noticehouse.plans.warehouse_run import run_warehouse
 from noticehouse.sources import messages as msg
@@ -122,6 +122,15 @@ def test_whole_runs(store, land, spark, spec):
     land(payload(4))  # no publication date: the date key test must fail
     with pytest.raises(build.TestsFailed, match="date_key"):
         run_warehouse(store, source(store), "run-3", clock=stamp)
+    # Nulls were counted while gold was written: the same as a scan finds.
+    seen = quality.observed_nulls(store.observed()).collect()
+    tables = store.gold()
+    scanned = [
+        r for t, c in quality.not_null_columns(store.spec).items() for r in quality.null_counts(tables[t], t, c).collect()
+    ]
+    assert sorted(map(tuple, seen)) == sorted(map(tuple, scanned)) and any(r.failures for r in seen)
+    rows = {r.table_name: r.counted for r in store.observed().where("column_name is null").collect()}
+    assert rows == {name: df.count() for name, df in tables.items()}
     audit = store.audit().orderBy("dag_run_id").collect()
     assert [(r.dag_run_id, r.status) for r in audit] == [
         ("run-1", "success"),

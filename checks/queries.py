@@ -379,8 +379,8 @@ _VERSIONED: dict[tuple[str, str], Store] = {}
 
 
 def versioned(spark: SparkSession, sf_dir: str) -> Store:
-    """A store with a change set per batch, copies on the way, snapshots after three
-    batches and counts kept up after each."""
+    """A store with a change set per batch, copies on the way, and snapshots and
+    maintained counts after three batches."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _VERSIONED:
         return _VERSIONED[key]
@@ -392,9 +392,9 @@ def versioned(spark: SparkSession, sf_dir: str) -> Store:
         store.put(made.select(*columns), "silver/changes", batch)
         store.commit(("bronze", batch, "versioned", batch), ("silver", batch))
         store.compact_if_due(batch)
-        maintain.update_counts(store)
         if batch in SNAPSHOT_AFTER:
             take_snapshot(store)
+            maintain.update_counts(store)
     _VERSIONED[key] = store
     return store
 

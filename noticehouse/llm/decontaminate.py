@@ -293,8 +293,10 @@ def decontaminate(
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """The documents that no test item is found in. Each row goes or stays by its
-    own text, whatever its id. With several blocks, what one leaves is written
-    before the next, so that a task holds one block."""
+    own text, whatever its id: null and empty texts, and texts of fewer words than a
+    seed, stay; equal rows go or stay alike. Without items, or with none long enough,
+    all stay; an empty table gives no row. All columns are kept. With several blocks,
+    what one leaves is written before the next, so that a task holds one block."""
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).select(docs.columns)
 
     def clean(docs: DataFrame, block: list[tuple]) -> DataFrame:

@@ -229,6 +229,13 @@ def _parts(texts: list[str | None], chars: int = 4 << 20) -> Iterator[list[str |
 
 
 def identify_languages(docs: DataFrame, parts: int = 4, held_out: int = 2) -> DataFrame:
+    """``doc_id``, ``held_out``, ``lang_pred`` and ``score``, a row per row of ``docs``.
+
+    A null or empty text, or one without a letter, is ``und`` with score 0; equal
+    texts are predicted alike, ties go to the first language by name. A null id is in
+    part 0. Null languages teach nothing; where nothing can be learnt every text is
+    ``und``. An empty table gives no row. Other columns are not read.
+    """
     training = learn_languages(docs, parts, held_out)
     found = with_language(docs.select("doc_id", "text"), training)
     return found.select(
@@ -240,7 +247,12 @@ def identify_languages(docs: DataFrame, parts: int = 4, held_out: int = 2) -> Da
 
 
 def keep_identified(docs: DataFrame, most_bits: float = MOST_BITS) -> DataFrame:
-    """The documents in one of the languages learnt from the documents themselves."""
+    """The documents in one of the languages learnt from the documents themselves.
+
+    Null and empty texts, texts without a letter and texts over ``most_bits`` bits a
+    byte in every language go; equal rows go or stay alike, whatever their id. All
+    columns are kept. An empty table gives no row.
+    """
     held = "__language"
     found = with_language(docs, learn_languages(docs), held)
     known = F.col(f"{held}.lang_pred") != UNKNOWN

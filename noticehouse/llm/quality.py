@@ -219,6 +219,13 @@ def with_quality(docs: DataFrame, model: RuleModel, name: str = "quality_score")
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, parts: int = 3, held_out: int = 1) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score`` and ``predicted``, a row per row of ``docs``.
+
+    A null text is scored as an empty one, and both like any other; equal texts score
+    alike. A null id is in part 0 and has no label. Labels are learnt from documents
+    that are not held out; null labels, and labels of no document, teach nothing. An
+    empty table gives no row. Of ``docs`` other columns are not read.
+    """
     model = fit_quality(docs, labels, parts, held_out)
     scored = with_quality(docs.select("doc_id", "text"), model, "score")
     return scored.select(

@@ -440,6 +440,14 @@ def with_toxicity(docs: DataFrame, model: ToxicModel, name: str = "toxicity") ->
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score``, ``predicted`` and the ``hits`` of the lexicon, a
+    row per row of ``docs``.
+
+    A null or empty text has no hits and the score of a text without any; equal texts
+    score alike. A null id is in part 0 and has no label. Labels are learnt from
+    documents that are not held out; null labels, and labels of no document, teach
+    nothing. An empty table gives no row. Of ``docs`` other columns are not read.
+    """
     model = fit_toxicity(docs, labels, parts, held_out)
     found = with_toxicity(docs.select("doc_id", "text"), model)
     return found.select(

@@ -57,3 +57,8 @@ def test_a_frequent_pair_is_one_entry_per_chunk(spark, documents):
     assert len(rows) == 1
     grams = chunk(rows[0]["sizes"], rows[0]["words"], rows[0]["codes"]).grams
     assert [len(g[0]) for g in grams] == [2, 1] and grams[1][2].tolist() == [500]
+
+
+def test_a_very_long_text(documents):
+    rows = [(1, "one two three " * 60_000), (2, "two three"), (3, "z" * 1_000_000)]
+    assert scored(documents(*rows)) == expected(rows)

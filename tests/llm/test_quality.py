@@ -98,3 +98,12 @@ def test_odd_rows_and_labels(spark, documents):
 def test_one_label_only():
     model = fit_rules(np.ones((8, len(STATISTICS))), np.ones(8))
     assert model.rules == () and model.intercept == pytest.approx(np.log(9))
+
+
+def test_a_very_long_text_and_repeated_rows(spark, documents):
+    docs, labels, _ = corpus(spark, documents, 60)
+    long = documents((900, "many plain words in a row. " * 80_000), (901, None), (902, ""), (901, None))
+    found = quality.score_quality(docs.unionByName(long), labels).where("doc_id >= 900").collect()
+    scores = {(r.doc_id, r.score) for r in found}
+    assert len(found) == 4 and len(scores) == 3 and all(0 <= r.score <= 1 for r in found)
+    assert len({r.score for r in found if r.doc_id > 900}) == 1

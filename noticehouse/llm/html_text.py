@@ -31,7 +31,7 @@ from noticehouse.operators.numbering import numbered
 #: Pages that share this much of their characters are copies.
 COPY = 0.9
 #: Entries whose groups are looked for together.
-BLOCK = 1 << 16
+BLOCK = 1 << 14
 
 #: Two hashes that stand for all lines of a page.
 CLASS = ["host", "c1", "c2"]
@@ -171,18 +171,20 @@ def _partners(begun: DataFrame) -> DataFrame:
     start = F.when(F.col("begins"), F.struct("id", "alone"))
     marked = begun.select("id", block, start.alias("start"))
     blocks = marked.groupBy("block").agg(F.max("start").alias("last"), F.min("start").alias("first"))
-    order = Window.orderBy("block")
-    ends = Window.unboundedPreceding, Window.unboundedFollowing
+    # What follows is read backwards: a frame that only grows is summed up row by row.
+    so_far, strictly = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
+    upward, downward = Window.orderBy("block"), Window.orderBy(F.desc("block"))
     carried = blocks.select(
         "block",
-        F.max("last").over(order.rowsBetween(ends[0], -1)).alias("carried"),
-        F.min("first").over(order.rowsBetween(1, ends[1])).alias("coming"),
+        F.max("last").over(upward.rowsBetween(*strictly)).alias("carried"),
+        F.min("first").over(downward.rowsBetween(*strictly)).alias("coming"),
     )
-    within = Window.partitionBy("block").orderBy("id")
-    found = marked.join(F.broadcast(carried), "block").select(
+    within = Window.partitionBy("block")
+    upward, downward = within.orderBy("id"), within.orderBy(F.desc("id"))
+    found = marked.join(carried, "block").select(
         "id",
-        F.coalesce(F.max("start").over(within.rowsBetween(ends[0], 0)), "carried").alias("own"),
-        F.coalesce(F.min("start").over(within.rowsBetween(1, ends[1])), "coming").alias("next"),
+        F.coalesce(F.max("start").over(upward.rowsBetween(*so_far)), "carried").alias("own"),
+        F.coalesce(F.min("start").over(downward.rowsBetween(*strictly)), "coming").alias("next"),
     )
     after = F.when(~F.col("next.alone"), F.col("next.id"))
     partner = F.when(F.col("own.alone"), after).otherwise(F.col("own.id") - 1)

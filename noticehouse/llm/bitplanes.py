@@ -190,7 +190,7 @@ def write_token_files(
     """Encode whole texts and write them in ascending order of ``doc_id``.
 
     Returns the manifest: one row per file with its place in the order. Null ids
-    come first, equal ids come as they arrive, null texts are empty, an empty
+    come first, equal ids are ordered by a hash of the text, null texts are empty, an empty
     table gives no file. A file is closed at the first document's end beyond
     ``file_ids``, so a reader holds about that many compressed ids.
     """
@@ -220,13 +220,13 @@ def write_token_files(
         if writer:
             yield close()
 
-    # Ties by arrival: rows of one id, or without one, are spread over partitions too,
-    # and finding the ranges' bounds reads no text.
+    # Ties by a hash: rows of one id, or without one, are spread over partitions too,
+    # and a repeated task meets them in the same order.
     ordered = (
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("body"))
-        .withColumn("tie", F.monotonically_increasing_id())
+        .withColumn("tie", F.xxhash64("body"))
         .repartitionByRange("doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie", "body")
         .drop("tie")
     )
     return stage(ordered.mapInPandas(write, MANIFEST), "token-manifest")

@@ -26,8 +26,7 @@ from noticehouse.llm.common import kept, split_of
 UNKNOWN = "und"
 #: A language is learnt from at most this many passages of so many characters.
 PASSAGES, PASSAGE_CHARS = 64, 1000
-#: Bytes of the automata of all languages together; with many languages each
-#: learns from less text.
+#: Bytes of the tables a worker keeps; it decides speed only, never what is learnt.
 TABLE_BYTES = 160 << 20
 SEGMENT, SEGMENTS_AT_ONCE = 512, 1 << 14
 #: A text whose ended phrases cost even the best language more bits per byte than
@@ -82,39 +81,63 @@ def suffix_automaton(text: bytes) -> list[dict[int, int]]:
     return moves
 
 
+class Automaton:
+    """A language's suffix automaton: its transitions as arrays, and as a table over
+    the bytes it knows while there is room for one.
+
+    A table's entry is the next state's row, or, where a phrase ends, the complement
+    of the row that the byte leads to from the start.
+    """
+
+    def __init__(self, text: bytes):
+        moves = suffix_automaton(text)
+        seen = sorted(moves[0])
+        self.codes = np.full(256, len(seen), np.int32)
+        self.codes[seen] = np.arange(len(seen))
+        self.states, self.width = len(moves), len(seen) + 1
+        self._from = np.repeat(np.arange(len(moves), dtype=np.int32), [len(m) for m in moves])
+        n = len(self._from)
+        self._byte = np.fromiter((b for m in moves for b in m), np.uint8, n)
+        self._to = np.fromiter((s for m in moves for s in m.values()), np.int32, n)
+        self.position_bits = np.log2(max(len(text), 2))
+
+    @property
+    def table_bytes(self) -> int:
+        return 4 * self.states * self.width
+
+    def table(self) -> np.ndarray:
+        first = np.zeros(self.width, np.int32)
+        starts = self._from == 0
+        first[self.codes[self._byte[starts]]] = self._to[starts] * self.width
+        table = np.empty((self.states, self.width), np.int32)
+        table[:] = ~first
+        table[self._from, self.codes[self._byte]] = self._to * self.width
+        return table.ravel()
+
+
 class Parser:
-    """The automata of all languages as tables over the bytes seen in training.
+    """The automata of all languages.
 
-    An entry is the next state's row, or, where a phrase ends, the complement of
-    the row that the byte leads to from the start.
+    Tables are kept for the first languages, up to ``TABLE_BYTES``; those of the
+    others are made anew, one at a time, for each part of the texts. So any number
+    of languages keeps its whole training text.
     """
 
     def __init__(self, training: dict[str, bytes]):
         self.languages = sorted(training)
-        seen = sorted(set(b"".join(training.values())))
-        self.codes = np.full(256, len(seen), np.int32)
-        self.codes[seen] = np.arange(len(seen))
-        width = len(seen) + 1
-        self.tables, self.position_bits = [], []
-        for language in self.languages:
-            moves = suffix_automaton(training[language])
-            first = np.zeros(width, np.int32)
-            for byte, state in moves[0].items():
-                first[self.codes[byte]] = state * width
-            table = np.tile(~first, (len(moves), 1))
-            sizes = [len(m) for m in moves]
-            rows = np.repeat(np.arange(len(moves)), sizes)
-            marks = np.fromiter((b for m in moves for b in m), np.int64, len(rows))
-            states = np.fromiter((s for m in moves for s in m.values()), np.int64, len(rows))
-            table[rows, self.codes[marks]] = states * width
-            self.tables.append(np.ascontiguousarray(table, np.int32).ravel())
-            self.position_bits.append(np.log2(max(len(training[language]), 2)))
+        self.automata = [Automaton(training[language]) for language in self.languages]
+        self.position_bits = [a.position_bits for a in self.automata]
+        self._tables: dict[int, np.ndarray] = {}
+        room = TABLE_BYTES
+        for k, automaton in enumerate(self.automata):
+            if automaton.table_bytes <= room:
+                room -= automaton.table_bytes
+                self._tables[k] = automaton.table()
 
     def phrases(self, texts: list[bytes]) -> np.ndarray:
         """Phrases that end within each text, by language."""
         sizes = np.array([len(t) for t in texts], np.int64)
-        flat = self.codes[np.frombuffer(b"".join(texts), np.uint8)]
-        flat = np.concatenate([flat, np.zeros(SEGMENT, np.int32)])
+        flat = np.frombuffer(b"".join([*texts, bytes(SEGMENT)]), np.uint8)
         per_text = -(-sizes // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), per_text)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
@@ -122,14 +145,18 @@ class Parser:
         lengths = np.minimum(sizes[owner] - nth * SEGMENT, SEGMENT)
         order = np.argsort(-lengths, kind="stable")
         counts = np.zeros((len(texts), len(self.languages)), np.int64)
-        for at in range(0, len(order), SEGMENTS_AT_ONCE):
-            part = order[at : at + SEGMENTS_AT_ONCE]
-            longest = int(lengths[part[0]])
-            codes = np.ascontiguousarray(
-                flat[starts[part][:, None] + np.arange(longest)].T
-            )
-            active = np.searchsorted(-lengths[part], -np.arange(longest), "left")
-            for k, table in enumerate(self.tables):
+        for k, automaton in enumerate(self.automata):
+            table = self._tables.get(k)
+            if table is None:
+                table = automaton.table()
+            codes_of = automaton.codes[flat]
+            for at in range(0, len(order), SEGMENTS_AT_ONCE):
+                part = order[at : at + SEGMENTS_AT_ONCE]
+                longest = int(lengths[part[0]])
+                codes = np.ascontiguousarray(
+                    codes_of[starts[part][:, None] + np.arange(longest)].T
+                )
+                active = np.searchsorted(-lengths[part], -np.arange(longest), "left")
                 state = np.zeros(len(part), np.int32)
                 ended = np.zeros(len(part), np.int32)
                 for step in range(longest):
@@ -171,7 +198,8 @@ def learn_languages(
     """Training text per language, from documents that are not held out.
 
     Passages are taken by a hash of the id and start at a place given by it, so
-    the sample is bounded per language. Texts without letters, null texts and null
+    the sample is bounded per language, and no language has less for there being
+    many. Texts without letters, null texts and null
     languages teach nothing.
     """
     hashed = F.xxhash64("doc_id")
@@ -192,9 +220,7 @@ def learn_languages(
     for lang, _, passage, _ in sorted(tuple(r) for r in chosen.collect()):
         if LETTER.search(passage):
             texts.setdefault(lang, []).append(normal(passage))
-    width = len(set(b"".join(b"".join(t) for t in texts.values()))) + 1
-    most = TABLE_BYTES // (max(len(texts), 1) * width * 4 * 2)
-    return tuple((lang, b" ".join(t)[:most]) for lang, t in sorted(texts.items()))
+    return tuple((lang, b" ".join(t)) for lang, t in sorted(texts.items()))
 
 
 def with_language(

@@ -42,8 +42,10 @@ def test_phrases_equal_the_definition(texts, segment):
     try:
         training = {"p": b"abcab bca", "q": b"ccc ab", "r": b""}
         parser = Parser(training)
-        found = parser.phrases(texts)
-        assert found.tolist() == [[plain_phrases(t, training[k]) for k in "pqr"] for t in texts]
+        expected = [[plain_phrases(t, training[k]) for k in "pqr"] for t in texts]
+        assert parser.phrases(texts).tolist() == expected
+        parser._tables.clear()  # as where there is no room to keep any
+        assert parser.phrases(texts).tolist() == expected
     finally:
         langid.SEGMENT = old
 
@@ -99,6 +101,42 @@ def test_nothing_learnt(documents):
     assert langid.identify_languages(documents()).collect() == []
 
 
+SCRIPTS = ["abcdefghijklmnop", "абвгдежзийклмнопрст", "αβγδεζηθικλμνξοπρστ", "აბგდევზთიკლმნოპჟრ"]
+
+
+def made_up_languages(n, chance):
+    """Word lists, each half shared with the language before it in its script."""
+    lists = []
+    for k in range(n):
+        letters = SCRIPTS[k % len(SCRIPTS)]
+        own = ["".join(chance.choices(letters, k=chance.randint(2, 9))) for _ in range(300)]
+        shared = lists[k - len(SCRIPTS)][:150] if k >= len(SCRIPTS) else []
+        lists.append(own[: 300 - len(shared)] + shared)
+    return {f"l{k:02}": words for k, words in enumerate(lists)}
+
+
+def test_sixty_languages_keep_all_their_passages(spark):
+    chance = random.Random(6)
+    words = made_up_languages(60, chance)
+    rows = [
+        (100 * k + n, " ".join(chance.choices(words[lang], k=300)), lang)
+        for k, lang in enumerate(words)
+        for n in range(100)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    training = dict(langid.learn_languages(docs))
+    assert sorted(training) == sorted(words)
+    # 64 passages of 1000 characters, of two or three bytes in most scripts.
+    assert min(map(len, training.values())) > 64 * 950
+    parser = Parser(training)
+    assert 0 < len(parser._tables) < len(parser.automata)
+    assert sum(t.nbytes for t in parser._tables.values()) <= langid.TABLE_BYTES
+    cases = [(lang, " ".join(chance.choices(words[lang], k=12))) for lang in words for _ in range(10)]
+    found = parser.identify([t for _, t in cases])
+    right = sum(f[0] == lang for f, (lang, _) in zip(found, cases))
+    assert right >= 0.97 * len(cases)
+
+
 def test_held_out_languages_are_not_used(documents):
     docs, _ = corpus(documents)
     turned = docs.selectExpr(

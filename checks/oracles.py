@@ -616,6 +616,7 @@ ORACLES |= {
     "stream_available_now": "select 'stream0_' || case when batch_no < 3 then '0'"
     " when batch_no < 6 then '1' else '2' end as _batch_id, count(*) as messages"
     " from feed group by 1",
+    "stream_keyed_state": f"select {shown(STATE)} from delivery2",
     "stream_to_silver": f"select {shown(STATE)} from delivery2",
     "warehouse_fact": f"select {shown(FACT_COLUMNS)} from delivered_fact",
     "warehouse_run": "select run_id, step, case when tidy or step <> 'tests' then 'success'"

@@ -36,7 +36,7 @@ from noticehouse.plans.build import take_snapshot
 from noticehouse.plans.warehouse_run import row_counts, run_warehouse
 from noticehouse.sources import messages as msg
 from noticehouse.sources.store import Store
-from noticehouse.streaming import ingest
+from noticehouse.streaming import ingest, keyed_state
 
 BATCH = ("batch_no",)
 SNAPSHOT_AFTER = (2, 4, 6)
@@ -821,6 +821,17 @@ def stream_to_silver(spark, sf_dir):
     return _streamed(spark, sf_dir, run).silver()
 
 
+@query
+def stream_keyed_state(spark, sf_dir):
+    """Silver from the changes that keyed stream state lets through, over three runs."""
+    landing, folder = scratch_path(spark, "landing"), scratch_path(spark, "keyed")
+    for number, batches in enumerate(DELIVERIES):
+        _deliver(spark, sf_dir, landing, batches)
+        source = msg.landing_stream(spark, landing, "parquet")
+        keyed_state.start_keyed_ingest(source, SPEC, folder, stamp(number)).awaitTermination()
+    return keyed_state.current(spark, folder, SPEC)
+
+
 @dataclass
 class Warehouses:
     """Two stores after whole runs: one of all messages, whose undated notices fail

@@ -48,3 +48,16 @@ def test_odd_messages_hot_keys_and_repeats(spark, spec, tmp_path):
     changes = spark.read.parquet(f"{folder}/changes").groupBy("api_id").agg(F.count("*").alias("n"))
     # Without a version a stored row gives way to anything; the others did not change.
     assert {r.api_id: r.n for r in changes.collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_keys_share_buckets_and_only_what_decides_meets_state(spark, spec, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed_state, "BUCKETS", 3)
+    rows, landing, folder = notices(5, per_batch=30), str(tmp_path / "in"), str(tmp_path / "out")
+    for batch in range(BATCHES):
+        deliver(spark, landing, [json.dumps(r) for b, r in rows if b == batch])
+        run(spark, spec, landing, folder, stamp(batch))
+    assert summary(keyed_state.current(spark, folder, spec), spec) == expected(fold(rows)[0])
+    changes = keyed_state.keyed_changes(msg.landing_stream(spark, landing, "parquet"), spec)
+    plan = changes._jdf.queryExecution().analyzed().toString()
+    (reduced,) = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert spec.payload in reduced and "libelle" not in reduced

@@ -16,6 +16,7 @@ from noticehouse.feeds.recall_notice import FIELDS
 
 BATCHES = 7
 REPLAYED, REPLAY = 0, 6
+ORDERS_PER_TASK = 50_000  # of some 2.5 KB as typed rows: what one task sorts stays small
 POSITIONS = 10_000_000_000_000  # order numbers per batch in an arrival position
 
 _PUBLISHED = (
@@ -135,7 +136,9 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     # Making messages is CPU-bound: at any size the orders are dealt over all cores.
-    orders = orders.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+    # Messages are wide: with more orders there are more tasks, not larger ones.
+    tasks = max(spark.sparkContext.defaultParallelism, -(-orders.count() // ORDERS_PER_TASK))
+    orders = orders.repartition(tasks, "o_orderkey")
     return (
         orders.selectExpr("*", f"inline(filter(array({copies}), x -> x is not null))")
         .selectExpr("batch_no", "o_orderkey", "kind", *_select(RECORD))

@@ -64,8 +64,10 @@ def replay_bronze(bronze: DataFrame, batch: str, ordered: bool = True) -> DataFr
     return bronze.select(F.col("raw_json").alias("value"))
 
 
-def write_messages(messages: DataFrame, path: str, file_format: str = "text") -> None:
-    messages.select("value").write.format(file_format).mode("append").save(path)
+def write_messages(
+    messages: DataFrame, path: str, file_format: str = "text", **options: object
+) -> None:
+    messages.select("value").write.format(file_format).options(**options).mode("append").save(path)
 
 
 def send_to_topic(messages: DataFrame, servers: str, topic: str) -> None:

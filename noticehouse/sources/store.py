@@ -127,8 +127,8 @@ class Store:
     spec: FeedSpec
     compact_every: int = 16
     compact_share: float = 0.1
-    #: Rows of a copy's bucket, and of a row group in it.
-    bucket_rows: int = 1 << 20
+    #: Rows of a copy's bucket, which one task sorts as wide rows, and of a row group in it.
+    bucket_rows: int = 1 << 17
     group_rows: int = 1 << 14
     fold_every: int = 64
 

@@ -33,7 +33,7 @@ from noticehouse.operators.numbering import numbered
 from noticehouse.session import apply_runtime_conf, scratch_path
 from noticehouse.plans import maintain
 from noticehouse.plans.build import take_snapshot
-from noticehouse.plans.warehouse_run import row_counts, run_warehouse
+from noticehouse.plans.warehouse_run import Run, row_counts, run_warehouse
 from noticehouse.sources import messages as msg
 from noticehouse.sources.store import Store
 from noticehouse.streaming import ingest, keyed_state
@@ -708,7 +708,12 @@ def test_silver_key(spark, sf_dir):
 @query
 def audit_counts(spark, sf_dir):
     """Rows per layer of a store, before and after its gold is built."""
-    return warehouses(spark, sf_dir).counts
+    counted = [
+        (moment, layer, n)
+        for moment, found in warehouse(spark, sf_dir, "dated").counts.items()
+        for layer, n in found.items()
+    ]
+    return spark.createDataFrame(counted, "moment string, layer string, row_count bigint")
 
 
 def _steps(spark, sf_dir):
@@ -835,26 +840,16 @@ def stream_keyed_state(spark, sf_dir):
 
 
 @dataclass
-class Warehouses:
-    """Two stores after whole runs: one of all messages, whose undated notices fail
-    a data test, and one of dated notices only."""
-
-    fact: DataFrame
-    counts: DataFrame
-    steps: DataFrame
+class Warehouse:
+    """A store after whole runs, and its rows per layer at some moments."""
 
-
-_WAREHOUSES: dict[tuple[str, str], Warehouses] = {}
-
-
-def warehouses(spark: SparkSession, sf_dir: str) -> Warehouses:
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = _run_warehouses(spark, sf_dir)
-    return _WAREHOUSES[key]
+    store: Store
+    runs: dict[str, Run]
+    counts: dict[str, dict[str, int | None]] = field(default_factory=dict)
 
 
-def _run_warehouses(spark, sf_dir) -> Warehouses:
+def _every(spark, sf_dir) -> Warehouse:
+    """All messages, whose undated notices fail a data test."""
     runs = {}
 
     def run(store, messages, number):
@@ -863,45 +858,58 @@ def _run_warehouses(spark, sf_dir) -> Warehouses:
             store, messages, run_id, clock=stamp, raise_on_failure=False
         )
 
-    every = _streamed(spark, sf_dir, run)
-    dated = Store(spark, scratch_path(spark, "dated"), SPEC)
-    landing = dated.path("landing")
+    return Warehouse(_streamed(spark, sf_dir, run), runs)
+
+
+def _dated(spark, sf_dir) -> Warehouse:
+    """Dated notices only."""
+    store = Store(spark, scratch_path(spark, "dated"), SPEC)
+    landing = store.path("landing")
     notices = feed.messages(spark, sf_dir).where("seq % 29 <> 0 and value like '{%'")
     msg.write_messages(notices, landing, "parquet")
     source = msg.landing_stream(spark, landing, "parquet")
-    ingest.ingest_available(dated, source, clock=stamp)
-    before = row_counts(dated)
-    runs["dated-0"] = run_warehouse(dated, source, "dated-0", clock=stamp)
-    counted = [
-        (moment, layer, n)
-        for moment, found in (("before", before), ("after", row_counts(dated)))
-        for layer, n in found.items()
-    ]
+    ingest.ingest_available(store, source, clock=stamp)
+    before = row_counts(store)
+    runs = {"dated-0": run_warehouse(store, source, "dated-0", clock=stamp)}
+    return Warehouse(store, runs, {"before": before, "after": row_counts(store)})
+
+
+WAREHOUSES = {"every": _every, "dated": _dated}
+_RAN: dict[tuple[str, str, str], Warehouse] = {}
+
+
+def warehouse(spark: SparkSession, sf_dir: str, name: str) -> Warehouse:
+    """One of the stores, run once: a query that reads one does not wait for the other."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _RAN:
+        _RAN[key] = WAREHOUSES[name](spark, sf_dir)
+    return _RAN[key]
+
+
+def warehouses(spark: SparkSession, sf_dir: str) -> list[Warehouse]:
+    return [warehouse(spark, sf_dir, name) for name in WAREHOUSES]
+
+
+@query
+def warehouse_run(spark, sf_dir):
+    """Each step of three runs that fail a data test, and of one that does not, with
+    the run's audit row."""
+    ran = warehouses(spark, sf_dir)
     steps = [
         (run_id, step, state, str(made.failure) if state == audit.FAILED else None)
-        for run_id, made in runs.items()
+        for one in ran
+        for run_id, made in one.runs.items()
         for step, state in made.states.items()
     ]
-    logged = every.audit().unionByName(dated.audit())
+    logged = quality.union_all([one.store.audit() for one in ran])
     logged = logged.withColumnRenamed("dag_run_id", "run_id").select(
         "run_id", "status", *(f"{layer}_row_count" for layer in audit.LAYERS)
     )
     table = spark.createDataFrame(steps, "run_id string, step string, state string, failure string")
-    return Warehouses(
-        every.gold()[SPEC.fact.name],
-        spark.createDataFrame(counted, "moment string, layer string, row_count bigint"),
-        table.join(logged, "run_id"),
-    )
-
-
-@query
-def warehouse_run(spark, sf_dir):
-    """Each step of three runs that fail a data test, and of one that does not, with
-    the run's audit row."""
-    return warehouses(spark, sf_dir).steps
+    return table.join(logged, "run_id")
 
 
 @query
 def warehouse_fact(spark, sf_dir):
     """The fact after three whole runs."""
-    return warehouses(spark, sf_dir).fact
+    return warehouse(spark, sf_dir, "every").store.gold()[SPEC.fact.name]

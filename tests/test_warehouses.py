@@ -20,3 +20,9 @@ def anew(monkeypatch):
 def test_counts_run_the_dated_store_alone(spark, anew, monkeypatch):
     monkeypatch.setattr(queries, "_streamed", fails)
     assert queries.QUERIES["audit_counts"](spark, entry.SMALL).count() == 6
+
+
+def test_the_fact_runs_the_store_of_all_messages_alone(spark, anew, monkeypatch):
+    monkeypatch.setattr(queries, "row_counts", fails)
+    fact = queries.QUERIES["warehouse_fact"](spark, entry.SMALL)
+    assert fact.where("is_current").count() == fact.select("deduplication_key").distinct().count()

@@ -7,9 +7,12 @@ key's window holds at most one row per batch, however many messages it has.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from noticehouse.operators.clean import silver_rows
 from noticehouse.operators.dedup import latest_versions
 from noticehouse.operators.merge import DIGEST, with_digest
 from noticehouse.spec import FeedSpec
@@ -27,6 +30,39 @@ def replay_history(
     ``rows`` are keyed silver rows of many batches; ``stamp`` is the time of the
     row's batch, growing with ``batch``.
     """
+    newest = latest_versions(rows, spec, within=[batch]).transform(with_digest, spec)
+    return _states(newest, spec, batch, stamp, strict_noop)
+
+
+def replay_columns(
+    messages: DataFrame,
+    spec: FeedSpec,
+    batch: str,
+    stamp: Column,
+    columns: Sequence[str],
+    strict_noop: bool = False,
+) -> DataFrame:
+    """The same states from the messages themselves, of which some columns are wanted.
+
+    Only what tells key and order is parsed before the first shuffle, which moves it
+    with the text; the newest message of each key and batch is then parsed in full,
+    and the second shuffle moves the wanted columns and the content digest.
+    """
+    keyed = silver_rows(messages, spec.ordering, [batch])
+    newest = latest_versions(keyed, spec, within=[batch])
+    texts = newest.select(F.col(spec.payload).alias("value"), batch)
+    typed = silver_rows(texts, spec, [batch]).transform(with_digest, spec)
+    stamps = (spec.inserted_at, spec.updated_at)
+    needed = [c for c in columns if c not in (spec.key, spec.version, *stamps)]
+    states = _states(
+        typed.select(spec.key, spec.version, batch, DIGEST, *needed), spec, batch, stamp, strict_noop
+    )
+    return states.select(*columns, VALID_FROM, VALID_TO)
+
+
+def _states(
+    newest: DataFrame, spec: FeedSpec, batch: str, stamp: Column, strict_noop: bool
+) -> DataFrame:
     by_key = Window.partitionBy(spec.key).orderBy(batch)
     version = F.col(spec.version)
     best = F.max(spec.version).over(by_key.rowsBetween(Window.unboundedPreceding, -1))
@@ -41,9 +77,7 @@ def replay_history(
     effective = digest.isNull() | unversioned | (version > before) | differs
 
     return (
-        latest_versions(rows, spec, within=[batch])
-        .transform(with_digest, spec)
-        .withColumn("_accepted", accepted)
+        newest.withColumn("_accepted", accepted)
         .where("_accepted")
         .withColumn("_effective", effective)
         .where("_effective")

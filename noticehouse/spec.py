@@ -7,7 +7,7 @@ no other operator code.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import types as T
@@ -115,6 +115,18 @@ class FeedSpec:
         }
         return T.StructType([T.StructField(c, t) for c, t in columns.items()])
 
+    @cached_property
+    def ordering(self) -> FeedSpec:
+        """The same feed, of whose fields only those are read that tell a row's key
+        and which of two versions is newer."""
+        wanted = {self.id_field, *self.key_fields, self.version, *self.timestamp_fields}
+        return replace(
+            self,
+            schema=T.StructType([f for f in self.schema if f.name in wanted]),
+            date_fields=tuple(f for f in self.date_fields if f in wanted),
+            array_fields=tuple(f for f in self.array_fields if f in wanted),
+        )
+
     @cached_property
     def bronze_schema(self) -> T.StructType:
         silver = self.silver_schema

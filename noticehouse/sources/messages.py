@@ -67,6 +67,9 @@ def replay_bronze(bronze: DataFrame, batch: str, ordered: bool = True) -> DataFr
 def write_messages(
     messages: DataFrame, path: str, file_format: str = "text", **options: object
 ) -> None:
+    if file_format == "parquet":
+        # Texts are all different: no dictionary is tried.
+        options = {"parquet.enable.dictionary#value": "false", **options}
     messages.select("value").write.format(file_format).options(**options).mode("append").save(path)
 
 

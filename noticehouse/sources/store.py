@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from noticehouse.operators import history
+from noticehouse.operators.clean import RAW
 from noticehouse.operators.cursor import DEFAULT_CURSOR
 from noticehouse.operators.dedup import top_row
 from noticehouse.operators.merge import DIGEST, merge_columns
@@ -162,8 +163,10 @@ class Store:
         return self._read(self.path(layer), T.StructType([*schema]).add(SEQ, "long"))
 
     def put(self, df: DataFrame, layer: str, seq: int) -> None:
-        """Write a batch's folder, replacing what an earlier attempt left."""
-        df.write.mode("overwrite").parquet(self.batch_path(layer, seq))
+        """Write a batch's folder, replacing what an earlier attempt left. Message
+        texts are all different, so no dictionary is tried for them."""
+        plain = {f"parquet.enable.dictionary#{c}": False for c in (RAW, self.spec.payload)}
+        df.write.mode("overwrite").options(**plain).parquet(self.batch_path(layer, seq))
 
     def commit(
         self,
@@ -296,6 +299,7 @@ class Store:
         key, buckets = self.spec.key, max(1, -(-rows // self.bucket_rows))
         state = state.select(*self._stored.names).withColumn(BUCKET, self._bucket(buckets))
         filtered = {
+            f"parquet.enable.dictionary#{self.spec.payload}": False,
             f"parquet.bloom.filter.enabled#{key}": True,
             f"parquet.bloom.filter.expected.ndv#{key}": self.group_rows,
             f"parquet.bloom.filter.fpp#{key}": 0.0001,

@@ -127,30 +127,36 @@ def _select(columns: dict[str, str]) -> list[str]:
     return [f"{expr} as {name}" for name, expr in columns.items()]
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed rows: batch, arrival position, kind, record columns. One scan."""
+def _yields(batches: range) -> str:
+    """Which orders yield a message in some batches."""
+    numbers = ", ".join(map(str, batches))
+    return " or ".join(f"({cond} and {batch} in ({numbers}))" for _, cond, batch in _ROWS)
+
+
+def records(spark: SparkSession, sf_dir: str, batches: range | None = None) -> DataFrame:
+    """Feed rows: batch, arrival position, kind, record columns. One scan; of some
+    batches only the orders that yield them are dealt."""
     copies = ", ".join(
         f"case when {cond} then named_struct('kind', '{kind}',"
         f" 'batch_no', cast({batch} as int)) end"
         for kind, cond, batch in _ROWS
     )
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    if batches is not None:
+        orders = orders.where(_yields(batches))
     # Making messages is CPU-bound: at any size the orders are dealt over all cores.
     # Messages are wide: with more orders there are more tasks, not larger ones.
     tasks = max(spark.sparkContext.defaultParallelism, -(-orders.count() // ORDERS_PER_TASK))
     orders = orders.repartition(tasks, "o_orderkey")
-    return (
-        orders.selectExpr("*", f"inline(filter(array({copies}), x -> x is not null))")
-        .selectExpr("batch_no", "o_orderkey", "kind", *_select(RECORD))
-    )
+    copied = orders.selectExpr("*", f"inline(filter(array({copies}), x -> x is not null))")
+    if batches is not None:
+        copied = copied.where(F.col("batch_no").isin(list(batches)))
+    return copied.selectExpr("batch_no", "o_orderkey", "kind", *_select(RECORD))
 
 
 def messages(spark: SparkSession, sf_dir: str, batches: range | None = None) -> DataFrame:
     """The feed as message text, with its batch number and order number."""
-    feed = records(spark, sf_dir)
-    if batches is not None:
-        feed = feed.where(F.col("batch_no").isin(list(batches)))
-    return feed.selectExpr(
+    return records(spark, sf_dir, batches).selectExpr(
         "batch_no",
         "o_orderkey as seq",
         f"case kind when 'notice' then {VALUE} when 'broken' then {BROKEN_VALUE} end as value",

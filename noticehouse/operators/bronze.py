@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from noticehouse.functions.dates import as_timestamp
 from noticehouse.functions.keys import first_present
 from noticehouse.functions.payload import EMPTY_OBJECT, message_text, parse_payload
+from noticehouse.functions.text import normalize
 from noticehouse.operators.clean import RAW
+from noticehouse.operators.dedup import latest_versions
 from noticehouse.spec import FeedSpec
 
 # Names of the bronze stamps.
@@ -52,3 +54,25 @@ def bronze_rows(
             *keep,
         )
     )
+
+
+def newest_messages(bronze: DataFrame, spec: FeedSpec) -> DataFrame:
+    """The newest message of each key, as text: the one :func:`dedup.latest_versions`
+    takes of the typed rows.
+
+    Key and order are read from the columns that bronze has parsed, cleaned as silver
+    cleans them, and go with the text; so only the messages that win are parsed in full.
+    """
+    fields = (spec.id_field, *spec.key_fields, spec.version)
+    texts = [spec.silver_name(f) for f in fields if f in spec.text_fields]
+    usable = bronze.where(F.col(spec.api_id).isNotNull())
+    cleaned = usable.withColumns({c: normalize(F.col(c)) for c in texts})
+    keyed = cleaned.select(
+        first_present(*map(F.col, (*spec.key_fields, spec.api_id))).alias(spec.key),
+        spec.version,
+        spec.event_time,
+        spec.api_id,
+        F.col(RAW).alias(spec.payload),
+    )
+    known = keyed.where(F.col(spec.key).isNotNull())
+    return latest_versions(known, spec).select(F.col(spec.payload).alias("value"))

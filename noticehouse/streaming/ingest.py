@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from noticehouse.operators.bronze import INGESTED, batch_stamp, bronze_rows
-from noticehouse.operators.clean import RAW, silver_rows
-from noticehouse.operators.dedup import latest_versions
+from noticehouse.operators.bronze import INGESTED, batch_stamp, bronze_rows, newest_messages
+from noticehouse.operators.clean import silver_rows
 from noticehouse.operators.merge import upsert_changes, with_digest
 from noticehouse.sources.store import Ledger, Store
 
@@ -56,8 +55,7 @@ def merge_batch(
     spec, ledger = store.spec, ledger or store.ledger()
     batch = store.bronze_batch(seq)
     now = F.lit(batch.agg(F.max(INGESTED)).first()[0]).cast("timestamp")
-    landed = batch.select(F.col(RAW).alias("value"))
-    incoming = latest_versions(silver_rows(landed, spec), spec).transform(with_digest, spec)
+    incoming = silver_rows(newest_messages(batch, spec), spec).transform(with_digest, spec)
     incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stored = store.stored_for(incoming.select(spec.key), before=seq, ledger=ledger)

@@ -1,0 +1,84 @@
+"""The newest message of each key, told by the columns of bronze."""
+
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from checks import feed
+from noticehouse.operators import bronze, clean, dedup
+from noticehouse.operators.merge import with_digest
+from noticehouse.sources.store import Store
+from noticehouse.streaming import ingest
+from tests.test_merge import stamp
+
+
+def landed(sent, spec):
+    return bronze.bronze_rows(sent.select("value"), spec, F.lit("b"))
+
+
+def both(sent, spec):
+    """From bronze, and from all messages parsed in full."""
+    found = clean.silver_rows(bronze.newest_messages(landed(sent, spec), spec), spec)
+    want = dedup.latest_versions(clean.silver_rows(sent.select("value"), spec), spec)
+    return sorted(map(str, found.collect())), sorted(map(str, want.collect()))
+
+
+def test_same_rows_as_from_parsed_messages(spec, messages):
+    """Ties by time, id and payload; no version, no key, no id, broken and empty text."""
+    sent = messages(
+        {"id": 1, "numero_fiche": "a", "numero_version": 1, "libelle": "x"},
+        {"id": 1, "numero_fiche": "a", "numero_version": 1, "libelle": "y"},
+        {"id": 2, "numero_fiche": "a", "libelle": "none"},
+        {"id": 3, "rappel_guid": "", "numero_version": 1, "date_publication": "2026-01-05"},
+        {"id": 4, "rappel_guid": "", "numero_version": 1, "date_publication": "2026-01-05T01:00:00+00:00"},
+        {"id": 5, "numero_version": "bad", "date_publication": "bad", "identification_produits": "bad"},
+        {"id": 5, "libelle": "z"},
+        {"id": "bad", "numero_fiche": "a", "numero_version": 9},
+        {"numero_fiche": "a", "numero_version": 9},
+        '{"id": 6, "libelle": "cut',
+        "broken{",
+        "",
+        None,
+    )
+    found, want = both(sent, spec)
+    assert found == want and len(found) == 3
+
+
+def test_keys_are_cleaned_as_silver_cleans_them(spec, messages):
+    loose = replace(spec, verbatim_fields=tuple(f for f in spec.verbatim_fields if f != "rappel_guid"))
+    sent = messages(
+        {"id": 1, "rappel_guid": " G1 ", "numero_version": 1},
+        {"id": 2, "rappel_guid": "g1", "numero_version": 2},
+        {"id": 3, "rappel_guid": "  ", "numero_version": 1},
+    )
+    found, want = both(sent, loose)
+    assert found == want and len(found) == 2
+
+
+def test_a_merge_moves_texts_not_typed_rows(spark, spec, messages, tmp_path, monkeypatch):
+    """One shuffle moves key, order and text; what is parsed in full is parsed after it."""
+    merged = []
+
+    def spy(rows, spec):
+        merged.append(rows)
+        return with_digest(rows, spec)
+
+    monkeypatch.setattr(ingest, "with_digest", spy)
+    store = Store(spark, str(tmp_path), spec)
+    ingest.ingest_batch(store, messages({"id": 1, "libelle": "x"}), "run", 0, stamp)
+    plan = merged[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    before = plan[plan.index("Exchange hashpartitioning") :]
+    assert "raw_json" in before and "libelle" in plan and "libelle" not in before
+
+
+def test_some_batches_deal_only_their_orders(spark):
+    """The replay is made from the orders it repeats; the rows are those of the whole feed."""
+    whole = feed.messages(spark, entry.SMALL)
+    for batches in (range(0, 3), range(feed.REPLAY, feed.BATCHES)):
+        some = feed.messages(spark, entry.SMALL, batches)
+        want = whole.where(F.col("batch_no").isin(list(batches)))
+        assert sorted(map(str, some.collect())) == sorted(map(str, want.collect()))
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan[plan.index("RepartitionByExpression") :]

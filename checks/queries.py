@@ -89,7 +89,7 @@ class Layers:
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         path = f"{self.root}/{name}"
         if name not in self.written:
-            build().write.mode("overwrite").parquet(path)
+            build().write.mode("overwrite").parquet(path, compression="zstd")
             self.written.add(name)
         return self.spark.read.parquet(path)
 
@@ -377,14 +377,18 @@ def backfill_silver(spark, sf_dir):
 
 
 def snapshots(built: Layers) -> DataFrame:
-    """The snapshot of the staged columns, taken after three of the batches."""
+    """The snapshot of the staged columns, taken after three of the batches.
+
+    A row that stood at the last snapshot is in it with the same stamp, so it does
+    nothing: only what changed since then meets the history.
+    """
     first, *later = SNAPSHOT_AFTER
     taken = history.open_versions(
         history.snapshot_source(built.staged(first), SPEC), SPEC
     )
-    for batch in later:
-        source = history.snapshot_source(built.staged(batch), SPEC)
-        taken = history.take_snapshot(taken, source, SPEC)
+    for last, batch in zip(SNAPSHOT_AFTER, later):
+        changed = built.staged(batch).where(F.col(SPEC.updated_at) > stamp(last))
+        taken = history.take_snapshot(taken, history.snapshot_source(changed, SPEC), SPEC)
     return taken
 
 

@@ -149,7 +149,7 @@ def take_snapshot(store: Store) -> None:
     if upto is None or upto == since:
         return
     first = since is None
-    changed = store.newest_changes(since, upto).select(spec.key, spec.updated_at)
+    changed = store.newest_changes(since, upto, ledger).select(spec.key, spec.updated_at)
     names = [f.name for f in spec.silver_schema]
     before = store.stored_for(changed.select(spec.key), 0 if first else since + 1, names, ledger)
     store.put(history.closed_versions(before, changed, spec), "snapshot", upto)
@@ -163,13 +163,17 @@ def build_gold(store: Store, dims_from: str = "silver") -> None:
     version also finds attribute values that have since disappeared, and the fact
     needs no join at all.
     """
-    spec, build = store.spec, (store.last("gold") or 0) + 1
+    spec, ledger = store.spec, store.ledger()
+    build = (ledger.last("gold") or 0) + 1
     snapshot = store.snapshot()
     source = store.silver() if dims_from == "silver" else snapshot
     # Written once: the dimensions read these columns, not silver.
     path = store.gold_path(build, "_staged")
     star.staging_view(source, spec).write.mode("overwrite").parquet(path)
     staged = store.spark.read.parquet(path)
+    if dims_from == "silver" and ledger.last("snapshot") == ledger.last("silver"):
+        # So are the open versions, which are silver as the last snapshot saw it.
+        snapshot = store.snapshot(staged)
     tables = star.dimensions(staged, spec)
     tables[spec.fact.date_dim] = calendar.dim_date(store.spark)
 

@@ -23,7 +23,7 @@ def update_counts(store: Store) -> None:
     if upto is None or upto == since:
         return
     columns = [spec.key, *deltas.grouped_columns(spec)]
-    after = store.newest_changes(since, upto).select(*columns)
+    after = store.newest_changes(since, upto, ledger).select(*columns)
     first = 0 if since is None else since + 1
     before = store.stored_for(after.select(spec.key), first, columns, ledger)
     path = scratch_path(store.spark, "signed-rows")

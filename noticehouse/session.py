@@ -12,15 +12,17 @@ from pyspark.sql import types as T
 # small shuffle partitions, split skewed ones, pick broadcasts by measured size.
 # The JVM never compiles a method over 8000 bytes of bytecode, so for the widest
 # projections whole-stage code is slower than split-up expression code.
-# Messages are some 1.3 KB of text that packs to an eighth, and 2.5 KB as typed rows: a
-# task of 128 MB of files sorts 2 GB of them and spills, one of 24 MB does not.
+# Messages are some 1.3 KB of text that packs to a fifteenth, and 2.5 KB as typed rows: a
+# task of 64 MB of files sorts 2 GB of them and spills, one of 12 MB does not.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    "spark.sql.files.maxPartitionBytes": "24m",
+    "spark.sql.files.maxPartitionBytes": "12m",
+    # Messages repeat their field names: half of snappy's bytes.
+    "spark.sql.parquet.compression.codec": "zstd",
     # Stream state is kept on disk, and a checkpoint holds its changes only.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -97,6 +97,10 @@ class Ledger:
     def numbers(self, layer: str) -> list[int]:
         return sorted({e[1] for e in self.entries if e[0] == layer})
 
+    def merged(self, after: int | None, upto: int) -> list[int]:
+        """The change sets after one batch and up to another."""
+        return [n for n in self.numbers("silver") if (after is None or n > after) and n <= upto]
+
     def last(self, layer: str, upto: int | None = None) -> int | None:
         """Number of the newest complete batch of a layer."""
         numbers = self.numbers(layer)
@@ -221,9 +225,16 @@ class Store:
         sets = self.batches("silver/changes", self._stored).where(F.col(SEQ) <= upto)
         return sets if after is None else sets.where(F.col(SEQ) > after)
 
-    def newest_changes(self, after: int | None, upto: int) -> DataFrame:
-        newest = top_row(self.changes(after, upto), [self.spec.key], [F.col(SEQ).desc()])
-        return newest.drop(SEQ)
+    def newest_changes(self, after: int | None, upto: int, ledger: Ledger | None = None) -> DataFrame:
+        ledger = ledger or self.ledger()
+        return self._newest(self.changes(after, upto), len(ledger.merged(after, upto)))
+
+    def _newest(self, rows: DataFrame, sets: int) -> DataFrame:
+        """Newest row per key of so many sets, each of which holds a key once: the rows
+        of a single set need not meet."""
+        if sets > 1:
+            rows = top_row(rows, [self.spec.key], [F.col(SEQ).desc()])
+        return rows.drop(SEQ)
 
     def _base(self, seq: int) -> DataFrame:
         schema = T.StructType([*self._stored]).add(BUCKET, "integer")
@@ -240,8 +251,8 @@ class Store:
             return empty(self.spark, self._stored)
         base = ledger.last("base", upto)
         if base is None:
-            return self.newest_changes(None, upto)
-        newest = self.newest_changes(base, upto)
+            return self.newest_changes(None, upto, ledger)
+        newest = self.newest_changes(base, upto, ledger)
         copy = self._base(base).drop(BUCKET)
         untouched = copy.join(newest.select(self.spec.key), self.spec.key, "left_anti")
         return untouched.select(*self._stored.names).unionByName(newest)
@@ -270,7 +281,7 @@ class Store:
             copy = self._base(base).where(self._holds(keys, ledger.buckets(base)))
             sets = sets.unionByName(copy.select(*columns, F.lit(base).alias(SEQ)))
         mine = sets.join(keys, key, "left_semi")
-        return top_row(mine, [key], [F.col(SEQ).desc()]).drop(SEQ)
+        return self._newest(mine, len(ledger.merged(base, before - 1)) + (base is not None))
 
     def _holds(self, keys: DataFrame, buckets: int) -> Column:
         """Where a copy may hold some keys."""
@@ -287,17 +298,24 @@ class Store:
         return self.silver_stored().drop(DIGEST)
 
     def compact(self, seq: int, ledger: Ledger | None = None) -> None:
-        """Make a full copy of silver as of a batch."""
+        """Make a full copy of silver as of a batch. The last copy and the changes since
+        move once, to the buckets, where the newest row of each key is taken."""
         ledger = ledger or self.ledger()
         base = ledger.last("base", seq)
-        rows = self.changes(base, seq).count() + (0 if base is None else self._base(base).count())
-        self.copy(self.silver_stored(seq + 1, ledger), seq, rows, ledger)
+        rows = self.changes(base, seq)
+        if base is not None:
+            copied = self._base(base).select(*self._stored.names, F.lit(base).cast("long").alias(SEQ))
+            rows = rows.unionByName(copied)
+        self.copy(rows, seq, rows.count(), ledger)
 
     def copy(self, state: DataFrame, seq: int, rows: int, ledger: Ledger | None = None) -> None:
         """Store the whole state as of a batch, of about so many rows, by buckets of
-        the key: a task each, sorted, with Bloom filters of the keys."""
+        the key: a task each, sorted, with Bloom filters of the keys. Of rows with the
+        number of their batch, the newest of each key are the state."""
         key, buckets = self.spec.key, max(1, -(-rows // self.bucket_rows))
-        state = state.select(*self._stored.names).withColumn(BUCKET, self._bucket(buckets))
+        state = state.withColumn(BUCKET, self._bucket(buckets)).repartition(buckets, BUCKET)
+        if SEQ in state.columns:
+            state = top_row(state, [BUCKET, key], [F.col(SEQ).desc()])
         filtered = {
             f"parquet.enable.dictionary#{self.spec.payload}": False,
             f"parquet.bloom.filter.enabled#{key}": True,
@@ -306,7 +324,7 @@ class Store:
             "parquet.block.row.count.limit": self.group_rows,
         }
         (
-            state.repartition(buckets, BUCKET)
+            state.select(*self._stored.names, BUCKET)
             .sortWithinPartitions(BUCKET, key)
             .write.mode("overwrite")
             .options(**filtered)
@@ -331,12 +349,16 @@ class Store:
 
     # --- history -------------------------------------------------------------------
 
-    def snapshot(self) -> DataFrame:
+    def snapshot(self, silver: DataFrame | None = None) -> DataFrame:
         """SCD2 history: closed versions as they were written, and the open ones,
-        which are silver as of the last snapshot. No row meets another."""
+        which are silver as of the last snapshot. No row meets another.
+
+        ``silver`` may hold that state in some columns, which are then the history's."""
         ledger = self.ledger()
         upto = ledger.last("snapshot")
-        opened = self.opened(self.silver_stored((-1 if upto is None else upto) + 1, ledger))
+        if silver is None:
+            silver = self.silver_stored((-1 if upto is None else upto) + 1, ledger)
+        opened = self.opened(silver)
         closed = self.batches("snapshot", opened.schema)
         closed = closed.where(F.col(SEQ) <= (-1 if upto is None else upto)).drop(SEQ)
         return closed.unionByName(opened)

@@ -17,6 +17,8 @@ from noticehouse.feeds.recall_notice import FIELDS
 BATCHES = 7
 REPLAYED, REPLAY = 0, 6
 ORDERS_PER_TASK = 50_000  # of some 2.5 KB as typed rows: what one task sorts stays small
+DEALS = 64  # per task: enough that tasks get about the same
+DEAL = "deal"
 POSITIONS = 10_000_000_000_000  # order numbers per batch in an arrival position
 
 _PUBLISHED = (
@@ -133,9 +135,12 @@ def _yields(batches: range) -> str:
     return " or ".join(f"({cond} and {batch} in ({numbers}))" for _, cond, batch in _ROWS)
 
 
-def records(spark: SparkSession, sf_dir: str, batches: range | None = None) -> DataFrame:
+def records(
+    spark: SparkSession, sf_dir: str, batches: range | None = None, dealt: bool = False
+) -> DataFrame:
     """Feed rows: batch, arrival position, kind, record columns. One scan; of some
-    batches only the orders that yield them are dealt."""
+    batches only the orders that yield them are dealt. ``dealt`` rows are partitioned
+    by a column more."""
     copies = ", ".join(
         f"case when {cond} then named_struct('kind', '{kind}',"
         f" 'batch_no', cast({batch} as int)) end"
@@ -147,18 +152,22 @@ def records(spark: SparkSession, sf_dir: str, batches: range | None = None) -> D
     # Making messages is CPU-bound: at any size the orders are dealt over all cores.
     # Messages are wide: with more orders there are more tasks, not larger ones.
     tasks = max(spark.sparkContext.defaultParallelism, -(-orders.count() // ORDERS_PER_TASK))
-    orders = orders.repartition(tasks, "o_orderkey")
+    deal = F.pmod(F.xxhash64("o_orderkey"), F.lit(tasks * DEALS)).cast("int")
+    orders = orders.withColumn(DEAL, deal).repartition(tasks, DEAL if dealt else "o_orderkey")
     copied = orders.selectExpr("*", f"inline(filter(array({copies}), x -> x is not null))")
     if batches is not None:
         copied = copied.where(F.col("batch_no").isin(list(batches)))
-    return copied.selectExpr("batch_no", "o_orderkey", "kind", *_select(RECORD))
+    return copied.selectExpr("batch_no", "o_orderkey", "kind", *[DEAL] * dealt, *_select(RECORD))
 
 
-def messages(spark: SparkSession, sf_dir: str, batches: range | None = None) -> DataFrame:
+def messages(
+    spark: SparkSession, sf_dir: str, batches: range | None = None, dealt: bool = False
+) -> DataFrame:
     """The feed as message text, with its batch number and order number."""
-    return records(spark, sf_dir, batches).selectExpr(
+    return records(spark, sf_dir, batches, dealt).selectExpr(
         "batch_no",
         "o_orderkey as seq",
+        *[DEAL] * dealt,
         f"case kind when 'notice' then {VALUE} when 'broken' then {BROKEN_VALUE} end as value",
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,11 +94,13 @@ class Layers:
         return self.spark.read.parquet(path)
 
     def history(self) -> DataFrame:
-        return self.table(
-            "history",
-            lambda: rebuild.replay_history(
-                rows(self.spark, self.sf_dir), SPEC, "batch_no", stamp()
-            ),
+        columns = [*SPEC.silver_columns, SPEC.key, merge.DIGEST, SPEC.updated_at, SPEC.inserted_at]
+        return self.table("history", lambda: self._replayed(columns))
+
+    def _replayed(self, columns: Sequence[str]) -> DataFrame:
+        messages = feed.messages(self.spark, self.sf_dir, dealt=True)
+        return rebuild.replay_columns(
+            messages, SPEC, "batch_no", stamp(), columns, dealt=[feed.DEAL]
         )
 
     def silver(self, batch: int = feed.REPLAY) -> DataFrame:
@@ -107,12 +109,7 @@ class Layers:
 
     def staged_history(self) -> DataFrame:
         """The history in the columns that gold reads: a third of its bytes."""
-        return self.table(
-            "staged_history",
-            lambda: rebuild.replay_columns(
-                feed.messages(self.spark, self.sf_dir), SPEC, "batch_no", stamp(), SPEC.staging_columns
-            ),
-        )
+        return self.table("staged_history", lambda: self._replayed(SPEC.staging_columns))
 
     def snapshot(self) -> DataFrame:
         return self.table("snapshot", lambda: snapshots(self))

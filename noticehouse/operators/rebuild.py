@@ -21,6 +21,8 @@ from noticehouse.spec import FeedSpec
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
 
+_KEY = "_key"
+
 
 def replay_history(
     rows: DataFrame, spec: FeedSpec, batch: str, stamp: Column, strict_noop: bool = False
@@ -41,22 +43,35 @@ def replay_columns(
     stamp: Column,
     columns: Sequence[str],
     strict_noop: bool = False,
+    dealt: Sequence[str] = (),
 ) -> DataFrame:
     """The same states from the messages themselves, of which some columns are wanted.
 
     Only what tells key and order is parsed before the first shuffle, which moves it
     with the text; the newest message of each key and batch is then parsed in full,
-    and the second shuffle moves the wanted columns and the content digest.
+    and the second shuffle moves the wanted columns and the content digest. Where the
+    payload is wanted, it moves in place of what is parsed from it.
+
+    ``dealt`` names message columns that the messages are partitioned by. One message
+    of each key, batch and value of these is then taken where it lies, so that a hot
+    key is few rows, and the text moves once, to the key.
     """
-    keyed = silver_rows(messages, spec.ordering, [batch])
+    keyed = silver_rows(messages, spec.ordering, [batch, *dealt])
+    if dealt:
+        keyed = latest_versions(keyed, spec, within=[*dealt, batch]).drop(*dealt).repartition(spec.key)
     newest = latest_versions(keyed, spec, within=[batch])
-    texts = newest.select(F.col(spec.payload).alias("value"), batch)
-    typed = silver_rows(texts, spec, [batch]).transform(with_digest, spec)
+    # The key by another name, so that what lies by it is known to lie so after the parse.
+    texts = newest.select(F.col(spec.payload).alias("value"), batch, F.col(spec.key).alias(_KEY))
+    typed = silver_rows(texts, spec, [batch, _KEY]).transform(with_digest, spec)
     stamps = (spec.inserted_at, spec.updated_at)
-    needed = [c for c in columns if c not in (spec.key, spec.version, *stamps)]
-    states = _states(
-        typed.select(spec.key, spec.version, batch, DIGEST, *needed), spec, batch, stamp, strict_noop
-    )
+    made = (spec.key, spec.version, DIGEST, *stamps)
+    whole = spec.payload in columns
+    needed = [spec.payload] if whole else [c for c in columns if c not in made]
+    narrow = typed.select(F.col(_KEY).alias(spec.key), spec.version, batch, DIGEST, *needed)
+    states = _states(narrow, spec, batch, stamp, strict_noop)
+    if whole:
+        kept = [DIGEST, *stamps, VALID_FROM, VALID_TO]
+        states = silver_rows(states.select(F.col(spec.payload).alias("value"), *kept), spec, kept)
     return states.select(*columns, VALID_FROM, VALID_TO)
 
 

@@ -73,3 +73,14 @@ def with_orders(spark, tmp_path):
     )
     orders.write.parquet(str(tmp_path / "orders.parquet"))
     return str(tmp_path)
+
+
+def test_staged_history_is_read_from_the_whole_one(spark, tmp_path):
+    """Where both are wanted, the messages are made and moved once."""
+    folder = with_orders(spark, tmp_path)
+    alone = queries.Layers(spark, folder, str(tmp_path / "alone")).staged_history()
+    made = queries.Layers(spark, folder, str(tmp_path / "layers"))
+    made.silver()
+    found = made.staged_history()
+    assert made.written == {"history"} and found.columns == alone.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, alone.collect())) != []

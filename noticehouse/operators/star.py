@@ -85,6 +85,14 @@ def with_fallback(dim: DimSpec) -> Column:
     return F.coalesce(F.col(dim.key), unknown_key(dim.name)).alias(dim.key)
 
 
+def fact_columns(spec: FeedSpec) -> set[str]:
+    """Silver columns that the fact is made from."""
+    shape = spec.fact
+    attributes = (c for dim in shape.dims for c in dim.columns)
+    ends = (shape.array_count[0], shape.duration[0])
+    return {spec.key, spec.event_time, spec.updated_at, *shape.carried, *ends, *attributes}
+
+
 def fact(
     snapshot: DataFrame, members: Mapping[str, DataFrame] | None, spec: FeedSpec
 ) -> DataFrame:

@@ -171,7 +171,8 @@ def build_gold(store: Store, dims_from: str = "silver") -> None:
     path = store.gold_path(build, "_staged")
     star.staging_view(source, spec).write.mode("overwrite").parquet(path)
     staged = store.spark.read.parquet(path)
-    if dims_from == "silver" and ledger.last("snapshot") == ledger.last("silver"):
+    seen = ledger.last("snapshot") == ledger.last("silver")
+    if dims_from == "silver" and seen and star.fact_columns(spec) <= {*staged.columns}:
         # So are the open versions, which are silver as the last snapshot saw it.
         snapshot = store.snapshot(staged)
     tables = star.dimensions(staged, spec)
